@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, simhash
+from . import bpe, embed, langid, lm, packing, quality, simhash, toxicity
 from .common import table
 
 #: Folder of the public vocabularies; it must exist on the driver.
@@ -16,6 +16,21 @@ TOKENIZERS = os.environ.get("GRAPHLOOM_TOKENIZERS", "/opt/tokenizers")
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+def _fold(modulus: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(_fold(3) != 1).select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", (_fold(3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -32,6 +47,32 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+def identified_documents(docs: DataFrame) -> DataFrame:
+    """Documents with their language: the lang column is what was declared, the source is the host."""
+    return langid.identify(docs, declared=F.col("lang"), host=F.col("source"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identified_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "lang_id", "lang_text", "lang_confidence", langid.verdict().alias("kept"))
+
+
+def llm_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = langid.page_evidence(table(spark, sf_dir, "pages"))
+    found = langid.identify(pages, F.col("declared"), F.col("host"), F.col("suffix"))
+    return found.select("page_id", "lang_id", "lang_text", "lang_confidence", langid.verdict().alias("kept"))
+
+
+def op10_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (_fold(10) != 0).alias("train"))
+    scored = lm.score(docs, "train")
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 OP5_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -63,8 +104,14 @@ FROM m
 """
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_language_id": op9_language_id,
+    "op10_context_tree_lm": op10_context_tree_lm,
+    "llm_page_language": llm_page_language,
 }
 ORACLE_SQL = {"op5_quality_rules": OP5_SQL}
