@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embed, langid, lm, packing, quality, simhash, toxicity
+from . import bpe, embed, langid, licenses, lm, packing, quality, sadedup, simhash, toxicity
 from .common import table
 
 #: Folder of the public vocabularies; it must exist on the driver.
@@ -47,6 +47,20 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    names = F.array_sort(F.array_distinct(F.transform("found", lambda x: x["license"])))
+    best = F.array_max(F.transform("found", lambda x: x["reduction"]))
+    return found.select(
+        "doc_id", "n_blocks", F.size(names).cast("long").alias("n_licenses"), F.array_join(names, ",").alias("licenses"),
+        F.coalesce(best, F.lit(0.0)).alias("reduction"), F.array_join(F.transform("found", lambda x: x["differences"]), "; ").alias("differences"),
+    )
+
+
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sadedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
@@ -109,6 +123,8 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
+    "op6_license_scan": op6_license_scan,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_language_id": op9_language_id,
     "op10_context_tree_lm": op10_context_tree_lm,
