@@ -13,8 +13,10 @@ table gives an empty result; further columns don't matter.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,8 +29,8 @@ from .common import cut
 CAPACITY = 2048
 #: Items that a group gets on average, and groups that meet in one of the next round.
 GROUP, FAN_IN = 60_000, 8
-#: A bin with no more room than this is set aside.
-SLACK = 4
+#: A bin with no more room than this share of the capacity is set aside.
+SLACK = 1 / 512
 #: Distinct pieces whose ids a task remembers.
 REMEMBERED = 250_000
 
@@ -38,6 +40,28 @@ _PLAIN = re.compile("[\t\n\x0b\x0c\r\x20-\x7e\xa0-\xac\xae-\xb1\xb4-\xb8\xba\xbb
 #: The tokenizer's own split pattern (a fixed value of the vocabulary file), as Python's re has it for such texts.
 _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 
+#: The letters that byte-level tokenizers write for bytes: printable ones stand for themselves, the others follow 255.
+_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _OWN)}
+
+
+class _Words(dict):
+    """Ids of words, made when first asked for."""
+
+    def __init__(self, content: str):
+        from tokenizers.models import BPE
+
+        model = json.loads(content)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        super().__init__()
+        self.tokenize = BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=model["end_of_word_suffix"], cache_capacity=0).tokenize
+
+    def __missing__(self, word: str) -> bytes:
+        spelt = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        ids = array("I", [t.id for t in self.tokenize(spelt)]).tobytes()
+        self[word] = ids
+        return ids
+
 
 class WordTokenizer:
     """Ids of a text by a tokenizer file, as little-endian unsigned 32-bit bytes.
@@ -51,7 +75,7 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {}
+        self.known = _Words(content)
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -59,15 +83,9 @@ class WordTokenizer:
     def encode(self, text: str) -> bytes:
         if not _PLAIN.fullmatch(text):
             return self._library(text)
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        ws = _SPLIT.findall(text.lower())
-        new = [w for w in set(ws) if w not in known]
-        if new:
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, ws))
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, _SPLIT.findall(text.lower())))
 
 
 def _flat_map(src: DataFrame, make: Callable[[], Callable[[object, str], Iterator[tuple]]], schema: str, names: list[str], kinds: list[pa.DataType]) -> DataFrame:
@@ -175,7 +193,7 @@ def _packer(capacity: int, last: bool) -> Callable[[pa.Table], pa.Table]:
         offsets = np.asarray(flat.offsets)[ends]  # members of a bin's items stand side by side
         merged = pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), flat.flatten())
         size = np.array([sum(sizes[i] for i in b) for b in bins], np.int64)
-        return pa.table({"size": size, "members": merged, "full": pa.array(last | (size >= capacity - SLACK))})
+        return pa.table({"size": size, "members": merged, "full": pa.array(last | (size >= capacity - int(capacity * SLACK)))})
 
     return local
 
