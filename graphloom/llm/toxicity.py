@@ -27,14 +27,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bounds of the training sample, in documents of either label.
-TOXIC_ROWS, CLEAN_ROWS = 2500, 7500
+TOXIC_ROWS, CLEAN_ROWS = 2000, 6000
 SPAN, DECAY = 6, 0.7
-LANDMARKS = 400
+LANDMARKS = 500
 #: Characters of a window over a longer word, and its step.
 WINDOW, STEP = 16, 8
 REMEMBERED = 200_000
@@ -130,8 +131,8 @@ def kernel(a: list[str], b: list[str]) -> np.ndarray:
     at = np.minimum(np.searchsorted(used, fa), max(0, len(used) - 1))
     hit = used[at] == fa if len(used) else np.zeros(len(fa), bool)
     out = np.zeros((len(oa), dense.shape[1]))
-    for lo in range(0, int(hit.sum()), 100_000):
-        part = np.flatnonzero(hit)[lo : lo + 100_000]
+    for lo in range(0, int(hit.sum()), 8192):
+        part = np.flatnonzero(hit)[lo : lo + 8192]
         np.add.at(out, ra[part], dense[at[part]] * va[part, None])
     best = np.zeros((len(a), len(b)))
     first = np.zeros((len(a), out.shape[1]))
@@ -209,25 +210,28 @@ def fit_words(table: list[tuple[str, int, int]], n_toxic: int, n_clean: int, see
     """The machine from (word, toxic documents, clean documents) of the sample; none if no unit stands out."""
     rng = np.random.default_rng(seed)
     table = sorted(table)
-    count: dict[str, list[int]] = {}
-    for word, tox, clean in table:
-        for u in _units(word):
-            c = count.setdefault(u, [0, 0])
-            c[0] += tox
-            c[1] += clean
+    # toxic and clean documents of each unit, by the unit's 64-bit digest
+    owner, digest = [], []
+    for i, (word, _, _) in enumerate(table):
+        us = [xxhash.xxh3_64_intdigest(u) for u in _units(word)]
+        digest.append(np.array(us, np.uint64))
+        owner.append(np.full(len(us), i, np.int32))
+    owner, digest = np.concatenate(owner), np.concatenate(digest)
+    tox, clean_n = (np.array([x[k] for x in table], np.float64) for k in (1, 2))
+    units, unit = np.unique(digest, return_inverse=True)
+    del digest
+    t, c = np.bincount(unit, tox[owner]), np.bincount(unit, clean_n[owner])
     share = n_toxic / (n_toxic + n_clean)
-    limit = -math.log(max(10, len(count)))
-
-    def beyond_chance(tox: int, clean: int) -> bool:
-        n = tox + clean
-        q = tox / n
-        if tox < 3 or q < max(0.9, 1 - share / 2):
-            return False
-        kl = q * math.log(q / share) + ((1 - q) * math.log((1 - q) / (1 - share)) if q < 1 else 0)
-        return -n * kl < limit
-
-    strong = {u for u, (t, c) in count.items() if beyond_chance(t, c)}
-    positive = [w for w, t, c in table if t > 0 and c <= t / 10 and not strong.isdisjoint(_units(w))]
+    q = t / (t + c)
+    # beyond chance: the chance of so many toxic documents among the unit's is below one in the number of units
+    with np.errstate(divide="ignore", invalid="ignore"):
+        kl = np.where(t > 0, q * np.log(q / share), 0) + np.where(c > 0, (1 - q) * np.log((1 - q) / (1 - share)), 0)
+    strong = (t >= 3) & (q >= max(0.9, 1 - share / 2)) & ((t + c) * kl > math.log(max(10, len(units))))
+    telling = np.zeros(len(table), bool)
+    telling[owner[strong[unit]]] = True
+    strong_digests = set(units[strong].tolist())
+    del owner, unit, units
+    positive = [w for (w, a, b), yes in zip(table, telling) if yes and a > 0 and b <= a / 10]
     if not positive:
         return None
     df = {w: t + c for w, t, c in table}
@@ -236,7 +240,7 @@ def fit_words(table: list[tuple[str, int, int]], n_toxic: int, n_clean: int, see
     clean = [w for w, t, c in table if c > 0 and w not in taken]
     clean_df = np.array([df[w] for w in clean], float)
     positive = positive[:2500]
-    stems = sorted({u.strip("^") for u in strong if u[-1] != "^"})[:200]
+    stems = sorted({u.strip("^") for w in positive for u in _units(w) if u[-1] != "^" and xxhash.xxh3_64_intdigest(u) in strong_digests})[:150]
     landmarks = positive[: LANDMARKS // 2]
     common = [clean[i] for i in np.argsort(-clean_df, kind="stable")[: LANDMARKS // 4]]
     rare = [clean[i] for i in sorted(rng.permutation(len(clean))[: LANDMARKS // 4].tolist())]
@@ -350,14 +354,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 n = len(ws)
                 yield pa.RecordBatch.from_pydict({"word": pa.array([*ws, ""], pa.string()), "toxic": pa.array([int(toxic)] * (n + 1), pa.int64()), "clean": pa.array([int(not toxic)] * (n + 1), pa.int64())})
 
-    found = sample.select("text", "toxic").mapInArrow(distinct, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow()
-    table = list(zip(*(found.column(i).to_pylist() for i in range(3))))
-    n_toxic, n_clean = next(((t, c) for w, t, c in table if w == ""), (0, 0))
-    if not n_toxic or not n_clean:
-        return ToxicityModel(None)
-    machine = fit_words([x for x in table if x[0]], n_toxic, n_clean)
-    if machine is None:
+    found = sample.select("text", "toxic").mapInArrow(distinct, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        table = list(zip(*(rows.column(i).to_pylist() for i in range(3)))) if rows.num_rows else []
+        n_toxic, n_clean = next(((t, c) for w, t, c in table if w == ""), (0, 0))
+        machine = fit_words([x for x in table if x[0]], n_toxic, n_clean) if n_toxic and n_clean else None
+        if machine:
+            yield pa.RecordBatch.from_pydict({"weights": [machine.weights.tobytes()], "shift": [machine.offset]})
+
+    # the words of a bounded sample: one task, on an executor
+    fit_row = found.coalesce(1).mapInArrow(fitted, "weights binary, shift double").collect()
+    if not fit_row:
         return ToxicityModel(None)
+    machine = WordMachine(np.frombuffer(fit_row[0]["weights"], np.float32), fit_row[0]["shift"])
     raw = ToxicityModel(machine)
     rows = _margins(sample, raw, ["toxic"], "text").toArrow()
     p = np.clip(np.array(rows.column("score")), 1e-12, 1 - 1e-12)
