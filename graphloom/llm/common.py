@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -61,6 +63,16 @@ def map_texts(
     return src.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give memory of finished work back to the system: Python workers live on from task to task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder that driver and executors share, below ``spark.checkpoint.dir``.
 

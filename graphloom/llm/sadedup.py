@@ -2,17 +2,19 @@
 
 Every byte covered by a ``length``-byte string that also starts earlier (in an earlier document, or earlier
 in the same one) is removed. Equal strings share the k-gram that is least by hash in them, at the same
-place, so windows fall into runs, one for each such k-gram (about one in 27 bytes), and only runs are moved:
+place, so windows fall into runs, one for each such k-gram (about one in 35 bytes), and only runs are moved:
 
 1. In blocks of text, runs are found; of equal runs in a block all but the first are settled at once. A
    k-gram with different surroundings in one block gets a single token, its runs go on to step 3.
 2. Runs meet by k-gram. A run whose digest of all its bytes was seen earlier is settled, windows and all;
    k-grams that occur once are done. Others of differing surroundings go on.
-3. The windows of what is left are suffix-sorted in blocks, deep-shallow: a multikey quicksort on eight-byte
+3. What is left is parted in windows that lean to the left and to the right of the k-gram. All windows of a
+   part hold the same 65 bytes or more; parts whose bytes there occur once are done.
+4. The windows of the other parts are suffix-sorted in blocks, deep-shallow: a multikey quicksort on eight-byte
    digits to ``SHALLOW`` bytes, then blind tries order each group with a longer common prefix and tell how far
    it goes. Windows with an equal one before them in the block are settled; of the others, a 128-bit digest
    meets its equals from other blocks.
-4. Each document meets its settled windows and loses the bytes they cover.
+5. Each document meets its settled windows and loses the bytes they cover.
 
 No step gathers the occurrences of a string: a block sends one row for each k-gram or window, so a passage
 held by a third of all documents meets in as many rows as there are blocks of text.
@@ -35,10 +37,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import cut
+from .common import cut, release
 
 LENGTH = 100
-GRAM = 48
+GRAM = 32
 #: Depth of the multikey quicksort, in bytes.
 SHALLOW = 24
 #: Bytes of text that a block of step 1 and its parts hold, and windows that a block of step 3 holds.
@@ -71,7 +73,7 @@ def gram_hashes(b: np.ndarray) -> np.ndarray:
 
 
 def runs(b: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """(text, first window, number of windows, hash of the k-gram) of the runs of windows that share their least k-gram.
+    """(text, first window, number of windows, hash of the k-gram, its place after the first window) of the runs of windows that share their least k-gram.
 
     ``b`` holds texts of ``length`` bytes or more one after another, from ``starts`` on; windows are counted from a text's start.
     """
@@ -98,7 +100,7 @@ def runs(b: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> tuple[np.nd
     stop = np.flatnonzero(np.concatenate((new, [True])) | ~np.concatenate((inside, [False])))
     n = stop[np.searchsorted(stop, first, "right")] - first
     text = np.searchsorted(starts, first, "right") - 1
-    return text, first, n, h[at[first]]
+    return text, first, n, h[at[first]], at[first] - first
 
 
 # ------------------------------------------------------------------ deep-shallow sorting
@@ -189,9 +191,13 @@ def deep_shallow(text: bytes, places: np.ndarray, length: int = LENGTH) -> tuple
 RUN, TOKEN, OPEN, SETTLED = 0, 1, 2, 3
 
 
-def packed(at: np.ndarray, n: np.ndarray, kind: np.ndarray) -> np.ndarray:
-    """First window, number of windows (at most LENGTH) and kind, as one number that sorts by the first."""
-    return at.astype(np.int64) << 10 | n.astype(np.int64) << 2 | kind.astype(np.int64)
+#: Windows that a packed number counts at most.
+_MOST = (1 << 22) - 1
+
+
+def packed(at: np.ndarray, n: np.ndarray, off: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """First window, number of windows, place of the k-gram after the first window, and kind, as one number."""
+    return at.astype(np.int64) << 32 | n.astype(np.int64) << 10 | off.astype(np.int64) << 2 | kind.astype(np.int64)
 
 def block_runs(keys: list, texts: list[bytes], length: int) -> dict[str, list | np.ndarray]:
     """Rows of step 1 for a block: h, digest, key, what (kind and windows, packed).
@@ -199,14 +205,14 @@ def block_runs(keys: list, texts: list[bytes], length: int) -> dict[str, list |
     A text longer than a part is taken in pieces that overlap by length - 1 bytes; which windows lie in a piece
     does not change what is found, only where runs end.
     """
-    doc_of, first_of, n_of, hash_of, digests = [], [], [], [], []
+    doc_of, first_of, n_of, hash_of, off_of, digests = [], [], [], [], [], []
     digest = xxhash.xxh3_64_intdigest
     pieces: list[tuple[int, int, bytes]] = []
 
     def flush() -> None:
         joined = b"".join(p for _, _, p in pieces)
         starts = np.cumsum([0] + [len(p) for _, _, p in pieces])[:-1]
-        piece, first, n, h = runs(np.frombuffer(joined, np.uint8), starts, length)
+        piece, first, n, h, off = runs(np.frombuffer(joined, np.uint8), starts, length)
         if len(first):
             view = memoryview(joined)
             digests.append(np.array([digest(view[a:z]) for a, z in zip(first.tolist(), (first + n + length - 1).tolist())], np.uint64))
@@ -214,6 +220,7 @@ def block_runs(keys: list, texts: list[bytes], length: int) -> dict[str, list |
             first_of.append(first - starts[piece] + np.array([p[1] for p in pieces], np.int64)[piece])
             n_of.append(n)
             hash_of.append(h)
+            off_of.append(off)
         pieces.clear()
 
     size = 0
@@ -230,31 +237,78 @@ def block_runs(keys: list, texts: list[bytes], length: int) -> dict[str, list |
         flush()
     if not digests:
         return {"h": [], "digest": [], "key": [], "what": []}
-    doc, first, n, h, d = (np.concatenate(x) for x in (doc_of, first_of, n_of, hash_of, digests))
+    doc, first, n, h, off, d = (np.concatenate(x) for x in (doc_of, first_of, n_of, hash_of, off_of, digests))
     rank = np.empty(len(texts), np.int64)
     rank[sorted(range(len(texts)), key=lambda i: (keys[i], texts[i]))] = np.arange(len(texts))
-    order = np.lexsort((first, rank[doc], n, d, h))
-    doc, first, n, h, d = (x[order] for x in (doc, first, n, h, d))
+    order = np.lexsort((first, rank[doc], off, n, d, h))
+    doc, first, n, h, off, d = (x[order] for x in (doc, first, n, h, off, d))
     new_h = np.concatenate(([True], h[1:] != h[:-1]))
-    again = ~new_h & np.concatenate(([False], (d[1:] == d[:-1]) & (n[1:] == n[:-1])))
+    again = ~new_h & np.concatenate(([False], (d[1:] == d[:-1]) & (n[1:] == n[:-1]) & (off[1:] == off[:-1])))
     which = np.cumsum(new_h) - 1
-    several = np.bincount(which, ~again) > 1  # surroundings of the k-gram in this block
-    kind = np.where(again, SETTLED, np.where(several[which], OPEN, RUN))
-    token = np.flatnonzero(new_h & several[which])
-    take = np.concatenate((np.arange(len(h)), token))
-    kind = np.concatenate((kind, np.full(len(token), TOKEN)))
+    several = (np.bincount(which, ~again) > 1)[which]  # surroundings of the k-gram in this block
+    # runs that are settled here, neighbours in a document as one
+    gone = np.flatnonzero(again)
+    gone = gone[np.lexsort((first[gone], doc[gone]))]
+    gd, ga, gz = doc[gone], first[gone], first[gone] + n[gone]
+    new = np.concatenate(([True], (gd[1:] != gd[:-1]) | (ga[1:] != gz[:-1]))) if len(gone) else np.zeros(0, bool)
+    start = np.flatnonzero(new)
+    stop = np.append(start[1:], len(gone)) - 1 if len(gone) else start
+    gd, ga, gn = gd[start], ga[start], gz[stop] - ga[start] if len(gone) else ga
+    more = [(k, a + lo, min(_MOST, m - lo)) for k, a, m in zip(gd.tolist(), ga.tolist(), gn.tolist()) for lo in range(0, m, _MOST)]
+    gd, ga, gn = (np.array([x[i] for x in more], np.int64) for i in range(3))
+    kept, token = np.flatnonzero(~again), np.flatnonzero(new_h & several)
+    take = np.concatenate((kept, token))
+    kind = np.concatenate((np.where(several[kept], OPEN, RUN), np.full(len(token), TOKEN)))
     # what is settled or goes on anyway needs to meet no other run: it is dealt by chance
-    spread = xxhash.xxh3_64_intdigest(repr(keys[0])) if keys else 0
-    through = kind >= OPEN
-    h = np.where(through, np.arange(len(take), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(spread), h[take])
+    spread = np.uint64(xxhash.xxh3_64_intdigest(repr(keys[0]))) if keys else np.uint64(0)
+    chance = np.arange(len(take) + len(gd), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + spread
     return {
-        "h": h.astype(np.int64), "digest": np.where(kind == RUN, d[take], 0).astype(np.int64),
-        "key": [keys[i] for i in doc[take].tolist()], "what": packed(first[take], n[take], kind),
+        "h": np.concatenate((np.where(kind == OPEN, chance[: len(take)], h[take]), chance[len(take) :])).astype(np.int64),
+        "digest": np.concatenate((np.where(kind == RUN, d[take], 0).astype(np.int64), np.zeros(len(gd), np.int64))),
+        "key": [keys[i] for i in [*doc[take].tolist(), *gd.tolist()]],
+        "what": np.concatenate((packed(first[take], n[take], off[take], kind), packed(ga, gn, np.zeros(len(gd), np.int64), np.full(len(gd), SETTLED)))),
     }
 
 
+def leaning(at: int, n: int, off: int, length: int) -> list[tuple[int, int, int, int]]:
+    """The parts of a run: (start and stop of the bytes that all windows of such a part hold, first window, windows).
+
+    A window at distance x before the k-gram leans left if x is at least half the k-gram's places in a window.
+    """
+    width = length - GRAM + 1
+    half = width // 2
+    gram = at + off
+    out = []
+    for low, high in ((half, width - 1), (0, half - 1)):  # distances
+        a, z = max(at, gram - high), min(at + n - 1, gram - low)
+        if a <= z:
+            out.append((gram - low, gram - high + length, a, z - a + 1))
+    return out
+
+
+def block_parts(keys: list, texts: list[bytes], opens: list[list[tuple[int, int, int]]], length: int) -> tuple[list, ...]:
+    """Rows of step 3 for a block: (digest of the common bytes, key, first window, windows, kind).
+
+    Parts that share their bytes in the block go on as they are, and a token stands for them.
+    """
+    digest = xxhash.xxh3_64_intdigest
+    rows = [(digest(t[a:z]), key, at, n) for key, t, runs_ in zip(keys, texts, opens) for r in runs_ for a, z, at, n in leaning(*r, length)]
+    c = np.array([r[0] for r in rows], np.uint64)
+    _, which, count = np.unique(c, return_inverse=True, return_counts=True)
+    here = count[which] > 1 if len(rows) else np.zeros(0, bool)
+    token = np.unique(c[here])
+    chance = np.arange(len(rows), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (c[0] if len(rows) else np.uint64(0))
+    return (
+        np.concatenate((np.where(here, chance, c), token)).astype(np.int64),
+        [*(r[1] for r in rows), *[None] * len(token)],
+        np.array([*(r[2] for r in rows), *[0] * len(token)], np.int64),
+        np.array([*(r[3] for r in rows), *[0] * len(token)], np.int32),
+        np.concatenate((np.where(here, OPEN, RUN), np.full(len(token), TOKEN))).astype(np.int32),
+    )
+
+
 def block_windows(keys: list, texts: list[bytes], opens: list[list[tuple[int, int]]], length: int):
-    """Step 3 for a block: spans of settled windows (key, at, n) and, of each string, its first window here (w1, w2, key, at)."""
+    """Step 4 for a block: spans of settled windows (key, at, n) and, of each string, its first window here (w1, w2, key, at)."""
     order = sorted(range(len(texts)), key=lambda i: (keys[i], texts[i]))
     joined, places, owner, base = [], [], [], 0
     for i in order:
@@ -307,6 +361,7 @@ def settled_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             rows = block_runs(keys, texts, length)
             keys.clear()
             texts.clear()
+            release()
             return pa.RecordBatch.from_arrays([pa.array(rows[c], t) for c, t in (("h", pa.int64()), ("digest", pa.int64()), ("key", key_type), ("what", pa.int64()))], names=["h", "digest", "key", "what"])
 
         for batch in batches:
@@ -324,9 +379,10 @@ def settled_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     rows = docs.mapInArrow(found, f"h long, digest long, key {name}, what long")
     kind_of = F.col("what").bitwiseAND(F.lit(3))
+    shape = F.col("what").bitwiseAND(F.lit((1 << 32) - 1))  # windows, place of the k-gram and kind
     by = Window.partitionBy("h")
-    ranked = by.orderBy("digest", F.col("what").bitwiseAND(F.lit(1023)), "key", "what")
-    run_only = F.when(kind_of == RUN, F.struct("digest", F.col("what").bitwiseAND(F.lit(1023))))  # equal runs: kind and length, too
+    ranked = by.orderBy("digest", shape, "key", "what")
+    run_only = F.when(kind_of == RUN, F.struct("digest", shape))
     judged = rows.select(
         "key", "what",
         (F.lag(run_only).over(ranked) == run_only).alias("again"),
@@ -334,9 +390,44 @@ def settled_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     settled = (kind_of == SETTLED) | F.coalesce("again", F.lit(False))
     open_ = ~settled & ((kind_of == OPEN) | ((kind_of == RUN) & F.coalesce("several", F.lit(False))))
-    state = cut(judged.select(F.col("key").alias("id"), F.shiftright("what", 10).alias("at"), F.shiftright("what", 2).bitwiseAND(F.lit(255)).cast("int").alias("n"), settled.alias("settled"), open_.alias("open")).where("settled OR open"))
+    state = judged.select(
+        F.col("key").alias("id"), F.shiftright("what", 32).alias("at"), F.shiftright("what", 10).bitwiseAND(F.lit(_MOST)).cast("int").alias("n"),
+        F.shiftright("what", 2).bitwiseAND(F.lit(255)).cast("int").alias("off"), settled.alias("settled"), open_.alias("open"),
+    )
+    state = cut(state.where("settled OR open"))
     first = state.where("settled").select("id", "at", "n")
-    opens = state.where("open").groupBy("id").agg(F.collect_list(F.struct("at", "n")).alias("opens"))
+    # the texts are dealt by id once; all three joins with them read the same exchange
+    opens = state.where("open").groupBy("id").agg(F.collect_list(F.struct("at", "n", "off")).alias("opens"))
+
+    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list = []
+        texts: list[bytes] = []
+        held: list[list[tuple[int, int, int]]] = []
+
+        def flush() -> pa.RecordBatch:
+            c, key, at, n, kind = block_parts(keys, texts, held, length)
+            keys.clear()
+            texts.clear()
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c), pa.array(key, key_type), pa.array(at), pa.array(n), pa.array(kind)], names=["c", "key", "at", "n", "kind"])
+
+        size = 0
+        for batch in batches:
+            for key, t, os in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                if os:
+                    keys.append(key)
+                    texts.append(_utf8(t))
+                    held.append([(o["at"], o["n"], o["off"]) for o in os])
+                    size += len(texts[-1])
+                if size > BLOCK:
+                    yield flush()
+                    size = 0
+        if texts:
+            yield flush()
+
+    common = docs.join(opens.hint("shuffle_hash"), "id", "left").select("id", "text", "opens").mapInArrow(parted, f"c long, key {name}, at long, n int, kind int")
+    met = common.withColumn("found", F.count("*").over(Window.partitionBy("c")))
+    wanted = met.where(f"kind = {OPEN} OR (kind = {RUN} AND found > 1)").groupBy(F.col("key").alias("id")).agg(F.collect_list(F.struct("at", "n")).alias("opens"))
 
     def sorted_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list = []
@@ -361,6 +452,8 @@ def settled_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
         for batch in batches:
             for key, t, os in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                if not os:
+                    continue
                 b, mine = _utf8(t), sorted((o["at"], o["n"]) for o in os)
                 # a document with very many windows comes in parts, each with the bytes it needs
                 while mine:
@@ -378,7 +471,7 @@ def settled_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         if texts:
             yield from flush()
 
-    windows = docs.join(opens.hint("shuffle_hash"), "id").select("id", "text", "opens").mapInArrow(sorted_, f"w1 long, w2 long, key {name}, at long, n int")
+    windows = docs.join(wanted.hint("shuffle_hash"), "id", "left").select("id", "text", "opens").mapInArrow(sorted_, f"w1 long, w2 long, key {name}, at long, n int")
     # settled spans of windows have no digest; they are dealt by what they are
     salt = F.when(F.col("w1").isNull(), F.xxhash64("key", "at")).otherwise(F.col("w1"))
     w = Window.partitionBy("salt", "w1", "w2").orderBy("key", "at")
@@ -386,17 +479,15 @@ def settled_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return first.unionByName(deep)
 
 
-def spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows with ``removed``: the spans (start, stop) in bytes that go, none where null."""
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    settled = settled_windows(src, length).groupBy("id").agg(F.collect_list(F.struct("at", "n")).alias("__settled"))
-    return docs.join(settled.withColumnRenamed("id", id_col).hint("shuffle_hash"), id_col, "left").select(*docs.columns, "__settled")
+def _marks(src: DataFrame, length: int) -> DataFrame:
+    return settled_windows(src, length).groupBy("id").agg(F.collect_list(F.struct("at", "n")).alias("__settled"))
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows with what is left of their texts. A character cut in two by a span goes whole."""
-    marked = spans(docs, length, id_col, text_col)
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     columns = docs.columns
+    marked = docs.join(_marks(src, length).withColumnRenamed("id", id_col).hint("shuffle_hash"), id_col, "left").select(*columns, "__settled")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -421,7 +512,8 @@ def kept_bytes(b: bytes, gone: list[tuple[int, int]]) -> bytes:
 
 def digests(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256) for each row."""
-    marked = spans(docs.select(id_col, text_col), length, id_col, text_col)
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    marked = src.join(_marks(src, length).hint("shuffle_hash"), "id", "left").select("id", "text", "__settled")
     schema = docs.select(id_col).schema
     for n, t in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")):
         schema = schema.add(n, T.LongType() if t == "long" else T.StringType())
