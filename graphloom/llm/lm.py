@@ -11,7 +11,7 @@ The score is the log10 probability of all decisions: minus the code length.
 At scale: (context, symbol) grams are counted in blocks of text before anything is shuffled, and trees are
 built in partitions by the last two symbols. Only the counts of depths 0 and 1 reach the driver, at most
 257 x 256 rows whatever the corpus. No vocabulary is broadcast: texts are dealt into blocks, the distinct
-words and grams of a block are joined to the tables, and the answers meet the block's texts again.
+words and grams of all blocks meet by key, and what a block doesn't know goes back to its texts.
 
 Defined cases: a null or empty text is its end mark; repeated rows count and are scored each for itself;
 an empty table gives an empty result; without training texts all counts are 0 and each decision has
@@ -27,17 +27,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, release
 
 #: Preceding symbols that a context holds at most (with the symbol, 9 bits each, they fill 45 bits).
 DEPTH = 4
 END = 256
 #: Bytes of text in a block.
-BLOCK = 12 << 20
-_STEP = 2 << 20
+BLOCK = 8 << 20
+_STEP = 1 << 20
 _DOC_BITS = 19
 
 
@@ -104,43 +104,40 @@ END_WORD = (0, 0)
 WORD, GRAM = 0, 1
 
 
-def block_items(texts: list[bytes], trains: list[bool], all_words: bool) -> dict[str, np.ndarray]:
-    """The distinct words and grams of a block: kind, k1, k2 and n, the number in texts that train."""
+def block_items(texts: list[bytes], trains: list[bool]) -> dict[str, np.ndarray]:
+    """The distinct words and grams of a block: kind, k1, k2 and n, the number of the word in texts that train."""
     seen: Counter[bytes] = Counter()
     others: set[bytes] = set()
     for t, train in zip(texts, trains):
         if train:
             seen.update(t.split())
-        elif all_words:
+        else:
             others.update(t.split())
     ws = [*seen, *(others - seen.keys())]
     d = word_digests(ws)
-    k, n = gram_counts(texts, trains)
+    k, _ = gram_counts(texts, trains)
     zeros = np.zeros(len(k), np.int64)
     return {
         "kind": np.concatenate((np.full(len(ws) + 1, WORD), np.full(len(k), GRAM))).astype(np.int32),
         "k1": np.concatenate((d[:, 0], [END_WORD[0]], k.astype(np.int64))),
         "k2": np.concatenate((d[:, 1], [END_WORD[1]], zeros)),
-        "n": np.concatenate((np.array([seen[w] for w in ws], np.int64), [sum(trains)], n)),
+        "n": np.concatenate((np.array([seen[w] for w in ws], np.int64), [sum(trains)], zeros)),
     }
 
 
-ITEM = "kind int, k1 long, k2 long, n long"
-
-
-def count_items(docs: DataFrame, text_col: str, train_col: str) -> DataFrame:
-    """(kind, k1, k2, n) over all texts: block counts, summed by key."""
+def count_grams(docs: DataFrame, text_col: str, train_col: str) -> DataFrame:
+    """(k1, n) for the grams of all texts, n in those that train: block counts, summed by gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: list[bytes] = []
         trains: list[bool] = []
 
         def flush() -> pa.RecordBatch:
-            items = block_items(texts, trains, False)
-            some = (items["n"] > 0) | (items["kind"] == GRAM)
+            k, n = gram_counts(texts, trains)
             texts.clear()
             trains.clear()
-            return pa.RecordBatch.from_pydict({k: v[some] for k, v in items.items()})
+            release()
+            return pa.RecordBatch.from_pydict({"k1": k.astype(np.int64), "n": n})
 
         size = 0
         for batch in batches:
@@ -148,14 +145,14 @@ def count_items(docs: DataFrame, text_col: str, train_col: str) -> DataFrame:
                 texts.append(lowered(t.as_py() or ""))
                 trains.append(bool(train))
                 size += len(texts[-1])
-                if size > BLOCK:
+                if size > 2 * BLOCK:
                     yield flush()
                     size = 0
         if texts:
             yield flush()
 
-    items = docs.select(F.col(text_col), F.col(train_col)).mapInArrow(run, ITEM)
-    return items.groupBy("kind", "k1", "k2").agg(F.sum("n").alias("n"))
+    items = docs.select(F.col(text_col), F.col(train_col)).mapInArrow(run, "k1 long, n long")
+    return items.groupBy("k1").agg(F.sum("n").alias("n"))
 
 
 # ------------------------------------------------------------------ the tree
@@ -299,43 +296,46 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == keys
 
 
-def block_scores(texts: list[bytes], trains: list[bool], kind: np.ndarray, k1: np.ndarray, k2: np.ndarray, value: np.ndarray):
-    """For each text: tokens, known tokens, sum of log10(c + 0.1), log10 probability under the model.
+def block_scores(texts: list[bytes], trains: list[bool], told: dict[str, np.ndarray]):
+    """For each text: tokens, known tokens, sum of log10(c + 0.1), log10 probability under the model; and the number
+    of training words that are this block's to count.
 
-    The arrays hold what the tables say of the block's items; a word they lack is known from this block alone.
+    ``told`` has kind, k1, k2, value and lead for the block's items: counts of words that other blocks hold too,
+    and the scores of grams. A word it lacks is in this block alone.
     """
     own: Counter[bytes] = Counter()
     every: set[bytes] = set()
     for t, train in zip(texts, trains):
-        ws = t.split()
-        every.update(ws)
         if train:
-            own.update(ws)
-    ws = list(every)
+            own.update(t.split())
+        else:
+            every.update(t.split())
+    ws = [*own, *(every - own.keys())]
     counts = np.array([own[w] for w in ws], np.float64)
-    is_word = kind == WORD
-    pair = np.dtype([("a", np.int64), ("b", np.int64)])
-    told = np.empty(int(is_word.sum()), pair)
-    told["a"], told["b"] = k1[is_word], k2[is_word]
-    order = np.argsort(told, order=("a", "b")) if len(told) else np.zeros(0, np.int64)
-    told, told_value = told[order], value[is_word][order]
+    is_word = told["kind"] == WORD
+    k1, k2, value, lead = (told[c][is_word] for c in ("k1", "k2", "value", "lead"))
+    order = np.argsort(k1, kind="stable")
+    k1, k2, value, lead = k1[order], k2[order], value[order], lead[order]
     d = word_digests(ws)
-    mine = np.empty(len(ws), pair)
-    mine["a"], mine["b"] = d[:, 0], d[:, 1]
-    if len(told) and len(ws):
-        # equal first halves are told apart by scanning on; with 128-bit digests there are hardly any
-        at, found = _find(told["a"], mine["a"])
-        for shift in range(4):
-            there = np.minimum(at + shift, len(told) - 1)
-            hit = found & (told[there] == mine)
-            counts[hit] = told_value[there[hit]]
-    end = told_value[told["a"] == 0][:1] if len(told) else []
-    logs = np.log10(counts + 0.1)
+    at, found = _find(k1, d[:, 0])
+    here = np.zeros(len(ws), bool)
+    for shift in range(4):  # equal first halves of digests, of which there are hardly any
+        there = np.minimum(at + shift, max(0, len(k1) - 1))
+        hit = np.flatnonzero(found)
+        hit = hit[(k1[there[hit]] == d[hit, 0]) & (k2[there[hit]] == d[hit, 1])]
+        counts[hit] = value[there[hit]]
+        here[hit] = True
+    end = np.flatnonzero((k1 == END_WORD[0]) & (k2 == END_WORD[1]))
+    mine = int((~here & (counts > 0)).sum()) + int(lead.sum()) + (not len(end) and any(trains))
+    with np.errstate(divide="ignore"):
+        logs = np.log10(counts + 0.1)
     logs[counts == 0] = -1.0
     of = dict(zip(ws, logs.tolist()))
-    end_count = float(end[0]) if len(end) else float(sum(trains))
+    end_count = float(value[end[0]]) if len(end) else float(sum(trains))
     end_log = math.log10(end_count + 0.1) if end_count else -1.0
+    del ws, own, every, d, counts, logs, k1, k2, value
 
+    k1, value = told["k1"], told["value"]
     order = np.argsort(k1[~is_word])
     table, scores = k1[~is_word][order].astype(np.uint64), value[~is_word][order]
     out = []
@@ -352,7 +352,7 @@ def block_scores(texts: list[bytes], trains: list[bool], kind: np.ndarray, k1: n
             ls = [of[w] for w in t.split()]
             known = len(ls) - ls.count(-1.0) + (end_count > 0)
             out.append((len(ls) + 1, known, math.fsum(ls) + end_log, score))
-    return out
+    return out, mine
 
 
 def score(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -361,40 +361,49 @@ def score(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_col: str
     n_rows, size = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     blocks = max(1, math.ceil((size or 0) / BLOCK), math.ceil(n_rows / 100_000))
 
-    counted = cut(count_items(rows, "text", "train"))
-    words = counted.where(f"kind = {WORD} AND n > 0")
-    n_all, n_distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    table = cut(
-        words.select("kind", "k1", "k2", F.col("n").cast("double").alias("value")).unionByName(
-            gram_scores(counted.where(f"kind = {GRAM}").select("k1", "n")).select(
-                F.lit(GRAM).alias("kind"), "k1", F.lit(0).cast("long").alias("k2"), F.col("score").alias("value")
-            )
-        )
-    )
+    counted = cut(count_grams(rows, "text", "train"))
+    scored_grams = cut(gram_scores(counted))
 
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
 
     def items(t: pa.Table) -> pa.Table:
         texts = [lowered(x.as_py() or "") for x in t.column("text")]
-        found = block_items(texts, t.column("train").to_pylist(), True)
-        block = np.full(len(found["n"]), t.column("block")[0].as_py(), np.int32)
-        return pa.table({"block": block, **found})
-
-    asked = dealt.groupBy("block").applyInArrow(items, f"block int, {ITEM}")
-    told = asked.join(table, ["kind", "k1", "k2"]).where(f"kind = {GRAM} OR value > n").select("block", "kind", "k1", "k2", "value")
+        found = block_items(texts, t.column("train").to_pylist())
+        del texts
+        out = pa.table({"block": np.full(len(found["n"]), t.column("block")[0].as_py(), np.int32), **found})
+        release()
+        return out
+
+    # words of all blocks and the table of grams meet by key: what a block doesn't know goes back to it
+    asked = dealt.groupBy("block").applyInArrow(items, "block int, kind int, k1 long, k2 long, n long").withColumn("score", F.lit(None).cast("double"))
+    table = scored_grams.select(F.lit(None).cast("int").alias("block"), F.lit(GRAM).alias("kind"), "k1", F.lit(0).cast("long").alias("k2"), F.lit(0).cast("long").alias("n"), "score")
+    key = Window.partitionBy("kind", "k1", "k2")
+    met = asked.unionByName(table).select(
+        "block", "kind", "k1", "k2", "n",
+        F.when(F.col("kind") == GRAM, F.max("score").over(key)).otherwise(F.sum("n").over(key).cast("double")).alias("value"),
+        (F.col("block") == F.min(F.when(F.col("n") > 0, F.col("block"))).over(key)).alias("lead"),
+    )
+    told = met.where(f"block IS NOT NULL AND (kind = {GRAM} OR value > n)").select("block", "kind", "k1", "k2", "value", F.coalesce("lead", F.lit(False)).alias("lead"))
 
     id_type = rows.schema["id"].dataType.simpleString()
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         texts = [lowered(x.as_py() or "") for x in left.column("text")]
-        arrays = [right.column(c).to_numpy() for c in ("kind", "k1", "k2", "value")]
-        out = block_scores(texts, left.column("train").to_pylist(), *arrays) if texts else []
+        trains = left.column("train").to_pylist()
+        arrays = {c: right.column(c).to_numpy() for c in ("kind", "k1", "k2", "value", "lead")}
+        out, mine = block_scores(texts, trains, arrays) if texts else ([], 0)
         cols = [pa.array([r[i] for r in out], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-        return pa.Table.from_arrays([left.column("id").combine_chunks(), left.column("train").combine_chunks(), *cols], names=["id", "train", "n_tokens", "n_known", "known_log", "score"])
-
-    made = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
-        scored, f"id {id_type}, train boolean, n_tokens long, n_known long, known_log double, score double"
-    )
+        cols.append(pa.array([mine] + [0] * (len(out) - 1) if out else [], pa.int64()))
+        del texts, arrays, out
+        release()
+        return pa.Table.from_arrays([left.column("id").combine_chunks(), left.column("train").combine_chunks(), *cols], names=["id", "train", "n_tokens", "n_known", "known_log", "score", "new_words"])
+
+    made = cut(
+        dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+            scored, f"id {id_type}, train boolean, n_tokens long, n_known long, known_log double, score double, new_words long"
+        )
+    )
+    n_all, n_distinct = made.agg(F.coalesce(F.sum(F.when(F.col("train"), F.col("n_tokens"))), F.lit(0)), F.coalesce(F.sum("new_words"), F.lit(0))).first()
     unit = math.log10(n_all + 0.1 * (n_distinct + 1))
     return made.select(
         F.col("id").alias(id_col), "train", "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"),
