@@ -372,7 +372,7 @@ def test_packing(docs, texts, empty):
 
 
 def test_packing_in_many_groups(spark, monkeypatch):
-    monkeypatch.setattr(packing, "GROUP", 40)
+    monkeypatch.setattr(packing, "GROUP", 200)
     rng = random.Random(3)
     sizes = [rng.randint(1, 100) for _ in range(1500)]
     parts = spark.createDataFrame([(i, 0, 0, s, 0) for i, s in enumerate(sizes)], "id long, piece int, start long, length long, ids_crc32 long")
