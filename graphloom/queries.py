@@ -748,3 +748,45 @@ def eval_equivalence(spark, sf_dir):
 def json_props_extract(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     return e.groupBy("event_type").agg(F.count("*").alias("n"), F.sum(F.get_json_object("props", "$.k").cast("int")).alias("total"))
+
+
+# ---------------------------------------------------------------- sources and streams
+
+
+@query(f"SELECT s, p, o FROM ({triples_sql('inRegion', 'label')}) WHERE s LIKE 'Nation%' OR s LIKE 'Region%'")
+def src_turtle_roundtrip(spark, sf_dir):
+    """The nations and regions written as Turtle, a document a subject, and parsed again."""
+    from .sources import turtle
+
+    t = triples(spark, sf_dir, "inRegion", "label").where("s LIKE 'Nation%' OR s LIKE 'Region%'")
+    o = F.when(F.col("kind") == "iri", F.concat(F.lit("ex:"), "o")).otherwise(F.concat(F.lit('"'), F.regexp_replace("o", r'([\\"])', r"\\$1"), F.lit('"')))
+    stated = t.groupBy("s").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", F.concat(F.lit("ex:"), "p"), o))), " ; ").alias("po"))
+    texts = stated.select(F.col("s").alias("source"), F.concat(F.lit("@prefix ex: <http://e.org/> . ex:"), "s", F.lit(" "), "po", F.lit(" .")).alias("text"))
+    local = lambda c: text.local_name(F.col(c))
+    return turtle.parse(texts).select(local("s").alias("s"), local("p").alias("p"), F.when(F.col("o_kind") == "iri", local("o")).otherwise(F.col("o")).alias("o"))
+
+
+@query("SELECT source, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM (SELECT source, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM documents) GROUP BY 1")
+def src_chunk_files(spark, sf_dir):
+    """Documents as chunk files with headers, read back by the chunk parser."""
+    from .sources import chunks as reader
+
+    d = table(spark, sf_dir, "documents")
+    head = F.concat(F.lit("preface\n--- Pages: [1, 2] | Section: "), "source", F.lit(" | Title: "), F.col("doc_id").cast("string"), F.lit(" ---\n"))
+    files = d.select(F.col("doc_id").cast("string").alias("source"), F.concat(head, "text").alias("text"))
+    return reader.parse(files).groupBy(F.col("section").alias("source")).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("n_chars"))
+
+
+@query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def stream_event_windows(spark, sf_dir):
+    """Hourly counts over the event table as a stream that is read to its end."""
+    import uuid
+
+    from .streaming import ingest as streams
+
+    schema = table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    name = f"windows_{uuid.uuid4().hex}"
+    counted = streams.windowed_counts(events, "ts", "event_type")
+    counted.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name).select(F.date_format("start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n")
