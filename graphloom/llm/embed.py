@@ -5,8 +5,8 @@ quantising took off is kept, rounded up. For two vectors x = s q + e and y, |xy
 |sq||e'| + |e|(|s'q'| + |e'|), so the integer product of a tile (exact in float32) and these bounds say
 which pairs can reach the threshold; only those are recomputed, in double precision from the stored vectors.
 
-Copies are folded first: equal vectors are one node whatever their number. Vectors are ordered by their
-nearest of a few pivots and the angle to it, and cut into blocks; a block knows its interval of angles to
+Copies are folded first: equal vectors are one node whatever their number. Vectors are dealt by their nearest
+of a few pivots, and large cells are cut by a hash, into blocks; a block knows its interval of angles to
 every pivot. Linked vectors differ by at most arccos(threshold) in the angle to any pivot, so only pairs of
 blocks whose intervals come that close, for all pivots, are multiplied. Pairs of blocks meet by equal bands
 of the angle to the first pivot. A tile gives link counts and a spanning forest, never its pairs.
@@ -23,14 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import components, cut
 
-BLOCK = 2048
+BLOCK = 4096
 PIVOTS = 48
 #: Rows of a tile that are held at once.
 STRIP = 256
@@ -127,55 +126,43 @@ def _forest(n: int, us: list[np.ndarray], vs: list[np.ndarray]) -> tuple[list[np
 _BLOCK = "block long, dim int, ids binary, mults binary, vectors binary, low array<float>, high array<float>"
 
 
-def _blocks(nodes: DataFrame, pivots: dict[int, np.ndarray], parts: int) -> DataFrame:
-    """Blocks of nodes (node, dim, mult, embedding) that stand close together, as one row each."""
+def _near_pivots(nodes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
+    """nodes (node, dim, mult, embedding) with ``cell``, the number of the nearest pivot among those of all lengths."""
+    before = dict(zip(sorted(pivots), np.cumsum([0] + [len(pivots[d]) for d in sorted(pivots)]).tolist()))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell, angle = [], []
-            for v, d in zip(batch.column(3), batch.column(1).to_pylist()):
-                x = np.asarray(v.values, np.float64)
-                cos = pivots[d] @ (x / np.linalg.norm(x))
-                cell.append(int(cos.argmax()))
-                angle.append(float(cos.max()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(angle, pa.float64())], names=[*batch.schema.names, "cell", "cos"])
-
-    near = nodes.mapInArrow(placed, T.StructType([*nodes.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("cos", T.DoubleType())]))
-    dealt = near.repartitionByRange(parts, "dim", "cell", "cos").sortWithinPartitions("dim", "cell", "cos", "node")
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        held: list[tuple] = []
-        dim = -1
-
-        def block() -> pa.RecordBatch:
-            x = np.array([h[2] for h in held], np.float64).reshape(len(held), -1)
-            cos = np.clip(x / np.linalg.norm(x, axis=1)[:, None] @ pivots[dim].T, -1, 1)
-            angle = np.arccos(cos)
-            low, high = angle.min(0) - 1e-5, angle.max(0) + 1e-5
-            return pa.RecordBatch.from_pydict({
-                "block": pa.array([number], pa.int64()), "dim": pa.array([dim], pa.int32()),
-                "ids": [np.array([h[0] for h in held], np.int64).tobytes()], "mults": [np.array([h[1] for h in held], np.int64).tobytes()],
-                "vectors": [x.tobytes()], "low": pa.array([low.tolist()], pa.list_(pa.float32())), "high": pa.array([high.tolist()], pa.list_(pa.float32())),
-            })
+            cell = [before[d] + int((pivots[d] @ np.asarray(v.values, np.float64)).argmax()) for v, d in zip(batch.column(3), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int64())], names=[*batch.schema.names, "cell"])
 
-        for batch in batches:
-            for node, d, mult, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
-                if held and (d != dim or len(held) >= BLOCK):
-                    yield block()
-                    number += 1
-                    held = []
-                dim = d
-                held.append((node, mult, np.asarray(v.values, np.float64)))
-        if held:
-            yield block()
+    return nodes.mapInArrow(placed, T.StructType([*nodes.schema.fields, T.StructField("cell", T.LongType())]))
+
+
+def _blocks(near: DataFrame, pivots: dict[int, np.ndarray], cells: dict[int, int], stored: str) -> DataFrame:
+    """Blocks of nodes of one cell, as one row each. ``cells``: nodes of each cell; a larger one is cut by a hash. ``stored``: the vectors' own type."""
+    cuts = F.create_map(*[F.lit(x) for c, n in cells.items() for x in (c, max(1, -(-n // BLOCK)))])
+    block = F.col("cell") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), F.element_at(cuts, F.col("cell")))
 
-    return dealt.select("node", "dim", "mult", "embedding").mapInArrow(made, _BLOCK)
+    def made(t: pa.Table) -> pa.Table:
+        t = t.take(pa.array(np.argsort(t.column("node").to_numpy())))
+        dim = t.column("dim")[0].as_py()
+        x = np.array(t.column("embedding").combine_chunks().flatten(), np.float64).reshape(-1, dim)
+        cos = np.clip(x / np.linalg.norm(x, axis=1)[:, None] @ pivots[dim].T, -1, 1)
+        angle = np.arccos(cos)
+        low, high = angle.min(0) - 1e-5, angle.max(0) + 1e-5
+        return pa.table({
+            "block": pa.array([t.column("block")[0].as_py()], pa.int64()), "dim": pa.array([dim], pa.int32()),
+            "ids": [t.column("node").to_numpy().tobytes()], "mults": [t.column("mult").to_numpy().tobytes()],
+            "vectors": [x.astype(stored).tobytes()], "low": pa.array([low.tolist()], pa.list_(pa.float32())), "high": pa.array([high.tolist()], pa.list_(pa.float32())),
+        })
+
+    return near.withColumn("block", block).groupBy("block").applyInArrow(made, _BLOCK)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(id, n_links, component_id, kept) for each row."""
     kind = vectors.schema[id_col].dataType.simpleString()
+    stored = "<f4" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "<f8"
     e = F.col("embedding")
     good = (
         e.isNotNull()
@@ -188,14 +175,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     nodes = cut(distinct.withColumn("node", F.monotonically_increasing_id()).withColumn("dim", F.size("embedding")))
     picked = nodes.orderBy(F.xxhash64("embedding"), "node").limit(20 * PIVOTS).select("dim", "embedding").collect()
     dims = [r["dim"] for r in nodes.select("dim").distinct().collect()]
-    pivots = {}
-    for d in dims:
-        some = np.array([r["embedding"] for r in picked if r["dim"] == d][:PIVOTS] or [[1.0] + [0.0] * (d - 1)])
-        pivots[d] = some / np.linalg.norm(some, axis=1)[:, None]
     n = nodes.count()
     if not n:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    blocks = cut(_blocks(nodes.select("node", "dim", "mult", "embedding"), pivots, max(1, -(-n // BLOCK))))
+    wanted = max(1, min(PIVOTS, n // BLOCK))
+    pivots = {}
+    for d in dims:
+        some = np.array([r["embedding"] for r in picked if r["dim"] == d][:wanted] or [[1.0] + [0.0] * (d - 1)])
+        pivots[d] = some / np.linalg.norm(some, axis=1)[:, None]
+    near = cut(_near_pivots(nodes.select("node", "dim", "mult", "embedding"), pivots))
+    cells = {r["cell"]: r["count"] for r in near.groupBy("cell").count().collect()}  # a row a pivot at most
+    blocks = cut(_blocks(near, pivots, cells, stored))
 
     reach = math.acos(threshold) + 1e-4
     meta = blocks.select("block", "dim", "low", "high")
@@ -212,7 +202,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def load(s: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            return np.frombuffer(s["ids"], np.int64), np.frombuffer(s["mults"], np.int64), np.frombuffer(s["vectors"], np.float64).reshape(-1, s["dim"])
+            return np.frombuffer(s["ids"], np.int64), np.frombuffer(s["mults"], np.int64), np.frombuffer(s["vectors"], stored).astype(np.float64).reshape(-1, s["dim"])
 
         for batch in batches:
             for i in range(batch.num_rows):
