@@ -19,9 +19,9 @@ place, so windows fall into runs, one for each such k-gram (about one in 35 byte
 No step gathers the occurrences of a string: a block sends one row for each k-gram or window, so a passage
 held by a third of all documents meets in as many rows as there are blocks of text.
 
-Defined cases: null texts stay null and empty ones empty; texts shorter than ``length`` stay; among
-repeated rows with one id the text that sorts last loses what an equal string holds; an empty table gives
-an empty result; further columns don't matter.
+Defined cases: null texts stay null and empty ones empty; texts shorter than ``length`` stay; rows with one
+id are one document, what they hold at the same place is there once, and all of them lose the same places;
+rows without an id stay as they are; an empty table gives an empty result; further columns don't matter.
 """
 
 from __future__ import annotations
@@ -238,12 +238,16 @@ def block_runs(keys: list, texts: list[bytes], length: int) -> dict[str, list |
     if not digests:
         return {"h": [], "digest": [], "key": [], "what": []}
     doc, first, n, h, off, d = (np.concatenate(x) for x in (doc_of, first_of, n_of, hash_of, off_of, digests))
-    rank = np.empty(len(texts), np.int64)
-    rank[sorted(range(len(texts)), key=lambda i: (keys[i], texts[i]))] = np.arange(len(texts))
+    number = {k: i for i, k in enumerate(sorted(set(keys)))}
+    rank = np.array([number[k] for k in keys], np.int64)
     order = np.lexsort((first, rank[doc], off, n, d, h))
     doc, first, n, h, off, d = (x[order] for x in (doc, first, n, h, off, d))
     new_h = np.concatenate(([True], h[1:] != h[:-1]))
-    again = ~new_h & np.concatenate(([False], (d[1:] == d[:-1]) & (n[1:] == n[:-1]) & (off[1:] == off[:-1])))
+    same = np.concatenate(([False], (d[1:] == d[:-1]) & (n[1:] == n[:-1]) & (off[1:] == off[:-1])))
+    place = np.concatenate(([False], (rank[doc][1:] == rank[doc][:-1]) & (first[1:] == first[:-1])))
+    again = ~new_h & same & ~place
+    once = np.flatnonzero(~(~new_h & same & place))  # a repeated row's runs stand there once
+    doc, first, n, h, off, d, new_h, again = (x[once] for x in (doc, first, n, h, off, d, new_h, again))
     which = np.cumsum(new_h) - 1
     several = (np.bincount(which, ~again) > 1)[which]  # surroundings of the k-gram in this block
     # runs that are settled here, neighbours in a document as one
@@ -309,7 +313,8 @@ def block_parts(keys: list, texts: list[bytes], opens: list[list[tuple[int, int,
 
 def block_windows(keys: list, texts: list[bytes], opens: list[list[tuple[int, int]]], length: int):
     """Step 4 for a block: spans of settled windows (key, at, n) and, of each string, its first window here (w1, w2, key, at)."""
-    order = sorted(range(len(texts)), key=lambda i: (keys[i], texts[i]))
+    number = {k: i for i, k in enumerate(sorted(set(keys)))}
+    order = sorted(range(len(texts)), key=lambda i: keys[i])
     joined, places, owner, base = [], [], [], 0
     for i in order:
         joined.append(texts[i])
@@ -321,8 +326,13 @@ def block_windows(keys: list, texts: list[bytes], opens: list[list[tuple[int, in
     place, doc = np.concatenate(places), np.concatenate(owner)
     starts = np.zeros(len(texts), np.int64)
     starts[order] = np.cumsum([0] + [len(texts[i]) for i in order])[:-1]
-    sa, equal = deep_shallow(text, place, length)
     at = place - starts[doc]
+    rank = np.array([number[k] for k in keys], np.int64)[doc]
+    by_place = np.lexsort((at, rank))  # equal strings then stand by document and place
+    place, doc, at, rank = place[by_place], doc[by_place], at[by_place], rank[by_place]
+    once = np.flatnonzero(np.concatenate(([True], (rank[1:] != rank[:-1]) | (at[1:] != at[:-1]))))
+    place, doc, at = place[once], doc[once], at[once]
+    sa, equal = deep_shallow(text, place, length)
     first = sa[~equal]
     gone = np.sort(sa[equal])  # places ascend within a document's windows: neighbours become one span
     parts = np.split(gone, np.flatnonzero((np.diff(place[gone]) != 1) | (np.diff(doc[gone]) != 0)) + 1) if len(gone) else []
@@ -385,7 +395,7 @@ def settled_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     run_only = F.when(kind_of == RUN, F.struct("digest", shape))
     judged = rows.select(
         "key", "what",
-        (F.lag(run_only).over(ranked) == run_only).alias("again"),
+        ((F.lag(run_only).over(ranked) == run_only) & (F.lag(F.struct("key", "what")).over(ranked) != F.struct("key", "what"))).alias("again"),
         ((F.max(run_only).over(by) != F.min(run_only).over(by)) | (F.max((kind_of == TOKEN).cast("int")).over(by) == 1)).alias("several"),
     )
     settled = (kind_of == SETTLED) | F.coalesce("again", F.lit(False))
@@ -475,7 +485,7 @@ def settled_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     # settled spans of windows have no digest; they are dealt by what they are
     salt = F.when(F.col("w1").isNull(), F.xxhash64("key", "at")).otherwise(F.col("w1"))
     w = Window.partitionBy("salt", "w1", "w2").orderBy("key", "at")
-    deep = windows.withColumn("salt", salt).withColumn("r", F.row_number().over(w)).where("w1 IS NULL OR r > 1").select(F.col("key").alias("id"), "at", "n")
+    deep = windows.withColumn("salt", salt).withColumn("r", F.rank().over(w)).where("w1 IS NULL OR r > 1").select(F.col("key").alias("id"), "at", "n")
     return first.unionByName(deep)
 
 

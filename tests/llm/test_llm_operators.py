@@ -338,6 +338,19 @@ def test_deep_shallow_sorts_suffixes():
     assert all(a < b for a, b, e in zip(order, order[1:], equal[1:]) if e)
 
 
+@pytest.mark.parametrize("block", [16 << 20, 900])
+def test_suffix_array_dedup_of_repeated_rows(spark, monkeypatch, block):
+    monkeypatch.setattr(sadedup, "BLOCK", block)
+    rng = random.Random(11)
+    passage = prose(rng, 30)
+    pairs = [(1, prose(rng, 50) + passage), (2, prose(rng, 20) + passage * 2), (3, "ab" * 150), (4, prose(rng, 40))]
+    want = plain_removal(pairs, 100)
+    rows = spark.createDataFrame(pairs * 3 + [(None, passage)], "doc_id long, text string").repartition(5)
+    got = [r.asDict() for r in sadedup.digests(rows).collect()]
+    assert len(got) == 13 and all(r == want[r["doc_id"]] for r in got if r["doc_id"])
+    assert next(r for r in got if r["doc_id"] is None)["n_removed"] == 0
+
+
 def test_suffix_array_dedup_empty(empty, spark):
     assert sadedup.digests(empty).count() == sadedup.deduplicated(empty).count() == 0
 
