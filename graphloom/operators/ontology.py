@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.durable import cut
 from . import patterns
 
 
@@ -17,7 +18,7 @@ def closure(edges: DataFrame, max_depth: int = 64) -> DataFrame:
     size, depth = found.count(), 1
     while depth < max_depth:
         step = found.alias("a").join(found.alias("b"), F.col("a.ancestor") == F.col("b.child")).select("a.child", "b.ancestor")
-        found = found.union(step).distinct()
+        found = cut(found.union(step).distinct())
         if (now := found.count()) == size:
             break
         size, depth = now, depth * 2

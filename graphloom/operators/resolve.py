@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..plans.durable import cut
 from . import patterns
 
 
@@ -53,7 +54,7 @@ def resolve_chains(mapping: DataFrame, rounds: int = 30) -> DataFrame:
         ahead = m.select(F.col("source").alias("t"), F.col("target").alias("t2"))
         step = m.join(ahead, m.target == ahead.t, "left").select("source", "target", "t2")
         moved = step.select("source", F.when(F.col("t2").isNull() | (F.col("t2") == F.col("source")), F.col("target")).otherwise(F.col("t2")).alias("target"), F.coalesce((F.col("t2") != F.col("target")) & (F.col("t2") != F.col("source")), F.lit(False)).alias("went"))
-        moved = moved.checkpoint() if moved.sparkSession.sparkContext.getCheckpointDir() else moved
+        moved = cut(moved)
         m = moved.select("source", "target")
         if not moved.where("went").head(1):
             break

@@ -790,3 +790,6 @@ def stream_event_windows(spark, sf_dir):
     counted = streams.windowed_counts(events, "ts", "event_type")
     counted.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
     return spark.table(name).select(F.date_format("start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n")
+
+
+from . import queries_more  # noqa: E402, F401  registers its queries here

@@ -10,10 +10,10 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from graphloom import queries
-from graphloom.functions import similarity, text
-from graphloom.operators import evaluate, ingest, ontology, patterns, resolve, retrieve, validate
-from graphloom.sources import chunks, turtle
+from graphloom import queries, store
+from graphloom.functions import similarity, text, turtle_text
+from graphloom.operators import evaluate, ingest, ontology, orchestrate, patterns, resolve, retrieve, sanitize, validate
+from graphloom.sources import chunks, reports, turtle
 from graphloom.streaming import ingest as streams
 
 SF = "/root/testdata/sf0.001"
@@ -174,3 +174,70 @@ def test_streams(spark, tmp_path):
     manifest = spark.createDataFrame([(0, src.first().event_type, "ok"), (1, "other", "ok")], "id long, signature string, status string")
     streams.run_incremental(signed, lambda: manifest, lambda df, n: got.extend(r.id for r in df.collect()), str(tmp_path / "cp")).awaitTermination(60)
     assert len(got) == src.count() - 1 and 1 in got
+
+
+def test_sanitize_is_idempotent_and_mints(spark):
+    rows = [
+        ("_:a", "type", "Sensor", "iri", None, None), ("_:a", "label", "ENC 1", "literal", "en", None), ("x", "r", "_:a", "iri", None, None),
+        ("x", "type", "Thing", "iri", None, None), ("x", "type", "Machine", "iri", None, None), ("x", "type", "Table", "iri", None, None), ("x", "value", "8", "literal", None, "xsd:hexBinary"),
+        ("pump one", "label", "pump", "literal", None, None), ("x", "extract", "the machine\n" + "long line " * 60 + "\nx stands here", "literal", None, None),
+        ("OneTwoThreeFourFiveSixSevenEightNine", "extract", "one two three four five six seven eight nine", "literal", None, None),
+    ]
+    t = spark.createDataFrame(rows, "s string, p string, o string, kind string, lang string, datatype string")
+    domains = spark.createDataFrame([("r", "Machine")], "property string, class string")
+    closed = ontology.closure(spark.createDataFrame([("Machine", "Thing")], "child string, parent string"))
+    once = sanitize.sanitize(t, domains, closed, (("pump", "Pump"),))
+    got = {tuple(r) for r in once.collect()}
+    assert {tuple(r) for r in sanitize.sanitize(once, domains, closed, (("pump", "Pump"),)).collect()} == got
+    assert not any(str(v).startswith("_:") for r in got for v in (r[0], r[2])) and ("x", "r", "Enc1", "iri", None, None) in got
+    assert {r[2] for r in got if r[0] == "x" and r[1] == "type"} == {"Machine"} and {r[5] for r in got if r[1] == "value"} == {"string"}
+    assert ("pump one", "type", "Pump", "iri", None, None) in got and not any(r[0].startswith("OneTwo") for r in got)
+    assert all(len(r[2]) <= 320 for r in got if r[1] == "extract") and any(r[0] == "Enc1" and r[1] == "extract" for r in got)
+
+
+def test_extractor_failures_stay_in_rows(spark):
+    def work(t):
+        if "limit" in t:
+            raise RuntimeError("429 too many requests")
+        if "bad" in t:
+            raise ValueError("unexpected token")
+        return t.upper()
+
+    df = spark.createDataFrame([(1, "a plain chunk of text"), (2, "over the limit of calls"), (3, "a bad chunk of text"), (4, None), (5, "1 2 3 4 5 6 7 8 9")], "id long, text string")
+    got = {r.id: (r.status, r.attempts) for r in orchestrate.extract(df, work, orchestrate.PROFILES["eager"]).collect()}
+    assert got == {1: ("ok", 1), 2: ("error", 3), 3: ("error", 1), 4: ("skipped", 0), 5: ("skipped", 0)}
+    report = {(r.status, r["class"]): r.n for r in orchestrate.status_report(orchestrate.extract(df, work, orchestrate.PROFILES["eager"])).collect()}
+    assert report[("error", "rate_limit")] == 1 and report[("error", "syntax")] == 1
+
+
+def test_repaired_turtle_parses(spark):
+    raw = 'Sure!\n```ttl\nex:a(1) a ex:Sensor ; ex:label "the "big" one" ; ex:hex "8"^^xsd:hexBinary ; ex:extract "línea\\dos"@es .\n```'
+    df = spark.createDataFrame([("f", raw)], "source string, text string").withColumn("text", turtle_text.repaired(F.col("text")))
+    got = turtle.parse(df).collect()
+    assert [r.error for r in got] == [None] * 4 and {r.o for r in got} >= {'the "big" one', "8", "línea\\dos"}
+    assert {r.o_lang for r in got} == {None}
+
+
+def test_store_answers_from_evidence(spark, tmp_path):
+    rows = [("Pump_1", "type", "Pump", "iri"), ("Pump_1", "label", "feed pump", "literal"), ("Pump_1", "extract", "The feed pump serves to move water. It is red.", "literal"), ("Valve_1", "label", "relief valve", "literal")]
+    g = spark.createDataFrame([(*r, None) for r in rows], "s string, p string, o string, kind string, lang string")
+    s = store.GraphStore(g, g, view="kg_test")
+    assert s.size() == 4 and s.ask("SELECT * FROM kg_test WHERE s = 'Pump_1'") and s.health()["available"]
+    q = spark.createDataFrame([(1, "what is the purpose of the feed pump"), (2, "unrelated question")], "id long, text string")
+    got = {r.id: r for r in s.answer(q).collect()}
+    assert got[1].mode == "purpose" and "move water" in got[1].answer and got[2].status == "refused"
+    assert s.publish(str(tmp_path / "kg")) == 4 and store.GraphStore.load(spark, str(tmp_path / "kg"), "kg_back").size() == 4
+    s.remove(g.where("s = 'Valve_1'"))
+    assert s.size() == 3
+
+
+def test_reports_and_caches(spark, tmp_path):
+    terms = spark.createDataFrame([("b", "u2"), ("a", "u1"), ("a", "u1")], "term string, uri string")
+    reports.write_terms(terms, str(tmp_path / "terms"))
+    assert sorted(r.term for r in chunks.read_terms(spark, str(tmp_path / "terms")).collect()) == ["a", "b"]
+    reports.write_registry(spark.createDataFrame([("k", "N2"), ("k", "N1")], "key string, name string"), str(tmp_path / "reg"))
+    assert [tuple(r) for r in reports.read_registry(spark, str(tmp_path / "reg")).collect()] == [("k", "N1")]
+    for _ in range(2):
+        reports.append_report(terms, str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).count() == 6
+    assert reports.catalog(spark, [("f", queries.PLAN)]).count() == 2
