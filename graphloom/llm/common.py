@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import gc
 import re
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.durable import cut, shared_dir  # noqa: F401  the operators take them from here
+
 WORD_BREAK = re.compile(r"[\x20\x09-\x0D]+")
 
 
@@ -73,25 +74,6 @@ def release() -> None:
         pass
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder that driver and executors share, below ``spark.checkpoint.dir``.
-
-    Where the session has none (as in tests on one machine), a folder below /tmp is set.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write and reread: lineage ends here, and a lost executor costs no earlier work."""
-    spark = df.sparkSession
-    path = shared_dir(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _drop_tree(spark: SparkSession, df: DataFrame) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

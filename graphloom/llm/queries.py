@@ -87,6 +87,20 @@ def op10_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+OP1_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e,
+         embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS good
+  FROM embeddings),
+p AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM (SELECT * FROM v WHERE good) a JOIN (SELECT * FROM v WHERE good) b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS node, vec_id AS reached FROM v UNION SELECT r.node, p.w FROM r JOIN p ON p.u = r.reached)
+SELECT v.vec_id, (SELECT count(*) FROM p WHERE p.u = v.vec_id) AS n_links, min(r.reached) AS component_id, v.vec_id = min(r.reached) AS kept
+FROM v JOIN r ON r.node = v.vec_id GROUP BY v.vec_id
+"""
+
 OP5_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -130,4 +144,4 @@ QUERIES = {
     "op10_context_tree_lm": op10_context_tree_lm,
     "llm_page_language": llm_page_language,
 }
-ORACLE_SQL = {"op5_quality_rules": OP5_SQL}
+ORACLE_SQL = {"op1_embedding_near_dedup": OP1_SQL, "op5_quality_rules": OP5_SQL}

@@ -71,6 +71,14 @@ def test_stages(spark, rows, tmp_path):
     assert {(r.doc_id, r.piece, r.length, r.ids_crc32) for r in whole} == {(r.doc_id, r.piece, r.length, r.ids_crc32) for r in packed}
 
 
+def test_rows_without_id_stay_in_the_near_duplicate_stage(spark):
+    text = prose(random.Random(3), 60)
+    docs = spark.createDataFrame([(None, text, "en", "s", 1), (None, text, "en", "s", 1), (1, text, "en", "s", 1), (2, text, "en", "s", 1)], COLUMNS)
+    assert sorted((r.doc_id or 0) for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()) == [0, 0, 1]
+    left = corpus_pipeline.suffix_array_dedup(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0, len(r.text)) for r in left) == [(0, len(text)), (0, len(text)), (1, len(text)), (2, 0)]
+
+
 def test_run_on_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
