@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .functions import text, turtle_text
-from .operators import answer, enrich, ingest, merge, ontology, orchestrate, patterns, plan, resolve, sanitize
+from .functions import surfaces, text, turtle_text
+from .operators import answer, enrich, ingest, merge, ontology, orchestrate, patterns, plan, question, resolve, sanitize
 from .plans import triples as T
 from .plans.triples import relation, relation_sql, table, triples, triples_sql
-from .queries import CLOSURE_SQL, EXTRA_SQL, QUESTIONS_SQL, SIGNIFICANT_SQL, extended, norm_sql, parts, query, questions, subclasses, tokens_sql, view, words_sql
+from .queries import CLOSURE_SQL, EXTRA_SQL, LANGUAGE_SQL, QUESTIONS_SQL, SIGNIFICANT_SQL, TERMS_SQL, extended, norm_sql, parts, query, questions, subclasses, tokens_sql, view, words_sql
 
 # ---------------------------------------------------------------- repairs
 
@@ -364,3 +364,118 @@ def lex_entries(spark, sf_dir):
 @query(view("inNation", "inRegion") + " SELECT node, other FROM (SELECT s AS node, o AS other FROM t UNION SELECT o, s FROM t)")
 def er_neighbours(spark, sf_dir):
     return resolve.neighbours(triples(spark, sf_dir, "inNation", "inRegion"))
+
+
+# ---------------------------------------------------------------- surfaces and questions
+
+
+@query(f"""SELECT p_partkey AS id, regexp_matches(p_brand, '^[A-Z0-9_#.\\-\\[\\]=]+$') AS code, regexp_matches({norm_sql('p_brand')}, '^\\S+( \\S+)* [0-9]+$') AS variant,
+ {norm_sql('p_type')} = '' OR {norm_sql('p_type')} IN ({words_sql(surfaces.GENERIC)}) OR (NOT contains({norm_sql('p_type')}, ' ') AND p_type = lower(p_type)) AS generic,
+ regexp_matches(p_brand, '^[A-Za-z]+[_#.\\-]?[0-9]+[A-Za-z0-9_.\\-]*$') OR regexp_matches(p_brand, '^[A-Z][a-z]+(?:[A-Z][a-z0-9]+)+$') AS shaped FROM part""")
+def txt_surface_shapes(spark, sf_dir):
+    b, t = F.col("p_brand"), F.col("p_type")
+    return parts(spark, sf_dir).select("id", surfaces.code_like(b).alias("code"), surfaces.numeric_variant(b).alias("variant"), surfaces.generic(t).alias("generic"), surfaces.identifier_shaped(b).alias("shaped"))
+
+
+#: Phrases of conversations and what they become, in this order.
+PHRASES = (("please ", ""), ("what is", "define"), ("how do i", "procedure for"), ("tell me", "describe"))
+
+
+def replaced_sql(c: str) -> str:
+    for p, r in PHRASES:
+        c = f"regexp_replace({c}, '{p}', '{r}', 'gi')"
+    return c
+
+
+@query(f"SELECT conv_id, turn, {replaced_sql('text')} AS canonical FROM conversations")
+def txt_replaced_phrases(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", surfaces.replaced(F.col("text"), PHRASES).alias("canonical"))
+
+
+@query(f"""WITH h AS (SELECT doc_id, {LANGUAGE_SQL} FROM (SELECT doc_id, regexp_split_to_array(lower(text), '[\\s.,!?]+') AS w FROM documents)),
+g AS (SELECT *, de_hits + en_hits + es_hits + fr_hits AS total, greatest(de_hits, en_hits, es_hits, fr_hits) AS best, list_sort([de_hits, en_hits, es_hits, fr_hits])[3] AS second FROM h)
+SELECT doc_id, CASE WHEN total = 0 OR en_hits = best THEN 'en' WHEN de_hits = best THEN 'de' WHEN es_hits = best THEN 'es' ELSE 'fr' END AS language,
+ CASE WHEN total = 0 THEN 0.51 ELSE round(least(0.99, 0.55 + (best - second) / total * 0.4), 4) END::DOUBLE AS confidence FROM g""")
+def txt_detected_language(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", surfaces.detected_language(text.language_scores(F.col("text")), "en").alias("l"))
+    return d.select("doc_id", "l.language", "l.confidence")
+
+
+SIGNAL_SQL = "list_filter(regexp_split_to_array({}, '[^\\p{{L}}\\p{{N}}]+'), lambda w: regexp_matches(w, '^(?:[A-Z]{{2,}}[A-Z0-9]*|[0-9]{{3,}}|[A-Za-z]+[0-9][A-Za-z0-9]*)$'))"
+
+
+@query(f"SELECT doc_id, array_to_string(list_sort(list_distinct({SIGNAL_SQL.format('text')})), ' ') AS signals FROM documents")
+def txt_signal_tokens(spark, sf_dir):
+    ascii_only = F.array_join(F.array_sort(surfaces.signal_tokens(F.col("text"))), " ")
+    return table(spark, sf_dir, "documents").select("doc_id", ascii_only.alias("signals"))
+
+
+@query("SELECT page_id, regexp_replace(trim(regexp_replace(strip_accents(lower(regexp_replace(string_split(string_split(url, '?')[1], '#')[1], '\\.[A-Za-z0-9]+$', ''))), '[^a-z0-9]+', ' ', 'g')), ' ', '_', 'g') AS slug FROM pages")
+def txt_slug(spark, sf_dir):
+    path = F.substring_index(F.substring_index("url", "?", 1), "#", 1)
+    return table(spark, sf_dir, "pages").select("page_id", surfaces.slug(path).alias("slug"))
+
+
+@query("""SELECT n_nationkey AS id, sha256('{"name":"' || n_name || '","region":' || n_regionkey || '}') AS hash FROM nation""")
+def txt_content_hash(spark, sf_dir):
+    n = table(spark, sf_dir, "nation")
+    return n.select(F.col("n_nationkey").alias("id"), surfaces.content_hash(region=F.col("n_regionkey"), name=F.col("n_name")).alias("hash"))
+
+
+@query()
+def txt_uuid_suffix(spark, sf_dir):
+    """Name-based UUID suffixes of nations (no SQL counterpart; tested against the library)."""
+    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), surfaces.uuid_suffix(F.col("n_name")).alias("suffix"))
+
+
+#: (group, word): what makes a question speak of a group.
+GROUPS = (("writing", "write"), ("writing", "email"), ("writing", "poem"), ("explaining", "explain"), ("explaining", "how"), ("explaining", "why"), ("listing", "list"), ("translating", "translate"))
+GROUP_SQL = "gr AS (" + relation_sql(GROUPS, "grp", "word") + ")"
+
+
+@query(f"""WITH {QUESTIONS_SQL}, {GROUP_SQL}, q1 AS (SELECT id, min(text) AS text FROM q GROUP BY 1), c AS (SELECT id, {replaced_sql('text')} AS canonical FROM q1),
+w AS (SELECT DISTINCT id, unnest({tokens_sql('canonical', 2)}) AS word FROM c), g AS (SELECT id, array_to_string(list_sort(list(DISTINCT grp)), ',') AS groups FROM w JOIN gr USING (word) GROUP BY 1)
+SELECT c.id, canonical, coalesce(groups, '') AS groups, array_to_string(list_sort({SIGNIFICANT_SQL.format(tokens_sql('canonical', 3))}), ' ') AS tokens FROM c LEFT JOIN g ON g.id = c.id""")
+def qst_normalized(spark, sf_dir):
+    rules = relation(spark, GROUPS, "group", "phrase")
+    n = question.normalized(once(spark, sf_dir), PHRASES, rules)
+    return n.select("id", "canonical", F.array_join("groups", ",").alias("groups"), F.array_join(F.array_sort("tokens"), " ").alias("tokens"))
+
+
+@query(f"""WITH {QUESTIONS_SQL}, {TERMS_SQL}, q1 AS (SELECT id, min(text) AS text FROM q GROUP BY 1), c AS (SELECT id, {replaced_sql('text')} AS t FROM q1),
+h AS (SELECT DISTINCT id, unnest({tokens_sql('text', 3)}) AS term FROM q1), b AS (SELECT id, term FROM (SELECT id, term, row_number() OVER (PARTITION BY id ORDER BY length(term) DESC, term) AS r FROM h JOIN terms USING (term)) WHERE r = 1),
+a AS (SELECT c.id, coalesce({SIGNAL_SQL.format('t')}[1], '') AS sig, b.term, list_sort({SIGNIFICANT_SQL.format(tokens_sql('t', 3))}) AS ws FROM c LEFT JOIN b ON b.id = c.id),
+l AS (SELECT id, max(struct_pack(n := length(w), w := w)).w AS longest FROM (SELECT id, unnest(ws) AS w FROM a) GROUP BY 1)
+SELECT a.id, CASE WHEN sig <> '' THEN sig ELSE coalesce(term, longest) END AS anchor, CASE WHEN sig <> '' THEN 'signal' WHEN term IS NOT NULL THEN 'lexicon' WHEN longest IS NOT NULL THEN 'word' ELSE 'none' END AS how FROM a LEFT JOIN l ON l.id = a.id""")
+def qst_anchor_text(spark, sf_dir):
+    from .operators import retrieve
+
+    q = once(spark, sf_dir)
+    terms = table(spark, sf_dir, "benchmark").select(F.explode(text.tokens(F.col("text"), 5)).alias("term"))
+    parsed = question.normalized(q, PHRASES, relation(spark, GROUPS, "group", "phrase"))
+    return question.anchor_text(parsed, retrieve.question_hits(q, terms))
+
+
+@query(view("label", "inRegion") + " SELECT s AS node, array_to_string(list_sort(list(DISTINCT p || ' ' || o)), '; ')[1:2000] AS text FROM t WHERE s LIKE 'Nation%' GROUP BY s")
+def qst_neighbourhood(spark, sf_dir):
+    t = triples(spark, sf_dir, "label", "inRegion")
+    return question.neighbourhood(t, t.where("s LIKE 'Nation%'").select(F.col("s").alias("node")))
+
+
+@query(f"""WITH tm AS (SELECT term, 'u:' || term AS uri FROM (SELECT DISTINCT unnest({tokens_sql('text', 6)}) AS term FROM benchmark)), w AS (SELECT DISTINCT doc_id AS id, unnest({tokens_sql('text', 2)}) AS term FROM documents WHERE length(trim(text)) >= 50),
+k AS (SELECT id, array_to_string(list_sort(list(DISTINCT term || '=' || uri)), ', ') AS known FROM w JOIN tm USING (term) GROUP BY 1)
+SELECT doc_id AS id, sha256('Known: ' || coalesce(known, '') || chr(10) || 'Text: ' || trim(text)) AS h FROM documents LEFT JOIN k ON k.id = doc_id WHERE length(trim(text)) >= 50""")
+def orch_prompts(spark, sf_dir):
+    terms = table(spark, sf_dir, "benchmark").select(F.explode(text.tokens(F.col("text"), 6)).alias("term")).distinct().withColumn("uri", F.concat(F.lit("u:"), "term"))
+    chunks = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return question.prompts(chunks, terms, "Known: %s\nText: %s").select("id", F.sha2("prompt", 256).alias("h"))
+
+
+@query("""WITH r AS (SELECT o_custkey AS pair, o_orderstatus AS language, min(o_orderpriority) AS intent, count(*) % 3 AS family FROM orders WHERE o_orderstatus IN ('O', 'F') GROUP BY 1, 2)
+SELECT count(*) AS n, count(*) FILTER (a.intent = b.intent) AS same_intent, count(*) FILTER (a.family = b.family) AS same_family, count(*) FILTER (a.family = b.family) AS same_groups,
+ count(*) > 0 AND least(count(*) FILTER (a.intent = b.intent), count(*) FILTER (a.family = b.family)) >= 0.9 * count(*) AS passed FROM r a JOIN r b ON a.pair = b.pair AND a.language = 'O' AND b.language = 'F'""")
+def eval_paired_gates(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where("o_orderstatus IN ('O', 'F')")
+    r = o.groupBy(F.col("o_custkey").alias("pair"), F.col("o_orderstatus").alias("language")).agg(F.min("o_orderpriority").alias("intent"), (F.count("*") % 3).alias("family"))
+    return question.paired_gates(r.withColumn("groups", F.col("family")), "O", "F")

@@ -11,8 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from graphloom import queries, store
-from graphloom.functions import similarity, text, turtle_text
-from graphloom.operators import evaluate, ingest, ontology, orchestrate, patterns, resolve, retrieve, sanitize, validate
+from graphloom.functions import similarity, surfaces, text, turtle_text
+from graphloom.operators import evaluate, ingest, ontology, orchestrate, patterns, question, resolve, retrieve, sanitize, validate
 from graphloom.sources import chunks, reports, turtle
 from graphloom.streaming import ingest as streams
 
@@ -241,3 +241,28 @@ def test_reports_and_caches(spark, tmp_path):
         reports.append_report(terms, str(tmp_path / "log"))
     assert spark.read.json(str(tmp_path / "log")).count() == 6
     assert reports.catalog(spark, [("f", queries.PLAN)]).count() == 2
+
+
+def test_surfaces(spark):
+    import uuid
+
+    df = spark.createDataFrame([("M[1102]", "see m[1102] now", "xM[1102]"), ("pump", "the pump runs", "pumps")], "s string, yes string, no string")
+    got = df.select(F.expr("yes").alias("y"), surfaces.boundary_pattern(F.col("s")).alias("p"), surfaces.uuid_suffix(F.col("s")).alias("u"), "yes", "no", surfaces.any_surface(F.col("s"), F.lit(""), F.lit(None).cast("string"), F.col("s")).alias("a"))
+    rows = got.select("*", F.regexp_like("yes", F.col("p")).alias("hit"), F.regexp_like("no", F.col("p")).alias("miss")).collect()
+    assert [(r.hit, r.miss, r.a) for r in rows] == [(True, False, ["M[1102]"]), (True, False, ["pump"])]
+    assert rows[1].u == uuid.uuid5(uuid.NAMESPACE_URL, "pump").hex[:10]
+    texts = spark.createDataFrame([(surfaces_id,) for surfaces_id in (1, 2)], "id long").select(F.col("id").cast("string").alias("source"), surfaces.placeholder(F.col("id"), "blank page").alias("text"))
+    assert turtle.parse(texts).where("error IS NULL").count() == 4
+
+
+def test_candidates_keep_all_where_no_word_fits(spark):
+    c = spark.createDataFrame([(1, "Pump_1"), (1, "Valve_2"), (2, "Motor_1"), (2, "Motor_2")], "id int, node string")
+    assert {(r.id, r.node) for r in question.filtered(c, ["pump"]).collect()} == {(1, "Pump_1"), (2, "Motor_1"), (2, "Motor_2")}
+
+
+def test_question_record(spark):
+    q = spark.createDataFrame([(1, "Â¿QuÃ© es el cÃ³digo E204 de la bomba?"), (2, "")], "id long, text string")
+    rules = spark.createDataFrame([("pumps", "bomba")], "group string, phrase string")
+    got = {r.id: r for r in question.normalized(q, (("bomba", "bomba hidraulica"),), rules).collect()}
+    assert got[1].text == "¿Qué es el código E204 de la bomba?" and got[1].language == "es" and got[1].groups == ["pumps"] and got[1].signals == ["E204"]
+    assert (got[2].language, got[2].confidence, got[2].groups) == ("en", 0.51, [])
