@@ -36,7 +36,7 @@ from .common import cut, release
 DEPTH = 4
 END = 256
 #: Bytes of text in a block.
-BLOCK = 8 << 20
+BLOCK = 16 << 20
 _STEP = 1 << 20
 _DOC_BITS = 19
 
@@ -145,7 +145,7 @@ def count_grams(docs: DataFrame, text_col: str, train_col: str) -> DataFrame:
                 texts.append(lowered(t.as_py() or ""))
                 trains.append(bool(train))
                 size += len(texts[-1])
-                if size > 2 * BLOCK:
+                if size > BLOCK:
                     yield flush()
                     size = 0
         if texts:
