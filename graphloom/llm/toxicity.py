@@ -1,15 +1,15 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nystroem landmarks.
 
-Kernel: the gap-weighted subsequence kernel of order 3 (Lodhi et al., 2002) between words, where a common
+Kernel: the gap-weighted subsequence kernel of orders 3 and 4 (Lodhi et al., 2002) between words, where a common
 subsequence counts by decay to the power of its spans, up to ``SPAN`` characters, normalised to 1 for equal
-words. Characters put between the letters of an insult, or letters doubled, cost some decay only.
+words without repeated subsequences. Characters put between the letters of an insult, or letters doubled, cost some decay only.
 
 Training looks at sentences of a bounded sample of labelled documents: units (words, beginnings of words, and
 runs of four and five letters) that stand in toxic documents beyond chance give the positive words, which get gapped and
 padded variants; words of clean documents, and again those that score highest, are the negative ones. The
 kernel is mapped by the Nystroem method onto landmark words; a linear machine with squared hinge loss is
 fitted there. As each landmark is a sum of subsequence features, machine and landmarks fold into one table of
-weights a subsequence, 2**18 numbers: that table is all that travels.
+weights a subsequence, about 1.3 million numbers: that table is all that travels.
 
 A document's margin is that of its highest word, of all its words, whatever their number; Platt's
 sigmoid, fitted on the sample's documents, makes it a score. Copies of a word are scored once a task.
@@ -47,7 +47,12 @@ _EDGE = re.compile(r"^[^\w@$]+|\W+$")
 _STANDS_FOR = str.maketrans("0134578@$!", "oieastbasi")
 _NO_LETTER = re.compile(r"[\W\d_]+")
 
-_OFFSETS = [(i, j, DECAY ** (j + 1)) for j in range(2, SPAN) for i in range(1, j)]
+#: Places of a subsequence's characters after its first, and its weight: three within five characters, four within six.
+_TRIPLES = [(i, j, DECAY ** (j + 1)) for j in range(2, SPAN - 1) for i in range(1, j)]
+_QUADS = [(i, j, k, DECAY ** (k + 1)) for k in range(3, SPAN) for j in range(2, k) for i in range(1, j)]
+#: Numbers of subsequences: 2**18 for three characters, then a hash for four.
+_THREE, _FOUR = 1 << 18, 1 << 20
+FEATURES = _THREE + _FOUR
 
 
 def tokens(text: str) -> list[str]:
@@ -95,30 +100,39 @@ def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _features(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Subsequence numbers of each window (-1 where there is none), and the weight of each column."""
+    """Subsequence numbers of each window (FEATURES where there is none), and the weight of each column."""
     n = code.shape[1]
+    code = code.astype(np.int32)
+    pair = code << 6
     cols, weights = [], []
-    for i, j, w in _OFFSETS:
-        if j >= n:
-            continue
-        a, b, c = code[:, : n - j], code[:, i : n - j + i], code[:, j:]
-        f = (a << 12) | (b << 6) | c
-        cols.append(np.where(c < 0, -1, f))
-        weights += [w] * (n - j)
+    for i, j, w in _TRIPLES:
+        m = n - j
+        f = ((pair[:, :m] | code[:, i : m + i]) << 6) | code[:, j:]
+        cols.append(np.where(code[:, j:] < 0, FEATURES, f))
+        weights += [w] * m
+    for i, j, k, w in _QUADS:
+        m = n - k
+        f = ((((pair[:, :m] | code[:, i : m + i]) << 6) | code[:, j : m + j]) << 6) | code[:, k:]
+        f = _THREE + (((f.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(12)).astype(np.int32))
+        cols.append(np.where(code[:, k:] < 0, FEATURES, f))
+        weights += [w] * m
     return np.concatenate(cols, 1), np.array(weights)
 
 
+def _norms(f: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """What a window's features are divided by: the length they have if no subsequence repeats, so by the window's size alone."""
+    return np.sqrt(np.maximum(((f < FEATURES) * (w * w)).sum(1), 1e-24))
+
+
 def _sparse(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Unit feature vectors of windows: row, feature, value (features of a row summed up), and the word of each row."""
+    """Normalised feature vectors of windows: row, feature, value (features of a row summed up), and the word of each row."""
     code, owner = _codes(words)
     f, w = _features(code)
+    value = np.broadcast_to(w, f.shape) / _norms(f, w)[:, None]
     rows = np.repeat(np.arange(len(f)), f.shape[1])
-    some = f.ravel() >= 0
-    key, inverse = np.unique(rows[some] << 18 | f.ravel()[some], return_inverse=True)
-    value = np.bincount(inverse, np.tile(w, len(f))[some], len(key))
-    row, feature = key >> 18, key & ((1 << 18) - 1)
-    norm = np.sqrt(np.bincount(row, value**2, len(f)))
-    return row, feature, value / np.maximum(norm[row], 1e-12), owner
+    some = f.ravel() < FEATURES
+    key, inverse = np.unique(rows[some] << 21 | f.ravel()[some], return_inverse=True)
+    return key >> 21, key & ((1 << 21) - 1), np.bincount(inverse, value.ravel()[some], len(key)), owner
 
 
 def kernel(a: list[str], b: list[str]) -> np.ndarray:
@@ -149,23 +163,13 @@ class WordMachine:
 
     def margins(self, words: list[str]) -> np.ndarray:
         out = np.full(len(words), -np.inf)
+        weights = np.append(self.weights, np.float32(0))
         for lo in range(0, len(words), 4096):
             some = words[lo : lo + 4096]
             code, owner = _codes(some)
             f, w = _features(code)
-            there = f >= 0
-            f = np.where(there, f, 1 << 18)
-            dot = (np.append(self.weights, np.float32(0))[f] * w).sum(1)
-            order = np.argsort(f, 1, kind="stable")
-            fs, ws = np.take_along_axis(f, order, 1), np.where(there, w, 0)
-            ws = np.take_along_axis(ws, order, 1)
-            # squared norm: sums over equal features, from running sums at the ends of their runs
-            run = np.cumsum(ws, 1)
-            last = np.concatenate((fs[:, 1:] != fs[:, :-1], np.ones((len(fs), 1), bool)), 1)
-            ends = np.where(last, run, 0)
-            before = np.maximum.accumulate(np.concatenate((np.zeros((len(fs), 1)), ends[:, :-1]), 1), 1)
-            norm = np.sqrt((np.where(last, run - before, 0) ** 2).sum(1))
-            margin = dot / np.maximum(norm, 1e-12) + self.offset
+            dot = (weights[f] * w).sum(1)
+            margin = dot / _norms(f, w) + self.offset
             np.maximum.at(out, lo + owner, margin)
         return out
 
@@ -250,26 +254,27 @@ def fit_words(table: list[tuple[str, int, int]], n_toxic: int, n_clean: int, see
     vals, vecs = np.linalg.eigh(kmm)
     good = vals > 1e-6 * vals.max()
     root = vecs[:, good] / np.sqrt(vals[good])
-    varied = [v for w in positive[:600] for v in _variants(w, rng)]
-    varied = [v for v in varied if v not in df]
+    made = [(v, w) for w in positive[:600] for v in _variants(w, rng) if v not in df]
+    varied, origin = [v for v, _ in made], [w for _, w in made]
     negative = list(dict.fromkeys(common + [clean[i] for i in sorted(rng.permutation(len(clean))[:6000].tolist())]))
     machine = None
     lm_row, lm_feature, lm_value, lm_owner = _sparse(landmarks)
-    for _ in range(4):
+    for _ in range(6):
         xs = [*positive, *varied, *negative]
         y = np.array([1.0] * (len(positive) + len(varied)) + [-1.0] * len(negative))
         x = np.concatenate((kernel(xs, landmarks) @ root, np.ones((len(xs), 1))), 1)
         n_pos = len(positive) + len(varied)
         cost = np.full(len(xs), 10.0)
-        cost[: len(positive)] = 5 + 5 * np.log([df[w] for w in positive])  # common insults matter most
-        cost[len(positive) : n_pos] = 3.0
+        # a word counts by the documents it decides: common insults as much as the many clean words near them
+        cost[: len(positive)] = 12.0 * np.sqrt([df[w] for w in positive])
+        cost[len(positive) : n_pos] = 2.0 * np.sqrt([df[v] for v in origin])
         w = _fit_linear(x, y, cost)
         alpha = root @ w[:-1]
-        weights = np.bincount(lm_feature, lm_value * alpha[lm_owner[lm_row]], 1 << 18)
+        weights = np.bincount(lm_feature, lm_value * alpha[lm_owner[lm_row]], FEATURES)
         machine = WordMachine(weights, w[-1])
         m = machine.margins(clean)
         known = set(negative)
-        hard = [clean[i] for i in np.argsort(-m, kind="stable")[:1500] if clean[i] not in known and m[i] > -1]
+        hard = [clean[i] for i in np.argsort(-m, kind="stable")[:2000] if clean[i] not in known and m[i] > -0.5]
         if not hard:
             break
         negative += hard
