@@ -91,6 +91,7 @@ def evidence(questions: DataFrame, rows: DataFrame, most: int = 3) -> DataFrame:
     """
     q = questions.select("id", F.explode(text.significant_tokens(F.col("text"))).alias("word"))
     r = rows.select("row", F.explode(text.significant_tokens(F.col("text"))).alias("word"))
-    common = r.groupBy("word").agg(F.count("*").alias("n")).crossJoin(rows.agg(F.count("*").alias("all"))).where("100 * n <= all").select("word")
+    most_rows = rows.count() // 100
+    common = r.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") <= most_rows).select("word")
     shared = q.join(common, "word").join(r, "word").groupBy("id", "row").agg(F.count("*").alias("shared"))
     return patterns.top_by(shared, most, "id", F.desc("shared"), F.col("row"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,22 +48,29 @@ def incomparable_types(types: DataFrame, closed: DataFrame) -> DataFrame:
     return pairs.join(F.broadcast(both), (F.col("left") == F.col("x")) & (F.col("right") == F.col("y")), "left_anti")
 
 
-def summary(**faults: DataFrame) -> DataFrame:
-    """(category, n, sample): how many subjects each check found, and the least of them."""
-    parts = [df.agg(F.lit(name).alias("category"), F.count("*").alias("n"), F.min("s").alias("sample")) for name, df in faults.items()]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def report(triples: DataFrame, allowed: DataFrame, closed: DataFrame) -> DataFrame:
-    """The acceptance report over all categories that hold subjects."""
-    types = ontology.types_of(triples)
-    known = triples.join(F.broadcast(allowed), F.col("p") == F.col("property"), "left_anti").select("s").distinct()
-    return summary(
-        missing_type=missing(triples, ["type"]),
-        missing_trace=missing(triples, ["label", "identifier", "extract"]),
-        weak_linkage=weakly_linked(triples).select("s"),
-        unknown_predicate=known,
-        dangling=dangling(triples),
-        redundant_type=ontology.redundant_types(types, closed).select("s").distinct(),
-        long_name=long_names(triples),
-    )
+    """(category, n, sample): how many subjects each check finds, and the least of them.
+
+    One pass by subject and one by object carry all flags; both are combined before their shuffle.
+    """
+    known = allowed.select(F.col("property").alias("p"), F.lit(True).alias("known"))
+    flag = lambda c: F.max(c.cast("int"))
+    own = triples.join(F.broadcast(known), "p", "left").groupBy("s").agg(
+        flag(F.col("p") == "type").alias("typed"), flag(F.col("p").isin("label", "identifier", "extract")).alias("traced"),
+        flag(F.col("known").isNull()).alias("unknown"), F.sum(((F.col("kind") == "iri") & (F.col("p") != "type")).cast("long")).alias("n_out"),
+    )
+    into = patterns.links(triples).groupBy(F.col("o").alias("s")).agg(F.count("*").alias("n_in"))
+    redundant = ontology.redundant_types(ontology.types_of(triples), closed).select("s", F.lit(True).alias("redundant")).distinct()
+    whole = own.join(into, "s", "full_outer").join(redundant, "s", "left")
+    subject = F.col("typed").isNotNull()
+    found = {
+        "missing_type": subject & (F.col("typed") == 0),
+        "missing_trace": subject & (F.col("traced") == 0),
+        "weak_linkage": subject & (F.coalesce("n_out", F.lit(0)) + F.coalesce("n_in", F.lit(0)) <= 1),
+        "unknown_predicate": subject & (F.col("unknown") == 1),
+        "dangling": ~subject,
+        "redundant_type": F.col("redundant").isNotNull(),
+        "long_name": subject & (F.length("s") > 100),
+    }
+    each = whole.select("s", F.explode(F.array(*[F.struct(F.lit(k).alias("category"), c.alias("hit")) for k, c in found.items()])).alias("f"))
+    return each.groupBy("f.category").agg(F.count_if("f.hit").alias("n"), F.min(F.when(F.col("f.hit"), F.col("s"))).alias("sample"))
