@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -149,17 +150,24 @@ def test_toxicity_separates_and_tolerates_gaps(spark):
 
 def test_kernel_is_a_normalised_subsequence_kernel():
     def features(word):
-        w, out = f"^{word}^", Counter()
-        for i in range(len(w)):
-            for j in range(i + 1, len(w)):
-                for k in range(j + 1, min(len(w), i + toxicity.SPAN)):
-                    out[w[i], w[j], w[k]] += toxicity.DECAY ** (k - i + 1)
-        return out
-
-    for a, b in (("idiot", "idiot"), ("idiot", "idxiot"), ("moron", "morning"), ("stone", "stones")):
-        fa, fb = features(a), features(b)
-        want = sum(fa[x] * fb[x] for x in fa) / math.sqrt(sum(v * v for v in fa.values()) * sum(v * v for v in fb.values()))
-        assert toxicity.kernel([a], [b])[0, 0] == pytest.approx(want)
+        w, out, size = f"^{word}^", Counter(), 0.0
+        for n, span in ((3, toxicity.SPAN - 1), (4, toxicity.SPAN)):
+            for places in itertools.combinations(range(len(w)), n):
+                if places[-1] - places[0] < span:
+                    weight = toxicity.DECAY ** (places[-1] - places[0] + 1)
+                    out[tuple(w[i] for i in places)] += weight
+                    size += weight**2
+        return out, math.sqrt(size)
+
+    for a, b in (("idiot", "idiot"), ("idiot", "idxiot"), ("moron", "morning"), ("stone", "stones"), ("ab", "abc")):
+        (fa, na), (fb, nb) = features(a), features(b)
+        want = sum(fa[x] * fb[x] for x in fa) / (na * nb)
+        assert toxicity.kernel([a], [b])[0, 0] == pytest.approx(want, rel=1e-6)
+        machine = toxicity.WordMachine(np.zeros(toxicity.FEATURES), 0.25)
+        assert machine.margins([a, b]).tolist() == [0.25, 0.25]
+    row, feature, value, owner = toxicity._sparse(["stone"])
+    weights = np.bincount(feature, value, toxicity.FEATURES)
+    assert toxicity.WordMachine(weights, 0).margins(["stones"])[0] == pytest.approx(toxicity.kernel(["stones"], ["stone"])[0, 0], rel=1e-5)
 
 
 def test_untrained_scores_are_one_half(spark, docs, empty):
@@ -520,3 +528,38 @@ def test_lm_without_training_texts(docs):
     got = lm.score(docs.where("length(text) < 50").withColumn("train", F.lit(False)), "train").collect()
     for r in got:
         assert r["n_known"] == 0 and r["base_score"] == pytest.approx(0.0)
+
+
+# ---------------------------------------------------------------- cases that all operators share
+
+
+def test_repeated_rows_and_clashing_columns(spark, docs):
+    twice = docs.unionByName(docs)
+    for name in ("fp", "fail_bits", "found", "sequence_id", "component_id", "lang_id", "w1", "id"):
+        twice = twice.withColumn(name, F.lit(3))
+    n = docs.count()
+    path = f"{queries.TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
+    words = f"{queries.TOKENIZERS}/word_bpe_49k.json"
+    outs = {
+        "ledger": quality.ledger(twice), "kept": quality.keep_passing(twice, quality.Policy("none", 1, ())), "simhash": simhash.near_duplicates(twice),
+        "bpe": bpe.encode_documents(twice, path, queries.PATTERN), "licenses": licenses.scan(twice), "suffix": sadedup.digests(twice), "left": sadedup.deduplicated(twice),
+        "language": langid.identify(twice, F.col("lang"), F.col("source")), "lm": lm.score(twice.withColumn("train", F.lit(True)), "train"), "toxicity": toxicity.score(twice, toxicity.ToxicityModel(None)),
+    }
+    for name, out in outs.items():
+        rows = [tuple(sorted(r.asDict().items(), key=lambda x: x[0])) for r in out.collect()]
+        assert len(rows) == 2 * n, name
+        counts = Counter(str(r) for r in rows)
+        assert all(c == 2 for c in counts.values()), name
+    once = packing.pack_documents(docs, words).agg(F.sum("length")).first()[0]
+    assert packing.pack_documents(twice, words).agg(F.sum("length")).first()[0] == 2 * once
+
+
+def test_null_ids_and_null_columns(spark):
+    text = "the river and the house of stone in winter " * 6
+    rows = [(None, text, None, None, None, None, None), (None, None, None, None, None, None, None), (1, text, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, DOCS)
+    words = f"{queries.TOKENIZERS}/word_bpe_49k.json"
+    assert quality.ledger(df).count() == simhash.near_duplicates(df).count() == licenses.scan(df).count() == sadedup.digests(df).count() == 3
+    assert langid.identify(df, F.col("lang"), F.col("source")).count() == lm.score(df.withColumn("train", F.lit(None).cast("boolean")), "train").count() == 3
+    assert packing.pack_documents(df, words).count() == 3
+    assert bpe.digests(df, f"{queries.TOKENIZERS}/byte_bpe_multi_50k.tiktoken", queries.PATTERN).count() == 3
