@@ -5,7 +5,8 @@ at least three blocks, so each fingerprint is filed under all twenty choices of
 bits each), equal keys are joined and the Hamming distance is verified on what meets.
 
 Copies are folded first: equal fingerprints are one node whatever their number, so a group of copies that
-holds a third of all rows costs one node.
+holds a third of all rows costs one node. Fingerprints that differ in one block only are put together before that,
+in groups whose size the block's width bounds; pairs are then taken between the families so found only.
 
 Defined cases: a null or empty text has fingerprint zero and is linked like any other; repeated rows get
 the class of their fingerprint; an empty table gives an empty result; further columns don't matter.
@@ -16,6 +17,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,13 +47,17 @@ def fingerprint(text: str, size: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * total > n).tobytes(), "big")
 
 
+def signed(x: int) -> int:
+    """An unsigned 64-bit number as the long with the same bits."""
+    return x - (1 << 64) if x >> 63 else x
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
     """(id, fp): fp is the fingerprint as a signed long."""
 
     def make():
         def row(text: str) -> tuple:
-            fp = fingerprint(text, size)
-            return (fp - (1 << 64) if fp >> 63 else fp,)
+            return (signed(fingerprint(text, size)),)
 
         return row
 
@@ -73,22 +79,55 @@ def _keys(col):
     return F.array(*out)
 
 
-def links(nodes: DataFrame, fp_col: str = "fp") -> DataFrame:
+def block_links(nodes: DataFrame, fp_col: str = "fp") -> DataFrame:
+    """(u, v): a spanning forest of the links between fingerprints that differ in one block only.
+
+    Fingerprints that agree on all blocks but one form groups of at most 2**11 members whatever the data, so a
+    group is linked in one task, and a family of near copies gives as many rows as members, not its pairs.
+    """
+    others = [signed(~(((1 << w) - 1) << s) & (2**64 - 1)) for s, w in BLOCKS]
+    masks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(m).cast("long").alias("m")) for i, m in enumerate(others)])
+    filed = nodes.select(F.col(fp_col).alias("f"), F.explode(masks).alias("b")).select("f", F.col("b.i").alias("i"), F.col("f").bitwiseAND(F.col("b.m")).alias("rest"))
+    crowded = filed.groupBy("i", "rest").agg(F.count("*").alias("n")).where("n > 1").select("i", "rest")
+
+    def linked(t: pa.Table) -> pa.Table:
+        f = np.sort(t.column("f").to_numpy().astype(np.uint64))
+        near = np.bitwise_count(f[:, None] ^ f[None, :]) <= MAX_BITS
+        label = np.arange(len(f))
+        while True:  # the least member reachable, by rows
+            new = np.where(near, label[None, :], len(f)).min(1)
+            new = np.minimum(new, new[new])
+            if (new == label).all():
+                break
+            label = new
+        u = np.flatnonzero(label != np.arange(len(f)))
+        return pa.table({"u": f[u].astype(np.int64), "v": f[label[u]].astype(np.int64)})
+
+    return filed.join(crowded, ["i", "rest"], "left_semi").groupBy("i", "rest").applyInArrow(linked, "u long, v long")
+
+
+def links(nodes: DataFrame, fp_col: str = "fp", family_col: str | None = None) -> DataFrame:
     """(u, v) with u < v: pairs of different fingerprints at MAX_BITS or fewer differing bits.
 
-    Found through equal keys; a pair that shares several keys is given once.
+    Found through equal keys; a pair that shares several keys is given once. Pairs of one family, if a column
+    names it, are left out: they are known to be in one component.
     """
-    filed = nodes.select(F.col(fp_col).alias("f"), F.explode(_keys(F.col(fp_col))).alias("key"))
-    a, b = filed.withColumnRenamed("f", "u"), filed.withColumnRenamed("f", "v")
+    family = F.col(family_col) if family_col else F.col(fp_col)
+    filed = nodes.select(F.col(fp_col).alias("f"), family.alias("family"), F.explode(_keys(F.col(fp_col))).alias("key"))
+    a = filed.select("key", F.col("f").alias("u"), F.col("family").alias("fu"))
+    b = filed.select("key", F.col("f").alias("v"), F.col("family").alias("fv"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= MAX_BITS
-    return a.join(b, (a.key == b.key) & (F.col("u") < F.col("v")) & near).select("u", "v").distinct()
+    return a.join(b, (a.key == b.key) & (F.col("u") < F.col("v")) & (F.col("fu") != F.col("fv")) & near).select("u", "v").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
     """(id, fingerprint as 16 hexadecimal digits, component_id: the least id reachable by links)."""
     fps = cut(fingerprints(docs, id_col, text_col, size))
     nodes = fps.groupBy("fp").agg(F.min(id_col).alias("least"))
-    comp = components(links(nodes))
+    forest = cut(block_links(nodes))
+    families = components(forest)
+    known = nodes.join(families, nodes.fp == families.node, "left").select("fp", F.coalesce("component", "fp").alias("family"))
+    comp = components(forest.unionByName(links(known, family_col="family")))
     named = nodes.join(comp, nodes.fp == comp.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     member = named.join(least, "component").select("fp", "component_id")

@@ -204,6 +204,31 @@ def test_simhash_links_are_complete(spark):
     assert got == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 3}
 
 
+def test_simhash_families_are_the_components(spark):
+    rng = random.Random(14)
+    fps = set()
+    for _ in range(6):
+        base = rng.getrandbits(64)
+        for _ in range(60):  # dense families, some members only reached through others
+            f = base
+            for b in rng.sample(range(64), rng.randint(0, 5)):
+                f ^= 1 << b
+            fps.add(f)
+    signed = sorted(f - (1 << 64) if f >> 63 else f for f in fps)
+    nodes = spark.createDataFrame([(f,) for f in signed], "fp long")
+    unsigned = lambda f: f & (2**64 - 1)
+    want = union_find(signed, [(a, b) for a in signed for b in signed if a < b and unsigned(a ^ b).bit_count() <= 3])
+    forest = simhash.block_links(nodes)
+    for r in forest.collect():
+        assert want[r["u"]] == want[r["v"]]
+    families = {r["node"]: r["component"] for r in components(forest).collect()}
+    known = spark.createDataFrame([(f, families.get(f, f)) for f in signed], "fp long, family long")
+    pairs = simhash.links(known, family_col="family")
+    assert pairs.count() < simhash.links(nodes).count()
+    got = {r["node"]: r["component"] for r in components(forest.unionByName(pairs)).collect()}
+    assert {f: got.get(f, f) for f in signed} == want
+
+
 def test_simhash_empty(empty):
     assert simhash.near_duplicates(empty).count() == 0
 
