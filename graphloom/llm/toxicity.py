@@ -11,8 +11,8 @@ kernel is mapped by the Nystroem method onto landmark words; a linear machine wi
 fitted there. As each landmark is a sum of subsequence features, machine and landmarks fold into one table of
 weights a subsequence, about 1.3 million numbers: that table is all that travels.
 
-A document's margin is that of its highest word, of all its words, whatever their number; Platt's
-sigmoid, fitted on the sample's documents, makes it a score. Copies of a word are scored once a task.
+A document's margin is that of its highest word, of all its words, whatever their number; a sigmoid with
+Platt's slope, which is at ``THRESHOLD`` where the sample's documents are parted best, makes it a score. Copies of a word are scored once a task.
 
 Defined cases: a null or empty text has the margin of no word and a score near 0; repeated rows are scored
 each for itself; without labelled training rows of both kinds every score is 0.5; an empty table gives an
@@ -41,7 +41,6 @@ WINDOW, STEP = 16, 8
 REMEMBERED = 200_000
 THRESHOLD = 0.7
 
-_TOKEN = re.compile(r"\S+")
 _EDGE = re.compile(r"^[^\w@$]+|\W+$")
 #: Characters that stand for letters inside a word (fixed values).
 _STANDS_FOR = str.maketrans("0134578@$!", "oieastbasi")
@@ -282,7 +281,8 @@ def fit_words(table: list[tuple[str, int, int]], n_toxic: int, n_clean: int, see
 
 
 def _platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of the sigmoid, by Newton's method with Platt's smoothed targets."""
+    """Slope and intercept of the sigmoid: the slope by Newton's method with Platt's smoothed targets, the intercept
+    so that THRESHOLD lies where the documents are parted best."""
     pos, neg = (y > 0).sum(), (y <= 0).sum()
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
     weight = np.where(y > 0, 0.5 / pos, 0.5 / neg) * len(y)
@@ -297,7 +297,22 @@ def _platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
         a, b = a - step[0], b - step[1]
         if np.abs(step).max() < 1e-7:
             break
-    return max(a, 1e-3), b
+    a = max(a, 1e-3)
+    return a, math.log(THRESHOLD / (1 - THRESHOLD)) - a * _best_cut(margin, y)
+
+
+def _best_cut(margin: np.ndarray, y: np.ndarray) -> float:
+    """The margin that parts the labels best: most of the toxic above it, a clean document weighing as three; the middle of the widest gap among equals."""
+    order = np.argsort(margin, kind="stable")
+    m, pos = margin[order], y[order] > 0
+    above = pos.sum() - np.cumsum(pos)  # toxic documents above each place
+    clean = (~pos).sum() - np.cumsum(~pos)
+    value = above / max(1, pos.sum()) - 3 * clean / max(1, (~pos).sum())
+    gap = np.append(m[1:] - m[:-1], 0.0)
+    value = np.where(gap > 0, value, -np.inf)
+    best = np.flatnonzero(value == value.max())
+    at = best[gap[best].argmax()]
+    return float((m[at] + m[at + 1]) / 2) if at + 1 < len(m) else float(m[at])
 
 
 class ToxicityModel:
