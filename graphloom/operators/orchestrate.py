@@ -64,8 +64,6 @@ def extract(chunks: DataFrame, extractor: Callable[[str], str], retry: Retry = P
     are kept with the chunk, so that no chunk stops a run. Chunks that say nothing are not sent.
     """
     kind = chunks.schema["id"].dataType
-    from pyspark.sql.pandas.types import to_arrow_type
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -88,7 +86,6 @@ def extract(chunks: DataFrame, extractor: Callable[[str], str], retry: Retry = P
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["id", "output", "status", "error", "attempts"])
 
     src = chunks.select("id", "text", F.coalesce(informative(F.col("text")), F.lit(False)).alias("send"))
-    assert to_arrow_type(kind) is not None
     return src.mapInArrow(run, f"id {kind.simpleString()}, output string, status string, error string, attempts int")
 
 
