@@ -85,4 +85,4 @@ def first_by(df: DataFrame, group: str | list[str], *order: Column) -> DataFrame
 def top_by(df: DataFrame, n: int, group: str | list[str], *order: Column) -> DataFrame:
     """The first n rows of each group in a total order, with their rank; Spark prunes to n before the shuffle."""
     w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).withColumn("rank", F.col("rank").cast("long"))

@@ -183,7 +183,7 @@ def kg_regex_filter(spark, sf_dir):
 @query(view("extract") + " SELECT lang, count(*) AS n, max(length(o)) AS longest FROM t WHERE lang IN ('es', 'fr') AND length(o) > 3 GROUP BY lang")
 def kg_lang_filter(spark, sf_dir):
     t = triples(spark, sf_dir, "extract")
-    return t.where(F.col("lang").isin("es", "fr") & (F.length("o") > 3)).groupBy("lang").agg(F.count("*").alias("n"), F.max(F.length("o")).alias("longest"))
+    return t.where(F.col("lang").isin("es", "fr") & (F.length("o") > 3)).groupBy("lang").agg(F.count("*").alias("n"), F.max(F.length("o")).cast("long").alias("longest"))
 
 
 @query(view("placedBy") + " SELECT count(*) > 0 AS answer FROM t WHERE o = 'Customer_1'")
@@ -492,8 +492,8 @@ def er_cluster_cosine(spark, sf_dir):
  SELECT o_custkey AS source, o_orderpriority AS target, o_orderstatus AS issue, length(o_orderpriority) AS score, 1 AS questions FROM orders UNION ALL SELECT c_custkey, c_mktsegment, 'S', length(c_name), 2 FROM customer) GROUP BY 1, 2, 3""")
 def er_merge_candidates(spark, sf_dir):
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    a = o.select(F.col("o_custkey").alias("source"), F.col("o_orderpriority").alias("target"), F.col("o_orderstatus").alias("issue"), F.length("o_orderpriority").alias("score"), F.lit(1).alias("questions"))
-    b = c.select(F.col("c_custkey").alias("source"), F.col("c_mktsegment").alias("target"), F.lit("S").alias("issue"), F.length("c_name").alias("score"), F.lit(2).alias("questions"))
+    a = o.select(F.col("o_custkey").alias("source"), F.col("o_orderpriority").alias("target"), F.col("o_orderstatus").alias("issue"), F.length("o_orderpriority").cast("long").alias("score"), F.lit(1).alias("questions"))
+    b = c.select(F.col("c_custkey").alias("source"), F.col("c_mktsegment").alias("target"), F.lit("S").alias("issue"), F.length("c_name").cast("long").alias("score"), F.lit(2).alias("questions"))
     return resolve.merged(a, b)
 
 

@@ -350,11 +350,11 @@ def orch_outputs_match(spark, sf_dir):
 # ---------------------------------------------------------------- lexicon
 
 
-@query(f"""WITH t AS ({triples_sql('type', 'label', 'identifier', 'extract')}) SELECT s, min(CASE WHEN p = 'type' THEN o END) AS class, list_sort(list_distinct(list({norm_sql('o')}) FILTER (p = 'label'))) AS labels,
- list_sort(list_distinct(list(o) FILTER (p = 'identifier'))) AS identifiers, min(CASE WHEN p = 'extract' THEN o[1:160] END) AS excerpt FROM t GROUP BY s""")
+@query(f"""WITH t AS ({triples_sql('type', 'label', 'identifier', 'extract')}) SELECT s, min(CASE WHEN p = 'type' THEN o END) AS class, array_to_string(list_sort(list_distinct(list({norm_sql('o')}) FILTER (p = 'label'))), ', ') AS labels,
+ array_to_string(list_sort(list_distinct(list(o) FILTER (p = 'identifier'))), ', ') AS identifiers, min(CASE WHEN p = 'extract' THEN o[1:160] END) AS excerpt FROM t GROUP BY s""")
 def lex_entries(spark, sf_dir):
     t = triples(spark, sf_dir, "type", "label", "identifier", "extract")
-    all_of = lambda p, c: F.when(F.count_if(F.col("p") == p) > 0, F.array_sort(F.collect_set(F.when(F.col("p") == p, c))))
+    all_of = lambda p, c: F.when(F.count_if(F.col("p") == p) > 0, F.array_join(F.array_sort(F.collect_set(F.when(F.col("p") == p, c))), ", "))
     return t.groupBy("s").agg(
         F.min(F.when(F.col("p") == "type", F.col("o"))).alias("class"), all_of("label", text.normalize(F.col("o"))).alias("labels"),
         all_of("identifier", F.col("o")).alias("identifiers"), F.min(F.when(F.col("p") == "extract", F.substring("o", 1, 160))).alias("excerpt"),
