@@ -36,16 +36,19 @@ def star(triples: DataFrame, **columns: str) -> DataFrame:
 
 
 def describe(triples: DataFrame, seeds: DataFrame, predicates: list[str]) -> DataFrame:
-    """(s, p, o) of the seeds' (column node) triples with the given predicates, once each."""
+    """(s, p, o) of the seeds' (column node) triples with the given predicates, once each.
+
+    An inner join, as a semi-join would be planned anew, with its seeds, in each branch of the view.
+    """
     wanted = triples.where(F.col("p").isin(*predicates))
-    return wanted.join(seeds, wanted.s == seeds.node, "left_semi").select("s", "p", "o").distinct()
+    return wanted.join(seeds, wanted.s == seeds.node).select("s", "p", "o").distinct()
 
 
 def traverse(triples: DataFrame, seeds: DataFrame, predicate: str, incoming: bool = False) -> DataFrame:
     """Entities one step from the seeds (column node) along a predicate, once each."""
     step = triples.where((F.col("p") == predicate) & (F.col("kind") == "iri"))
     at, to = ("o", "s") if incoming else ("s", "o")
-    return step.join(seeds, step[at] == seeds.node, "left_semi").select(F.col(to).alias("node")).distinct()
+    return step.join(seeds.select(F.col("node").alias("__seed")), step[at] == F.col("__seed")).select(F.col(to).alias("node")).distinct()
 
 
 def degrees(triples: DataFrame) -> DataFrame:

@@ -51,12 +51,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def triples(spark: SparkSession, sf_dir: str, *predicates: str) -> DataFrame:
     """The triples of the given predicates (all by default). Only the columns they need are read."""
-    parts = []
+    parts, tables = [], {}
     for t, prefix, key, p, to, value, lang in MAPPINGS:
         if predicates and p not in predicates:
             continue
+        if t not in tables:  # a table's files are listed once
+            tables[t] = table(spark, sf_dir, t)
         o = F.expr(value)
-        part = table(spark, sf_dir, t).select(
+        part = tables[t].select(
             F.concat(F.lit(f"{prefix}_"), F.col(key).cast("string")).alias("s"),
             F.lit(p).alias("p"),
             (o.cast("string") if to in (None, "") else F.concat(F.lit(to), o.cast("string"))).alias("o"),

@@ -63,11 +63,11 @@ def words_sql(ws: tuple[str, ...]) -> str:
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers of a region, with label, nation and segment."""
-    t = triples(spark, sf_dir, "inRegion", "inNation", "label", "segment", "type")
-    nations = patterns.traverse(t, seeds(spark, "Region_1"), "inRegion", incoming=True)
-    reached = patterns.traverse(t, nations, "inNation", incoming=True)
-    customers = reached.join(patterns.match(t, p="type", o="Customer"), F.col("node") == F.col("s"), "left_semi")
-    return patterns.star(t.join(customers, F.col("s") == F.col("node"), "left_semi"), label="label", nation="inNation", segment="segment")
+    nations = patterns.traverse(triples(spark, sf_dir, "inRegion"), seeds(spark, "Region_1"), "inRegion", incoming=True)
+    reached = patterns.traverse(triples(spark, sf_dir, "inNation"), nations, "inNation", incoming=True)
+    customers = patterns.match(triples(spark, sf_dir, "type"), p="type", o="Customer").select("s")
+    about = triples(spark, sf_dir, "label", "inNation", "segment").join(reached.join(customers, F.col("node") == F.col("s")).select("node"), F.col("s") == F.col("node"))
+    return patterns.star(about, label="label", nation="inNation", segment="segment")
 
 
 @query(view("inRegion", "inNation", "label", "segment", "type") + """,
