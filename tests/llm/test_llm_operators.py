@@ -321,6 +321,11 @@ def test_license_scan(spark, empty):
     assert "-free" in by_id(licenses.scan(df))[11]["found"][0]["differences"]
 
 
+def test_license_templates_in_one_block():
+    text = "\n".join(of[0] for of in licenses.TEMPLATES.values())
+    assert {f[1] for f in licenses.Scanner().scan(text)[1]} == set(licenses.TEMPLATES)
+
+
 # ---------------------------------------------------------------- 7
 
 
