@@ -321,6 +321,19 @@ def test_license_scan(spark, empty):
     assert "-free" in by_id(licenses.scan(df))[11]["found"][0]["differences"]
 
 
+def test_license_templates_wrapped():
+    import textwrap
+
+    scanner = licenses.Scanner()
+    for name, of in licenses.TEMPLATES.items():
+        for t in of:
+            want = licenses.wording(t)
+            assert sum(bool(licenses._CUE.match(w)) for w in want) > (1 - licenses.COVERAGE) * len(want), (name, t)
+            for lines in ([t], textwrap.wrap(t, 70), textwrap.wrap(t, 80), ["", *textwrap.wrap(t, 40)], [" * " + x for x in textwrap.wrap(t, 75)]):
+                text = "\n".join(["a river of stone"] * 5 + lines + ["and winter came"] * 5)
+                assert {f[1] for f in scanner.scan(text)[1]} == {name}, (name, lines)
+
+
 def test_license_templates_in_one_block():
     text = "\n".join(of[0] for of in licenses.TEMPLATES.values())
     assert {f[1] for f in licenses.Scanner().scan(text)[1]} == set(licenses.TEMPLATES)
