@@ -13,6 +13,9 @@ at most: long texts outweigh the other evidence, short ones listen to it.
 A language is one that at least ``MIN_SHARE`` of the declaring documents declare; by the 676 codes of two
 letters the tables that reach the driver are bounded whatever the corpus.
 
+Beside this contest of the declared languages, a text is held against its best one alone (``lang_fits``): texts of a
+language that none declares, or of none, take more bits a trigram than that language's own.
+
 Defined cases: a null or empty text, or one without letters, has no text evidence and is decided by the
 rest; null declarations, hosts and suffixes are no evidence; repeated rows are judged each for itself; an
 empty table gives an empty result. Without any declaration in the corpus the language is null.
@@ -20,6 +23,7 @@ empty table gives an empty result. Without any declaration in the corpus the lan
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import chain
 
@@ -36,8 +40,12 @@ TEXT_WEIGHT = 200.0
 #: Pseudo-counts with which a level of the hierarchy weighs on the one below.
 HOST_STRENGTH, SUFFIX_STRENGTH = 20.0, 50.0
 MIN_SHARE = 1e-4
-#: A document is kept if its posterior is at least this, and its text doesn't contradict that language.
+#: A document is kept if its posterior is at least this, its text doesn't contradict that language, and fits it.
 MIN_CONFIDENCE = 0.5
+#: A text fits if its trigrams take at most so many bits more each than the language's own texts do on average, with so
+#: many standard errors for its length. On sf0.1, 99.9 % of the texts take less than 2.7 more; of those whose language
+#: was left out of the counts, 99 % take over 4.6 with en, es or fr left out, 95 % over 5.4 with any left out.
+MAX_EXCESS, ERRORS = 3.0, 3.0
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(97, 123), *range(128, 256)]] = True
@@ -101,9 +109,9 @@ def identify(
     suffix: Column | None = None,
     text_col: str = "text",
 ) -> DataFrame:
-    """The rows with ``lang_id`` (code), ``lang_confidence`` (its posterior) and ``lang_text`` (by the text alone, null without letters)."""
+    """The rows with ``lang_id`` (code), ``lang_confidence`` (its posterior), ``lang_text`` (by the text alone) and ``lang_fits`` (the text fits that language), these null without letters."""
     none = F.lit(None).cast("string")
-    docs = docs.drop("lang_id", "lang_confidence", "lang_text")  # results take the place of columns of their names
+    docs = docs.drop("lang_id", "lang_confidence", "lang_text", "lang_fits")  # results take the place of columns of their names
     named = docs.select(
         *[F.col(f"`{c}`") for c in docs.columns],
         (declared_code(declared) if declared is not None else none).alias("__declared"),
@@ -114,27 +122,34 @@ def identify(
     counts = _text_counts(src)
     codes = list(counts)
     if not codes:
-        return docs.select("*", none.alias("lang_id"), F.lit(None).cast("double").alias("lang_confidence"), none.alias("lang_text"))
+        return docs.select("*", none.alias("lang_id"), F.lit(None).cast("double").alias("lang_confidence"), none.alias("lang_text"), F.lit(None).cast("boolean").alias("lang_fits"))
     k = len(codes)
     total = np.array([counts[c] for c in codes], np.float64) + 0.5
     weights = np.log(total / total.sum(1, keepdims=True)).T.astype(np.float32).copy()
+    # mean and deviation of a trigram's log share in each language's own texts
+    own = np.array([counts[c] / max(1, counts[c].sum()) for c in codes]).T
+    mean = (own * weights).sum(0)
+    deviation = np.sqrt(np.maximum(0, (own * weights**2).sum(0) - mean**2))
 
     keep = [*docs.columns, "__declared", "__host", "__suffix"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            logs = []
+            logs, fits = [], []
             for text in batch.column(batch.schema.get_field_index(text_col)):
                 slots = trigram_slots(text.as_py() or "")
                 n = len(slots)
                 if n:
                     sums = sum(weights[slots[a : a + 65536]].sum(0, dtype=np.float64) for a in range(0, n, 65536))
+                    best = int(np.argmax(sums))
+                    fits.append(bool(mean[best] - sums[best] / n <= MAX_EXCESS * math.log(2) + ERRORS * deviation[best] / math.sqrt(n)))
                     logs.append((sums / n * (n * TEXT_WEIGHT / (n + TEXT_WEIGHT))).tolist())
                 else:
+                    fits.append(None)
                     logs.append(None)
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(logs, pa.list_(pa.float64()))], names=[*keep, "__logs"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(logs, pa.list_(pa.float64())), pa.array(fits, pa.bool_())], names=[*keep, "__logs", "__fits"])
 
-    schema = T.StructType([*named.schema.fields, T.StructField("__logs", T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([*named.schema.fields, T.StructField("__logs", T.ArrayType(T.DoubleType())), T.StructField("__fits", T.BooleanType())])
     scored = named.mapInArrow(run, schema)
     best = F.expr("array_position(__logs, array_max(__logs)) - 1")
     seen = cut(scored.where("__logs IS NOT NULL").groupBy("__declared", "__host", "__suffix", best.cast("int").alias("k")).agg(F.count("*").alias("n")))
@@ -183,12 +198,13 @@ def identify(
         F.element_at(names, at).alias("lang_id"),
         (F.lit(1.0) / norm).alias("lang_confidence"),
         F.when(F.col("__logs").isNotNull(), F.element_at(names, by_text)).alias("lang_text"),
+        F.col("__fits").alias("lang_fits"),
     )
 
 
 def verdict(allowed: tuple[str, ...] | None = None) -> Column:
-    """Whether an identified row is kept: confident, with text evidence, and in an allowed language (any by default)."""
-    kept = F.col("lang_text").isNotNull() & (F.coalesce("lang_confidence", F.lit(0.0)) >= MIN_CONFIDENCE)
+    """Whether an identified row is kept: confident, with a text that reads as that language and fits it, in an allowed language (any by default)."""
+    kept = F.col("lang_text").eqNullSafe(F.col("lang_id")) & F.coalesce("lang_fits", F.lit(False)) & (F.coalesce("lang_confidence", F.lit(0.0)) >= MIN_CONFIDENCE)
     return kept & F.col("lang_id").isin(*allowed) if allowed else kept
 
 

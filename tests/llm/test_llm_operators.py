@@ -482,6 +482,17 @@ def test_language_id(spark, empty):
     assert langid.identify(empty, F.col("lang"), F.col("source")).count() == 0
 
 
+def test_language_verdict_rejects(spark):
+    say = {"en": "the house and the river of stone with winter ", "fr": "la maison et le fleuve de pierre avec l'hiver "}
+    rows = [(i, say[lang] * (1 + i % 3), lang, f"{lang}.example.org") for i, lang in enumerate(["en", "fr"] * 200)]
+    planted = [(500, "le r", "en", "en.example.org"), (501, "dom nad rzeką był zbudowany z kamienia zimą " * 3, "en", "en.example.org"), (502, "qzx vkj wqp zzkx jjqv xkcd pvvq " * 4, "fr", "fr.example.org")]
+    df = spark.createDataFrame(rows + planted, "doc_id long, text string, declared string, host string")
+    got = by_id(langid.identify(df, F.col("declared"), F.col("host")).withColumn("kept", langid.verdict()))
+    assert got[500]["lang_id"] == "en" and got[500]["lang_text"] == "fr"  # declaration and host outweigh a short text
+    assert all(got[i]["lang_confidence"] >= langid.MIN_CONFIDENCE and not got[i]["kept"] for i in (500, 501, 502))
+    assert all(got[i]["kept"] for i in range(400))
+
+
 def test_language_of_pages(spark):
     html = "<html lang='{}'><script>var x = 'the of';</script><body><p>{}</p></body></html>"
     say = {"en": "the house and the river of stone", "fr": "la maison et le fleuve de pierre"}
