@@ -10,8 +10,9 @@ suffix's, these towards the whole corpus's, all by grouped aggregation.
 Trigrams of one text depend on each other, so a text's log likelihood counts like ``TEXT_WEIGHT`` trigrams
 at most: long texts outweigh the other evidence, short ones listen to it.
 
-A language is one that at least ``MIN_SHARE`` of the declaring documents declare; by the 676 codes of two
-letters the tables that reach the driver are bounded whatever the corpus.
+A language is a declared code whose texts hold at least ``MIN_TRIGRAMS`` trigrams, however few of the documents
+declare it; by the 676 codes of two letters the tables that reach the driver are bounded whatever the corpus.
+Without any such code, every declared one is a language.
 
 Beside this contest of the declared languages, a text is held against its best one alone (``lang_fits``): texts of a
 language that none declares, or of none, take more bits a trigram than that language's own.
@@ -39,7 +40,8 @@ SLOTS = 1 << 14
 TEXT_WEIGHT = 200.0
 #: Pseudo-counts with which a level of the hierarchy weighs on the one below.
 HOST_STRENGTH, SUFFIX_STRENGTH = 20.0, 50.0
-MIN_SHARE = 1e-4
+#: Trigrams in the texts of a declared code from which it is a language, whatever the size of the corpus.
+MIN_TRIGRAMS = 200
 #: A document is kept if its posterior is at least this, its text doesn't contradict that language, and fits it.
 MIN_CONFIDENCE = 0.5
 #: A text fits if its trigrams take at most so many bits more each than the language's own texts do on average, with so
@@ -74,25 +76,22 @@ def _text_counts(src: DataFrame) -> dict[str, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
-        docs: dict[str, int] = {}
         for batch in batches:
             for text, code in zip(batch.column(0), batch.column(1).to_pylist()):
                 if code is not None:
                     slots = trigram_slots(text.as_py() or "")
                     counts[code] = counts.get(code, 0) + np.bincount(slots, minlength=SLOTS)
-                    docs[code] = docs.get(code, 0) + 1
-        yield pa.RecordBatch.from_pydict({"code": pa.array(list(counts), pa.string()), "docs": pa.array([docs[c] for c in counts], pa.int64()), "counts": pa.array([c.astype(np.int64).tobytes() for c in counts.values()], pa.binary())})
+        yield pa.RecordBatch.from_pydict({"code": pa.array(list(counts), pa.string()), "counts": pa.array([c.astype(np.int64).tobytes() for c in counts.values()], pa.binary())})
 
     def merge(t: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(c.as_py(), np.int64) for c in t.column("counts"))
-        docs = sum(t.column("docs").to_pylist())
-        return pa.table({"code": [t.column("code")[0].as_py()], "docs": pa.array([docs], pa.int64()), "counts": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"code": [t.column("code")[0].as_py()], "counts": pa.array([total.tobytes()], pa.binary())})
 
-    schema = "code string, docs long, counts binary"
+    schema = "code string, counts binary"
     merged = src.select("text", "declared").mapInArrow(run, schema).groupBy("code").applyInArrow(merge, schema)
     rows = merged.collect()
-    least = MIN_SHARE * sum(r["docs"] for r in rows)
-    return {r["code"]: np.frombuffer(r["counts"], np.int64) for r in sorted(rows, key=lambda r: r["code"]) if r["docs"] >= least}
+    counts = {r["code"]: np.frombuffer(r["counts"], np.int64) for r in sorted(rows, key=lambda r: r["code"])}
+    return {c: n for c, n in counts.items() if n.sum() >= MIN_TRIGRAMS} or counts
 
 
 def _log_table(counts: DataFrame, key: str, n: int, prior, strength: float) -> DataFrame:

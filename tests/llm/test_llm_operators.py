@@ -493,6 +493,13 @@ def test_language_verdict_rejects(spark):
     assert all(got[i]["kept"] for i in range(400))
 
 
+def test_rare_language_among_many(spark):
+    many = spark.range(30000).select(F.col("id").alias("doc_id"), F.lit("the house and the river of stone with winter ").alias("text"), F.lit("en").alias("declared"), F.lit("hot.example.org").alias("host"))
+    rare = spark.createDataFrame([(90000 + i, "la maison et le fleuve de pierre avec l'hiver " * 6, "fr", None) for i in range(2)], "doc_id long, text string, declared string, host string")
+    got = langid.identify(many.unionByName(rare), F.col("declared"), F.col("host")).withColumn("kept", langid.verdict())
+    assert {(r.lang_id, r.kept, r["count"]) for r in got.groupBy("lang_id", "kept").count().collect()} == {("en", True, 30000), ("fr", True, 2)}
+
+
 def test_language_of_pages(spark):
     html = "<html lang='{}'><script>var x = 'the of';</script><body><p>{}</p></body></html>"
     say = {"en": "the house and the river of stone", "fr": "la maison et le fleuve de pierre"}
