@@ -83,15 +83,21 @@ def boundedness(triples: DataFrame, plan: Plan) -> DataFrame:
     return out
 
 
-def evidence(questions: DataFrame, rows: DataFrame, most: int = 3) -> DataFrame:
+def evidence(questions: DataFrame, rows: DataFrame, most: int = 3, rare_only: bool = False) -> DataFrame:
     """(id, row, shared, rank): for each question the rows (row, text) that share most significant words with it.
 
-    Words that stand in over a hundredth of the rows say little and are left out of the score by definition;
-    questions and rows meet by the other words only.
+    All significant words count. Rows of equal words are scored once, and of them the first ``most`` are kept, as
+    no other can rank. ``rare_only``: words that stand in over a hundredth of the rows are left out of the score.
     """
     q = questions.select("id", F.explode(text.significant_tokens(F.col("text"))).alias("word"))
-    r = rows.select("row", F.explode(text.significant_tokens(F.col("text"))).alias("word"))
-    most_rows = rows.count() // 100
-    common = r.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") <= most_rows).select("word")
-    shared = q.join(common, "word").join(r, "word").groupBy("id", "row").agg(F.count("*").alias("shared"))
-    return patterns.top_by(shared, most, "id", F.desc("shared"), F.col("row"))
+    worded = rows.select("row", F.array_sort(text.significant_tokens(F.col("text"))).alias("words"))
+    if rare_only:
+        r = worded.select("row", F.explode("words").alias("word"))
+        most_rows = rows.count() // 100
+        common = r.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") <= most_rows).select("word")
+        shared = q.join(common, "word").join(r, "word").groupBy("id", "row").agg(F.count("*").alias("shared"))
+        return patterns.top_by(shared, most, "id", F.desc("shared"), F.col("row"))
+    first = patterns.top_by(worded.select("row", F.sha2(F.array_join("words", " "), 256).alias("key"), "words"), most, "key", F.col("row")).drop("rank")
+    r = first.groupBy("key").agg(F.first("words").alias("words")).select("key", F.explode("words").alias("word"))
+    shared = q.join(r, "word").groupBy("id", "key").agg(F.count("*").alias("shared"))
+    return patterns.top_by(shared.join(first.select("key", "row"), "key").select("id", "row", "shared"), most, "id", F.desc("shared"), F.col("row"))

@@ -689,7 +689,7 @@ ok AS (SELECT word FROM rw GROUP BY 1 HAVING 100 * count(*) <= (SELECT count(*)
 SELECT id, row, shared, rank FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY shared DESC, row) AS rank FROM sh) WHERE rank <= 3""")
 def syn_evidence_topk(spark, sf_dir):
     q = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text")
-    return retrieve.evidence(q, table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row"), "text"))
+    return retrieve.evidence(q, table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row"), "text"), rare_only=True)  # as its SQL has it
 
 
 # ---------------------------------------------------------------- evaluation

@@ -266,3 +266,10 @@ def test_question_record(spark):
     got = {r.id: r for r in question.normalized(q, (("bomba", "bomba hidraulica"),), rules).collect()}
     assert got[1].text == "¿Qué es el código E204 de la bomba?" and got[1].language == "es" and got[1].groups == ["pumps"] and got[1].signals == ["E204"]
     assert (got[2].language, got[2].confidence, got[2].groups) == ("en", 0.51, [])
+
+
+def test_evidence_counts_frequent_words(spark):
+    rows = spark.createDataFrame([(i, "granite harbour lantern") for i in range(5)] + [(9, "granite quarry"), (10, "nothing alike")], "row long, text string")
+    asked = spark.createDataFrame([(1, "granite harbour"), (2, "quarry granite")], "id long, text string")
+    got = sorted(tuple(r) for r in retrieve.evidence(asked, rows).select("id", "rank", "row", "shared").collect())
+    assert got == [(1, 1, 0, 2), (1, 2, 1, 2), (1, 3, 2, 2), (2, 1, 9, 2), (2, 2, 0, 1), (2, 3, 1, 1)]
