@@ -18,8 +18,10 @@ Beside this contest of the declared languages, a text is held against its best o
 language that none declares, or of none, take more bits a trigram than that language's own.
 
 Defined cases: a null or empty text, or one without letters, has no text evidence and is decided by the
-rest; null declarations, hosts and suffixes are no evidence; repeated rows are judged each for itself; an
-empty table gives an empty result. Without any declaration in the corpus the language is null.
+rest; null declarations, hosts and suffixes are no evidence; repeated rows are judged each for itself; of
+languages that are equally likely the first by code is named; texts of any length are read whole; further columns
+stay as they are, but for those with the names of results; an empty table gives an empty result. Without any
+declaration in the corpus the language is null.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ from pyspark.sql import types as T
 from .common import cut
 
 SLOTS = 1 << 14
+#: Groups of tables that a language's counts are summed in first.
+FAN = 256
 TEXT_WEIGHT = 200.0
 #: Pseudo-counts with which a level of the hierarchy weighs on the one below.
 HOST_STRENGTH, SUFFIX_STRENGTH = 20.0, 50.0
@@ -72,7 +76,8 @@ def trigram_slots(text: str) -> np.ndarray:
 
 
 def _text_counts(src: DataFrame) -> dict[str, np.ndarray]:
-    """Trigram counts for each declared language, over all documents; summed by task, then on the driver (676 rows at most)."""
+    """Trigram counts for each declared language, over all documents: by task, then in two levels of sums, so that no
+    group holds more tables than a part in ``FAN`` of the tasks, or FAN; 676 rows at most reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -84,11 +89,14 @@ def _text_counts(src: DataFrame) -> dict[str, np.ndarray]:
         yield pa.RecordBatch.from_pydict({"code": pa.array(list(counts), pa.string()), "counts": pa.array([c.astype(np.int64).tobytes() for c in counts.values()], pa.binary())})
 
     def merge(t: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c.as_py(), np.int64) for c in t.column("counts"))
+        total = np.zeros(SLOTS, np.int64)
+        for c in t.column("counts"):
+            total += np.frombuffer(c.as_buffer(), np.int64)
         return pa.table({"code": [t.column("code")[0].as_py()], "counts": pa.array([total.tobytes()], pa.binary())})
 
     schema = "code string, counts binary"
-    merged = src.select("text", "declared").mapInArrow(run, schema).groupBy("code").applyInArrow(merge, schema)
+    by_task = src.select("text", "declared").mapInArrow(run, schema).withColumn("part", F.pmod(F.spark_partition_id(), F.lit(FAN)))
+    merged = by_task.groupBy("code", "part").applyInArrow(merge, schema).groupBy("code").applyInArrow(merge, schema)
     rows = merged.collect()
     counts = {r["code"]: np.frombuffer(r["counts"], np.int64) for r in sorted(rows, key=lambda r: r["code"])}
     return {c: n for c, n in counts.items() if n.sum() >= MIN_TRIGRAMS} or counts
@@ -111,17 +119,20 @@ def identify(
     """The rows with ``lang_id`` (code), ``lang_confidence`` (its posterior), ``lang_text`` (by the text alone) and ``lang_fits`` (the text fits that language), these null without letters."""
     none = F.lit(None).cast("string")
     docs = docs.drop("lang_id", "lang_confidence", "lang_text", "lang_fits")  # results take the place of columns of their names
+    # the rows' own columns go by number until the end, so that none can clash with those made here
+    given = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
+    text_at = f"c{docs.columns.index(text_col)}"
     named = docs.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)],
         (declared_code(declared) if declared is not None else none).alias("__declared"),
         (host if host is not None else none).alias("__host"),
         (F.lower(suffix) if suffix is not None else none).alias("__suffix"),
     )
-    src = named.select(F.col(text_col).alias("text"), F.col("__declared").alias("declared"))
+    src = named.select(F.col(text_at).alias("text"), F.col("__declared").alias("declared"))
     counts = _text_counts(src)
     codes = list(counts)
     if not codes:
-        return docs.select("*", none.alias("lang_id"), F.lit(None).cast("double").alias("lang_confidence"), none.alias("lang_text"), F.lit(None).cast("boolean").alias("lang_fits"))
+        return named.select(*given, none.alias("lang_id"), F.lit(None).cast("double").alias("lang_confidence"), none.alias("lang_text"), F.lit(None).cast("boolean").alias("lang_fits"))
     k = len(codes)
     total = np.array([counts[c] for c in codes], np.float64) + 0.5
     weights = np.log(total / total.sum(1, keepdims=True)).T.astype(np.float32).copy()
@@ -130,12 +141,12 @@ def identify(
     mean = (own * weights).sum(0)
     deviation = np.sqrt(np.maximum(0, (own * weights**2).sum(0) - mean**2))
 
-    keep = [*docs.columns, "__declared", "__host", "__suffix"]
+    keep = named.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             logs, fits = [], []
-            for text in batch.column(batch.schema.get_field_index(text_col)):
+            for text in batch.column(batch.schema.get_field_index(text_at)):
                 slots = trigram_slots(text.as_py() or "")
                 n = len(slots)
                 if n:
@@ -193,7 +204,7 @@ def identify(
     norm = F.aggregate(F.transform("__post", lambda x: F.exp(x - F.col("__top"))), F.lit(0.0), lambda s, x: s + x)
     by_text = F.expr("array_position(__logs, array_max(__logs))").cast("int")
     return out.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        *given,
         F.element_at(names, at).alias("lang_id"),
         (F.lit(1.0) / norm).alias("lang_confidence"),
         F.when(F.col("__logs").isNotNull(), F.element_at(names, by_text)).alias("lang_text"),
@@ -208,14 +219,15 @@ def verdict(allowed: tuple[str, ...] | None = None) -> Column:
 
 
 def page_evidence(pages: DataFrame, html_col: str = "html", url_col: str = "url") -> DataFrame:
-    """The rows with text, declared, host and suffix taken from markup and address."""
+    """The rows with text, declared, host and suffix taken from markup and address; they take the place of columns of
+    these names. Null markup or address: an empty text, no declaration, no host."""
     html, url = F.coalesce(html_col, F.lit("")), F.coalesce(url_col, F.lit(""))
     text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " ")
     text = F.regexp_replace(F.regexp_replace(text, r"(?s)<[^>]*>", " "), r"&#?\w+;", " ")
     some = lambda c: F.when(c != "", c)
     host = some(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1)))
     return pages.select(
-        "*",
+        *[F.col(f"`{c}`") for c in pages.columns if c not in ("text", "declared", "host", "suffix")],
         text.alias("text"),
         some(F.regexp_extract(html, r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z_-]+)", 1)).alias("declared"),
         host.alias("host"),

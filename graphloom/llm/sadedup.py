@@ -497,11 +497,14 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     """The rows with what is left of their texts. A character cut in two by a span goes whole."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     columns = docs.columns
-    marked = docs.join(_marks(src, length).withColumnRenamed("id", id_col).hint("shuffle_hash"), id_col, "left").select(*columns, "__settled")
+    at, key = columns.index(text_col), F.col(f"c{columns.index(id_col)}")
+    # the rows' own columns go by number, so that none can clash with the marks
+    numbered = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    marks_of = _marks(src, length).hint("shuffle_hash")
+    marked = numbered.join(marks_of, key == marks_of["id"], "left").select(*numbered.columns, "__settled")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(text_col)
             out = []
             for t, marks in zip(batch.column(at), batch.column(len(columns)).to_pylist()):
                 if not t.is_valid or not marks:
@@ -512,7 +515,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
             cols = [pa.array(out, pa.string()) if i == at else batch.column(i) for i in range(len(columns))]
             yield pa.RecordBatch.from_arrays(cols, names=columns)
 
-    return marked.mapInArrow(run, docs.select(*columns).schema)
+    return marked.mapInArrow(run, docs.schema)
 
 
 def kept_bytes(b: bytes, gone: list[tuple[int, int]]) -> bytes:
