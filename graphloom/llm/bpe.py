@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 
 from .common import map_texts
 
-#: Characters of a leaf.
-LEAF = 1 << 14
+#: Characters of a leaf: short, so that ordinary documents are joined from several.
+LEAF = 512
 
 
 def _parts(text: str, at: int) -> bool:

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, embed, langid, licenses, lm, packing, quality, sadedup, simhash, toxicity
 from .common import table
 
-#: Folder of the public vocabularies; it must exist on the driver.
-TOKENIZERS = os.environ.get("GRAPHLOOM_TOKENIZERS", "/opt/tokenizers")
-#: Split pattern of the rank files (a fixed value of the vocabulary).
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Folder of the public vocabularies, on the driver; another may be named in the environment.
+TOKENIZERS = os.environ.get("GRAPHLOOM_TOKENIZERS") or os.path.dirname(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+#: Split pattern of the rank files.
+PATTERN = public_tokenizers.PATTERN
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
