@@ -8,7 +8,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +74,53 @@ def release() -> None:
         pass
 
 
+_WORD = (1 << 32) - 1
+
+
+def _times(x: Column, by: int) -> Column:
+    """x * by in 32 bits, without a product beyond 63."""
+    low = x * F.lit(by & 0xFFFF)
+    high = F.shiftleft((x * F.lit(by >> 16)).bitwiseAND(F.lit(0xFFFF)), 16)
+    return (low + high).bitwiseAND(F.lit(_WORD))
+
+
+def _xor_shift(x: Column, *by: int) -> Column:
+    out = x
+    for n in by:
+        out = out.bitwiseXOR(F.shiftright(x, n))
+    return out
+
+
+def _rotate_right(x: Column, by: int) -> Column:
+    return F.shiftright(x, by).bitwiseOR(F.shiftleft(x, 32 - by).bitwiseAND(F.lit(_WORD)))
+
+
+def partition_key(number: Column) -> Column:
+    """An int that Spark's hash partitioning puts in partition ``number``, among any more partitions than that.
+
+    Groups so keyed are dealt evenly, where hashed keys would share partitions and leave others empty. It is the
+    inverse of the 32-bit Murmur3 hash with seed 42, each step of which can be undone.
+    """
+    odd = lambda x: pow(x, -1, 1 << 32)
+    steps = [
+        lambda h: _xor_shift(h, 16),
+        lambda h: _times(h, odd(0xC2B2AE35)),
+        lambda h: _xor_shift(h, 13, 26),
+        lambda h: _times(h, odd(0x85EBCA6B)),
+        lambda h: _xor_shift(h, 16).bitwiseXOR(F.lit(4)),
+        lambda h: _times((h + F.lit((1 << 32) - 0xE6546B64)).bitwiseAND(F.lit(_WORD)), odd(5)),
+        lambda h: _rotate_right(h, 13).bitwiseXOR(F.lit(42)),
+        lambda h: _times(h, odd(0x1B873593)),
+        lambda h: _rotate_right(h, 15),
+        lambda h: _times(h, odd(0xCC9E2D51)),
+        lambda k: F.when(k >= 1 << 31, k - F.lit(1 << 32)).otherwise(k),
+    ]
+    at = F.array(number.cast("long"))
+    for step in steps:  # as functions of a variable: written out, each step would double the expression
+        at = F.transform(at, step)
+    return F.element_at(at, 1).cast("int")
+
+
 def _drop_tree(spark: SparkSession, df: DataFrame) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

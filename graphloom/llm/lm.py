@@ -13,7 +13,8 @@ built in partitions by the last two symbols. Only the counts of depths 0 and 1 r
 257 x 256 rows whatever the corpus. No vocabulary is broadcast: texts are dealt into blocks, the distinct
 words and grams of all blocks meet by key, and what a block doesn't know goes back to its texts.
 
-Defined cases: a null or empty text is its end mark; repeated rows count and are scored each for itself;
+Defined cases: a null or empty text is its end mark; repeated rows count and are scored each for itself, whatever
+their ids: rows are dealt by id and text; equal counts have equal estimates; texts of any length are scored whole;
 an empty table gives an empty result; without training texts all counts are 0 and each decision has
 probability 1/2; further columns don't matter.
 """
@@ -30,13 +31,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, release
+from .common import cut, partition_key, release
 
 #: Preceding symbols that a context holds at most (with the symbol, 9 bits each, they fill 45 bits).
 DEPTH = 4
 END = 256
 #: Bytes of text in a block.
-BLOCK = 16 << 20
+BLOCK = 12 << 20
+#: Tables of fewer than so many blocks are dealt into smaller ones, so that a cluster is busy.
+BUSY = 48
 _STEP = 1 << 20
 _DOC_BITS = 19
 
@@ -359,12 +362,12 @@ def score(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_col: str
     """(id, train, n_tokens, n_known, train_tokens, base_score, score) for each row; trained on rows where ``train_col`` holds."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(train_col), F.lit(False)).alias("train"))
     n_rows, size = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
-    blocks = max(1, math.ceil((size or 0) / BLOCK), math.ceil(n_rows / 100_000))
+    blocks = max(1, math.ceil((size or 0) / BLOCK), math.ceil(n_rows / 100_000), min(BUSY, math.ceil((size or 0) / (BLOCK // 8))))
 
     counted = cut(count_grams(rows, "text", "train"))
     scored_grams = cut(gram_scores(counted))
 
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
+    dealt = rows.withColumn("block", partition_key(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))).repartition(blocks, "block")
 
     def items(t: pa.Table) -> pa.Table:
         texts = [lowered(x.as_py() or "") for x in t.column("text")]
