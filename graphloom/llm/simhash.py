@@ -1,4 +1,7 @@
-"""SimHash near-duplicates: fingerprints, pigeonhole blocks, verified Hamming links, components.
+"""SimHash near-duplicates: fingerprints, pigeonhole blocks, verified links, components.
+
+Two operators share the plan "split fingerprints in blocks, join on equal blocks, verify": ``near_duplicates`` with
+64 sign bits and Hamming distance, ``similar_documents`` with a wider fingerprint and the similarity itself.
 
 A 64-bit fingerprint is cut into six blocks. Two fingerprints that differ in at most three bits agree on
 at least three blocks, so each fingerprint is filed under all twenty choices of three blocks (about 32
@@ -9,11 +12,13 @@ holds a third of all rows costs one node. Fingerprints that differ in one block
 in groups whose size the block's width bounds; pairs are then taken between the families so found only.
 
 Defined cases: a null or empty text has fingerprint zero and is linked like any other; repeated rows get
-the class of their fingerprint; an empty table gives an empty result; further columns don't matter.
+the class of their fingerprint; a bit set in exactly half the hashes is 0; of the ids of a class the least names
+it; texts of any length count whole; an empty table gives an empty result; further columns don't matter.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -110,14 +115,23 @@ def links(nodes: DataFrame, fp_col: str = "fp", family_col: str | None = None) -
     """(u, v) with u < v: pairs of different fingerprints at MAX_BITS or fewer differing bits.
 
     Found through equal keys; a pair that shares several keys is given once. Pairs of one family, if a column
-    names it, are left out: they are known to be in one component.
+    names it, are left out: they are known to be in one component. Keys that one family holds alone are dropped
+    before the join, and of the others all but the family with most members meet the whole key: of two different
+    families one isn't the largest, so no pair is lost, and a key of n members of one family and a few more
+    costs a few times n comparisons.
     """
     family = F.col(family_col) if family_col else F.col(fp_col)
     filed = nodes.select(F.col(fp_col).alias("f"), family.alias("family"), F.explode(_keys(F.col(fp_col))).alias("key"))
-    a = filed.select("key", F.col("f").alias("u"), F.col("family").alias("fu"))
-    b = filed.select("key", F.col("f").alias("v"), F.col("family").alias("fv"))
-    near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= MAX_BITS
-    return a.join(b, (a.key == b.key) & (F.col("u") < F.col("v")) & (F.col("fu") != F.col("fv")) & near).select("u", "v").distinct()
+    mixed = filed.groupBy("key").agg(F.min("family").alias("lo"), F.max("family").alias("hi")).where("lo <> hi").select("key")
+    some = cut(filed.join(mixed, "key", "left_semi"))
+    held = some.groupBy("key", "family").agg(F.count("*").alias("n"))
+    largest = held.groupBy("key").agg(F.max(F.struct("n", "family"))["family"].alias("largest"))
+    here = some.join(largest, "key")
+    a = here.where("family <> largest").select("key", F.col("f").alias("x"), F.col("family").alias("fx"))
+    b = here.select("key", F.col("f").alias("y"), F.col("family").alias("fy"))
+    near = F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= MAX_BITS
+    met = a.join(b, (a.key == b.key) & (F.col("fx") != F.col("fy")) & near)
+    return met.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
@@ -133,3 +147,162 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = named.join(least, "component").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return fps.join(member, "fp").select(id_col, hexed, "component_id")
+
+
+# ------------------------------------------------------------------ by similarity
+
+#: Blocks of the wide fingerprint and minima in each: of two sets of shingles with a Jaccard similarity of 0.8 the blocks
+#: are all unequal with a chance of (1 - 0.8 ** 6) ** 50 = 3e-7.
+SLICES, MINIMA = 50, 6
+#: Rounds in which each key tries one representative, before all pairs of a key that are still apart.
+STAR_ROUNDS = 2
+
+_MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+_SEEDS = np.random.default_rng(42).integers(0, 1 << 32, (2, SLICES * MINIMA), np.uint32)
+_XOR, _ODD = _SEEDS[0][:, None], (_SEEDS[1] | np.uint32(1))[:, None]
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * _MIX2
+    return h ^ (h >> np.uint64(32))
+
+
+def shingles(text: str, size: int) -> np.ndarray:
+    """The set of the text's word shingles, as sorted 64-bit hashes. Fewer words: the whole sequence; none: empty."""
+    ws = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
+    if not ws:
+        return np.zeros(0, np.uint64)
+    w = np.fromiter(map(xxhash.xxh3_64_intdigest, ws), np.uint64, len(ws))
+    n = max(1, len(ws) - size + 1)
+    h = np.zeros(n, np.uint64)
+    for k in range(min(size, len(ws))):
+        h = (h + w[k : k + n]) * _MIX
+    return np.unique(_mixed(h))
+
+
+def wide_keys(h: np.ndarray) -> np.ndarray:
+    """The keys of a set of shingles: a number for each block of the fingerprint, which is the minima of the set in 300 orders."""
+    x = (h >> np.uint64(32)).astype(np.uint32)[None, :]
+    least = np.full(SLICES * MINIMA, np.uint32(0xFFFFFFFF))
+    for at in range(0, x.shape[1], 1024):
+        least = np.minimum(least, ((x[:, at : at + 1024] ^ _XOR) * _ODD).min(1))
+    out = np.arange(SLICES, dtype=np.uint64)
+    for part in least.reshape(SLICES, MINIMA).T:
+        out = (out + part) * _MIX
+    return _mixed(out).astype(np.int64)
+
+
+def _node(h: np.ndarray) -> int:
+    return signed(xxhash.xxh3_64_intdigest(h.tobytes()))
+
+
+def _sets(docs: DataFrame, size: int) -> DataFrame:
+    """(node, shingles) of the rows of (text, wanted) whose node is the one wanted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sets = [], []
+            for text, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
+                h = shingles(text.as_py() or "", size)
+                if _node(h) == wanted:
+                    nodes.append(wanted)
+                    sets.append(h.tobytes())
+            yield pa.RecordBatch.from_pydict({"node": pa.array(nodes, pa.int64()), "shingles": pa.array(sets, pa.binary())})
+
+    return docs.select("text", "wanted").mapInArrow(run, "node long, shingles binary")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose shingles have that Jaccard similarity or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column(2), batch.column(3)):
+                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+                both = len(a) + len(b) - len(np.union1d(a, b))
+                keep.append(both >= similarity * (len(a) + len(b) - both))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    # members first, representatives last: a representative of many is one hot key, which adaptive execution splits
+    one = pairs.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+    both = one.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
+    return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, component_id: the least id reachable by links) for each row; texts are linked whose word shingles have that Jaccard similarity or more.
+
+    64 sign bits can't tell such pairs: at a similarity of 0.8 about ten of them differ. So the fingerprint is 300
+    minima of the shingles' hashes (32 bits each), split in 50 blocks; texts that share a block are compared by their
+    shingles. Texts with equal sets are one node, by a 64-bit digest of the set. Of the texts of a key, one at a time
+    meets the others, those already in its component left out; in a last round all pairs of a key that are still
+    apart meet, so a group of near copies costs a few comparisons a member, and no pair is left out.
+
+    Defined cases: null, empty texts and such without words are copies of one another; repeated rows are copies;
+    of a class the least id names it; rows without an id are no member of any class (component_id null); texts
+    of any length count whole; an empty table gives an empty result; further columns don't matter.
+    """
+
+    def make():
+        def row(text: str) -> tuple:
+            h = shingles(text, size)
+            return _node(h), len(h), wide_keys(h).tobytes()
+
+        return row
+
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    made = cut(map_texts(named, make, [("node", "long"), ("n", "int"), ("keys", "binary")], "text", ["id"]))
+    known = made.where("id IS NOT NULL")
+    nodes = known.groupBy("node").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [np.frombuffer(k.as_buffer(), np.int64) for k in batch.column(2)]
+            each = np.repeat(np.arange(len(keys)), SLICES)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*keys, np.zeros(0, np.int64)])), batch.column(0).take(pa.array(each)), batch.column(1).take(pa.array(each))], names=["key", "node", "n"])
+
+    filed = nodes.where("n > 0").select("node", "n", "keys").mapInArrow(exploded, "key long, node long, n int")
+    crowded = filed.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key")
+    filed = cut(filed.join(crowded, "key", "left_semi"))
+    met = filed.select("node").distinct()
+    wanted = known.join(met, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
+    texts = named.join(wanted.withColumnRenamed("node", "wanted"), "id")
+    sets = cut(_sets(texts, size).groupBy("node").agg(F.first("shingles").alias("shingles")))
+
+    found = tested = labels = None
+    for turn in range(STAR_ROUNDS + 1):
+        here = filed.withColumn("component", F.col("node"))
+        if labels is not None:
+            here = filed.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        apart = here.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+        here = here.join(apart, "key", "left_semi")
+        other = here.select("key", F.col("node").alias("peer"), F.col("component").alias("of"), F.col("n").alias("m"))
+        if turn < STAR_ROUNDS:
+            order = F.col("peer") if turn == 0 else F.xxhash64("peer", F.lit(turn))
+            other = other.groupBy("key").agg(F.min(F.struct(order.alias("order"), "peer", "of", "m")).alias("r")).select("key", "r.peer", "r.of", "r.m")
+        else:  # all but the largest component of a key meet the whole key
+            size_of = here.groupBy("key", "component").agg(F.count("*").alias("held"))
+            largest = size_of.groupBy("key").agg(F.max(F.struct("held", "component"))["component"].alias("largest"))
+            here = here.join(largest, "key").where("component <> largest").drop("largest")
+        fits = F.least("n", "m") >= F.lit(similarity) * F.greatest("n", "m")
+        pairs = here.join(other, "key").where((F.col("component") != F.col("of")) & fits)
+        if turn == 0:  # one representative for each
+            pairs = pairs.groupBy("node").agg(F.min("peer").alias("peer"))
+        # the representative first, where there is one
+        least, most = F.least("node", "peer").alias("u"), F.greatest("node", "peer").alias("v")
+        pairs = pairs.select(least, most).distinct()
+        pairs = cut(pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti"))
+        if pairs.isEmpty():
+            continue
+        links = cut(_similar(pairs, sets, similarity))
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        found = links if found is None else found.unionByName(links)
+        labels = components(found)
+    named_nodes = nodes.select("node", "least")
+    if labels is not None:
+        named_nodes = named_nodes.join(labels, "node", "left")
+    named_nodes = named_nodes.withColumn("component", F.col("node") if labels is None else F.coalesce("component", "node"))
+    least = named_nodes.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = named_nodes.join(least, "component").select("node", "component_id")
+    return made.join(classes, "node", "left").select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphloom.llm import bpe, embed, langid, licenses, lm, packing, quality, queries, sadedup, simhash, toxicity
-from graphloom.llm.common import components
+from graphloom.llm.common import components, partition_key
 
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()), T.StructField("score", T.StringType()), T.StructField("block", T.IntegerType())])
 WORDS = "the of and house river stone garden letter window winter summer mountain paper silver".split()
@@ -77,6 +77,12 @@ def test_components(spark):
     assert got == {k: v for k, v in want.items() if k in linked}
 
 
+def test_partition_keys_are_dealt_one_by_one(spark):
+    keyed = spark.range(97).select("id", partition_key(F.col("id")).alias("key"))
+    got = keyed.repartition(97, "key").select("id", F.spark_partition_id().alias("p")).collect()
+    assert all(r.id == r.p for r in got) and keyed.where(F.pmod(F.hash("key"), F.lit(211)) != F.col("id")).count() == 0
+
+
 # ---------------------------------------------------------------- 1
 
 
@@ -193,6 +199,19 @@ def test_simhash_against_brute_force(spark, docs, texts, size):
     assert got == {i: {"doc_id": i, "fingerprint": f"{fp[i]:016x}", "component_id": comp[i]} for i in fp}
 
 
+def test_simhash_links_between_families_of_one_key(spark):
+    """One key held by a large family and a few others: each pair of different families, however uneven."""
+    rng = random.Random(14)
+    base = rng.getrandbits(64)
+    fps = sorted({base ^ sum(1 << b for b in rng.sample(range(20), rng.randint(0, 3))) for _ in range(200)})
+    family = {f: 0 if i % 10 else i for i, f in enumerate(fps)}
+    df = spark.createDataFrame([(simhash.signed(f), family[f]) for f in fps], "fp long, family long")
+    got = {(r.u, r.v) for r in simhash.links(df, family_col="family").collect()}
+    ss = [(simhash.signed(f), f) for f in fps]
+    want = {(min(a, b), max(a, b)) for a, x in ss for b, y in ss if a < b and family[x] != family[y] and (x ^ y).bit_count() <= 3}
+    assert got == want and want
+
+
 def test_simhash_links_are_complete(spark):
     rng = random.Random(4)
     fps = []
@@ -233,6 +252,42 @@ def test_simhash_empty(empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def plain_shingles(text, size):
+    ws = (text or "").encode().lower().split()
+    return {b" ".join(ws[i : i + size]) for i in range(len(ws) - size + 1)} or ({b" ".join(ws)} if ws else set())
+
+
+def alike(a, b, similarity=0.8):
+    return not (a or b) or bool(a or b) and len(a & b) >= similarity * len(a | b)
+
+
+def edited(rng, text, share):
+    return " ".join(rng.choice(WORDS) + "x" if rng.random() < share else w for w in text.split())
+
+
+def test_similar_documents_against_brute_force(spark, texts):
+    rng = random.Random(6)
+    base = [prose(rng, rng.randint(20, 300)) for _ in range(30)]
+    rows = [*texts, *base, *(edited(rng, t, share) for t in base for share in (0.005, 0.02, 0.03, 0.06))]
+    hot = prose(rng, 150)
+    rows += [edited(rng, hot, 0.01) for _ in range(150)] + [hot] * 40
+    footer = prose(rng, 60)  # much in common, but not enough
+    rows += [f"{prose(rng, 30)} {footer}" for _ in range(40)]
+    sets = {i * 2: plain_shingles(t, 5) for i, t in enumerate(rows)}
+    comp = union_find(sets, [(a, b) for a in sets for b in sets if a < b and alike(sets[a], sets[b])])
+    df = spark.createDataFrame([(i * 2, t, "clash") for i, t in enumerate(rows)], "doc_id long, text string, node string").repartition(6)
+    assert {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()} == comp
+    assert len(set(comp.values())) < len(rows) - 150
+
+
+def test_similar_documents_defined_cases(spark, empty):
+    assert simhash.similar_documents(empty).count() == 0
+    t = "a b c d e f g h i j k l"
+    rows = [(None, t), (4, t), (4, t), (2, t.upper()), (7, None), (6, " "), (9, "one two"), (8, "one  two"), (None, None)]
+    got = sorted(((r.doc_id or 0, r.component_id) for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == sorted([(0, None), (0, None), (4, 2), (4, 2), (2, 2), (7, 6), (6, 6), (9, 8), (8, 8)], key=str)
+
+
 # ---------------------------------------------------------------- 4
 
 
@@ -339,6 +394,57 @@ def test_license_templates_in_one_block():
     assert {f[1] for f in licenses.Scanner().scan(text)[1]} == set(licenses.TEMPLATES)
 
 
+def test_license_siblings_are_told_apart():
+    found = lambda t: sorted({f[1] for f in licenses.Scanner().scan(f"a river {t} and winter")[1]})
+    gpl = "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    for name, kind in (("GPL-3.0", "General Public License"), ("LGPL-3.0", "Lesser General Public License"), ("AGPL-3.0", "Affero General Public License")):
+        assert found("This program is free software: " + gpl.format(kind)) == [name]
+    three, two = licenses.TEMPLATES["BSD-3-Clause"][0], licenses.TEMPLATES["BSD-2-Clause"][0]
+    assert found(three.replace("copyright holder nor", "Regents nor")) == ["BSD-3-Clause"] and found(two) == ["BSD-2-Clause"]
+    assert found(licenses.TEMPLATES["ISC"][0]) == ["ISC"] and found(licenses.TEMPLATES["0BSD"][0]) == ["0BSD"]
+    assert found(licenses.TEMPLATES["MIT-0"][0]) == ["MIT-0"]
+    assert found("under the Apache License, Version 2.0 or MIT license") == ["Apache-2.0", "MIT"]
+
+
+def test_license_scan_equals_a_comparison_of_all_templates():
+    """Against every template at every place of the whole text, without blocks, word counts or memory."""
+    rng = random.Random(8)
+    scanner = licenses.Scanner()
+    for _ in range(12):
+        picked = rng.sample(sorted(licenses.TEMPLATES), 2)
+        parts = [prose(rng, 40), rng.choice(licenses.TEMPLATES[picked[0]]), prose(rng, 90), rng.choice(licenses.TEMPLATES[picked[1]]), prose(rng, 30)]
+        text = " ".join(parts)
+        words = licenses.wording(text)
+        places = []
+        for i, (name, _, want) in enumerate(scanner.entries):
+            for s in range(len(words)):
+                if words[s] in want:
+                    got = scanner._compare(i, tuple(words[s : s + licenses.reach(len(want))]))
+                    if got:
+                        places.append((-round(got[0] * len(want)), -got[0], name, s + got[1], s + got[2]))
+        taken, want_names = [], set()
+        for _, _, name, lo, hi in sorted(places):
+            if not any(lo < z and a < hi for a, z in taken):
+                taken.append((lo, hi))
+                want_names.add(name)
+        assert {f[1] for f in scanner.scan(text)[1]} == want_names == set(picked)
+
+
+def test_language_columns_of_any_name(spark):
+    """Rows' own columns may be named as those the operator makes."""
+    texts = {"en": "the house and the river with the garden ", "fr": "le jardin et la maison avec les fleurs "}
+    rows = [(i, texts["en" if i % 2 else "fr"] * 4, "en" if i % 2 else "fr", "h", "x", "y") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `__declared` string, `__host` string, `__logs` string, `__suffix` string")
+    got = by_id(langid.identify(df, F.col("__declared"), F.col("__host")))
+    assert all(got[i]["lang_id"] == ("en" if i % 2 else "fr") and got[i]["__logs"] == "x" for i in range(60))
+    pages = spark.createDataFrame([(1, "http://a.fr/x", "<html lang=fr>le jardin</html>", "mine", "d")], "page_id long, url string, html string, text string, declared string")
+    r = langid.page_evidence(pages).first()
+    assert (r["text"].strip(), r["declared"], r["host"], r["suffix"]) == ("le jardin", "fr", "a.fr", "fr")
+    assert langid.identify(langid.page_evidence(pages.limit(0)), F.col("declared"), F.col("host"), F.col("suffix")).count() == 0
+    clash = df.withColumnRenamed("__logs", "__settled").withColumn("id", F.lit(3))
+    assert sadedup.deduplicated(clash).columns == clash.columns and sadedup.deduplicated(clash).where("`__settled` = 'x' AND id = 3").count() == 60
+
+
 # ---------------------------------------------------------------- 7
 
 
