@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name below ``spark.checkpoint.dir``; where the session has none, as in tests on one machine, below /tmp."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    """A new folder name below ``spark.checkpoint.dir``. Where it is unset, a session on one machine, as in tests, uses
+    /tmp; on a cluster that is an error, since no machine's own folder is shared."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "/tmp/checkpoints"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
@@ -20,3 +25,11 @@ def cut(df: DataFrame) -> DataFrame:
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(df: DataFrame) -> None:
+    """Remove the files of a cut that nothing reads any more."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for file in df.inputFiles()[:1]:
+        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(conf).delete(folder, True)
