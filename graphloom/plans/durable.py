@@ -28,8 +28,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def forget(df: DataFrame) -> None:
-    """Remove the files of a cut that nothing reads any more."""
+    """Remove the folders of cuts, or a union of cuts, that nothing reads any more."""
     jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for file in df.inputFiles()[:1]:
-        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+    for name in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        folder = jvm.org.apache.hadoop.fs.Path(name)
         folder.getFileSystem(conf).delete(folder, True)
