@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.durable import cut, shared_dir  # noqa: F401  the operators take them from here
+from ..plans.durable import cut, forget, shared_dir  # noqa: F401  the operators take them from here
 
 WORD_BREAK = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -121,14 +121,6 @@ def partition_key(number: Column) -> Column:
     return F.element_at(at, 1).cast("int")
 
 
-def _drop_tree(spark: SparkSession, df: DataFrame) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for f in df.inputFiles()[:1]:
-        p = jvm.org.apache.hadoop.fs.Path(f).getParent()
-        p.getFileSystem(conf).delete(p, True)
-
-
 def _same_node_min(edges: DataFrame) -> DataFrame:
     """For each node u the least of its neighbours and itself (combined before the shuffle)."""
     return edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -142,7 +134,6 @@ def components(edges: DataFrame) -> DataFrame:
     back to a node's edges has one row a node on one side, so a hot node can be split. Each round is
     written to the shared folder; the last round is found by an order-free digest of the edge set.
     """
-    spark = edges.sparkSession
     e = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
 
     def digest(d: DataFrame):
@@ -158,7 +149,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = low.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         nxt = cut(small)
-        _drop_tree(spark, e)
+        forget(e)
         e, after = nxt, digest(nxt)
         if tuple(after) == tuple(before):
             break

@@ -24,10 +24,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, cut, map_texts
+from .common import components, cut, forget, map_texts
 
 #: (shift, width) of the blocks, from the highest bit.
 BLOCKS = ((53, 11), (42, 11), (31, 11), (20, 11), (10, 10), (0, 10))
@@ -154,7 +154,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 #: Blocks of the wide fingerprint and minima in each: of two sets of shingles with a Jaccard similarity of 0.8 the blocks
 #: are all unequal with a chance of (1 - 0.8 ** 6) ** 50 = 3e-7.
 SLICES, MINIMA = 50, 6
-#: Rounds in which each key tries one representative, before all pairs of a key that are still apart.
+#: Rounds in which each key tries one representative, before what is still apart meets by rare shingles.
 STAR_ROUNDS = 2
 
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -230,14 +230,45 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+def _rare_pairs(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(node, n, component, peer, m, of): nodes of different components that may have that similarity.
+
+    In any total order of the shingles, two such sets share one of their first n - ceil(similarity * n) + 1 each. The
+    order is by how many of the nodes hold a shingle, rarest first, and of either set enough must be left from a shared
+    shingle on; so texts that have much in common but differ by too much of their own don't meet. Of the holders of a
+    shingle all but the largest component meet all.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hs = [np.frombuffer(h.as_buffer(), np.int64) for h in batch.column(3)]
+            row = pa.array(np.repeat(np.arange(len(hs)), [len(h) for h in hs]))
+            flat = pa.array(np.concatenate([*hs, np.zeros(0, np.int64)]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(row) for i in range(3)), flat], names=["node", "component", "n", "shingle"])
+
+    held = live.join(sets, "node").select("node", "component", "n", "shingles").mapInArrow(each, "node long, component long, n int, shingle long")
+    counts = held.groupBy("shingle").agg(F.count("*").alias("df"))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "shingle"))
+    first = held.join(counts, "shingle").withColumn("rank", rank).where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(1e-9)) + 1)
+    first = cut(first.where("df > 1").select("shingle", "node", "component", "n", (F.col("n") - F.col("rank") + 1).alias("rest")))
+    size_of = first.groupBy("shingle", "component").agg(F.count("*").alias("held"))
+    largest = size_of.groupBy("shingle").agg(F.max(F.struct("held", "component"))["component"].alias("largest"), F.count("*").alias("parts")).where("parts > 1")
+    few = first.join(largest, "shingle").where("component <> largest").select("shingle", "node", "component", "n", "rest")
+    other = first.select("shingle", F.col("node").alias("peer"), F.col("component").alias("of"), F.col("n").alias("m"), F.col("rest").alias("left"))
+    # what two sets share is at most what is left of either from the first that they share on
+    enough = F.least("rest", "left") >= F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("m")) - F.lit(1e-6)
+    return few.join(other, "shingle").where((F.col("component") != F.col("of")) & enough)
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, component_id: the least id reachable by links) for each row; texts are linked whose word shingles have that Jaccard similarity or more.
 
     64 sign bits can't tell such pairs: at a similarity of 0.8 about ten of them differ. So the fingerprint is 300
     minima of the shingles' hashes (32 bits each), split in 50 blocks; texts that share a block are compared by their
     shingles. Texts with equal sets are one node, by a 64-bit digest of the set. Of the texts of a key, one at a time
-    meets the others, those already in its component left out; in a last round all pairs of a key that are still
-    apart meet, so a group of near copies costs a few comparisons a member, and no pair is left out.
+    meets the others, those already in its component left out; last, texts of keys that still hold several components
+    meet by their rarest shingles, which is exact. So a group of near copies costs a few comparisons a member, also
+    if many differ a little too much, and no pair is left out.
 
     Defined cases: null, empty texts and such without words are copies of one another; repeated rows are copies;
     of a class the least id names it; rows without an id are no member of any class (component_id null); texts
@@ -278,18 +309,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         apart = here.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
         here = here.join(apart, "key", "left_semi")
         other = here.select("key", F.col("node").alias("peer"), F.col("component").alias("of"), F.col("n").alias("m"))
+        fits = F.least("n", "m") >= F.lit(similarity) * F.greatest("n", "m")
         if turn < STAR_ROUNDS:
             order = F.col("peer") if turn == 0 else F.xxhash64("peer", F.lit(turn))
             other = other.groupBy("key").agg(F.min(F.struct(order.alias("order"), "peer", "of", "m")).alias("r")).select("key", "r.peer", "r.of", "r.m")
-        else:  # all but the largest component of a key meet the whole key
-            size_of = here.groupBy("key", "component").agg(F.count("*").alias("held"))
-            largest = size_of.groupBy("key").agg(F.max(F.struct("held", "component"))["component"].alias("largest"))
-            here = here.join(largest, "key").where("component <> largest").drop("largest")
-        fits = F.least("n", "m") >= F.lit(similarity) * F.greatest("n", "m")
-        pairs = here.join(other, "key").where((F.col("component") != F.col("of")) & fits)
-        if turn == 0:  # one representative for each
-            pairs = pairs.groupBy("node").agg(F.min("peer").alias("peer"))
-        # the representative first, where there is one
+            pairs = here.join(other, "key").where((F.col("component") != F.col("of")) & fits)
+            if turn == 0:  # one representative for each
+                pairs = pairs.groupBy("node").agg(F.min("peer").alias("peer"))
+        else:
+            pairs = _rare_pairs(cut(here.select("node", "component", "n").distinct()), sets, similarity).where(fits)
         least, most = F.least("node", "peer").alias("u"), F.greatest("node", "peer").alias("v")
         pairs = pairs.select(least, most).distinct()
         pairs = cut(pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti"))
@@ -299,6 +327,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = links if found is None else found.unionByName(links)
         labels = components(found)
+    for spent in [filed, sets, *([tested, found] if found is not None else [])]:
+        forget(spent)
     named_nodes = nodes.select("node", "least")
     if labels is not None:
         named_nodes = named_nodes.join(labels, "node", "left")

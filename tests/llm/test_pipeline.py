@@ -10,7 +10,7 @@ import pytest
 
 import corpus_pipeline
 from graphloom.llm import langid, quality, queries
-from test_llm_operators import DOCS, plain_fingerprint, plain_removal, plain_repeats, prose, union_find
+from test_llm_operators import DOCS, alike, plain_removal, plain_repeats, plain_shingles, prose, union_find
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -50,8 +50,9 @@ def test_stages(spark, rows, tmp_path):
     assert b.columns == docs.columns and {tuple(r) for r in b.collect()} == {tuple(r) for r in a.collect()}
     c = near(spark, b, "")
     kept = {r.doc_id: r.text for r in b.collect()}
-    fp = {k: plain_fingerprint(t, 3) for k, t in kept.items()}
-    comp = union_find(fp, [(x, y) for x in fp for y in fp if x < y and (fp[x] ^ fp[y]).bit_count() <= 3])
+    # the job asks stages on word shingles for five words and a similarity of 0.8 or more
+    sets = {k: plain_shingles(t, 5) for k, t in kept.items()}
+    comp = union_find(sets, [(x, y) for x in sets for y in sets if x < y and alike(sets[x], sets[y])])
     assert c.columns == docs.columns and {r.doc_id for r in c.collect()} == set(comp.values()) and len(kept) > len(set(comp.values()))
     d = suffix(spark, c, "")
     want = plain_removal([(r.doc_id, r.text) for r in c.collect()], 100)
