@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
+from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Accented letters and what they become (fixed values).
-ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuncyy"
+
+
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """What compatibility decomposition (NFKD) without marks makes of letters and letter-like signs, ligatures and
+    full-width forms: of those that become one character, and of those that become several ASCII letters or digits."""
+    one, more = {}, {}
+    for ch in map(chr, chain(range(0x80, 0x2184), range(0xFB00, 0xFB07), range(0xFF01, 0xFF5F))):
+        plain = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
+        if plain != ch and len(plain) == 1:
+            one[ch] = plain
+        elif plain != ch and plain.isascii() and plain.isalnum():
+            more[ch] = plain
+    return one, more
+
+
+_ONE, _MORE = _folds()
 
 #: Words too common to tell entities apart (fixed values).
 STOPWORDS = ("the", "and", "for", "with", "that", "this", "from", "was", "are", "una", "los", "las", "del", "por", "para", "con", "que", "der", "die", "das", "und", "les", "des", "est", "qui", "dans")
@@ -32,14 +47,65 @@ LANGUAGE_WORDS = {
 }
 
 
+def folded(c: Column) -> Column:
+    """Letters without their marks, compatibility forms as plain ones. Texts of ASCII alone are left as they are."""
+    several = F.aggregate(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in _MORE.items()]), c, lambda t, m: F.replace(t, m["a"], m["b"]))
+    split = F.when(c.rlike(f"[{''.join(_MORE)}]"), several).otherwise(c)
+    plain = F.regexp_replace(F.translate(split, "".join(_ONE), "".join(_ONE.values())), r"\p{Mn}+", "")
+    return F.when(c.rlike(r"[^\x00-\x7F]"), plain).otherwise(c)
+
+
 def strip_accents(c: Column) -> Column:
-    """Lower case without the accents of western European letters."""
-    return F.translate(F.lower(c), ACCENTED, PLAIN)
+    """Lower case without accents."""
+    return folded(F.lower(c))
+
+
+def normalize(c: Column, keep: str = "") -> Column:
+    """Lower case, no accents, runs of other characters as one space, trimmed. ``keep``: characters that stay, as in a
+    regular expression's class."""
+    return F.trim(F.regexp_replace(strip_accents(c), f"[^a-z0-9{keep}]+", " "))
+
+
+#: Marks that technical values keep (fixed values).
+TECHNICAL = r"@/_\-."
+
+
+def normalize_technical(c: Column) -> Column:
+    """Normalised with the marks of addresses, codes and paths."""
+    return normalize(c, TECHNICAL)
 
 
-def normalize(c: Column) -> Column:
-    """Lower case, no accents, runs of other characters as one space, trimmed."""
-    return F.trim(F.regexp_replace(strip_accents(c), "[^a-z0-9]+", " "))
+def phrases(c: Column, lengths: tuple[int, ...]) -> Column:
+    """Runs of so many words of the normalised text, in order."""
+    words = F.filter(F.split(normalize(c), " "), lambda x: x != "")
+
+    def runs(w: Column, n: int) -> Column:
+        if n == 1:
+            return w
+        return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
+
+    # the words as a variable, so that they are made once for all runs
+    return F.element_at(F.transform(F.array(words), lambda w: F.concat(*[runs(w, n) for n in lengths])), 1)
+
+
+def surface_variant(c: Column) -> Column:
+    """A surface as lower-case words: changes of case part them, marks of other kinds too."""
+    parted = F.regexp_replace(F.regexp_replace(folded(c), "([a-z0-9])([A-Z])", "$1 $2"), "([A-Z])([A-Z][a-z])", "$1 $2")
+    return F.trim(F.lower(F.regexp_replace(parted, "[^A-Za-z0-9]+", " ")))
+
+
+def variant_key(c: Column) -> Column:
+    """The variant's words without spaces."""
+    return F.replace(surface_variant(c), F.lit(" "), F.lit(""))
+
+
+#: Words that tell parts of one thing apart: a surface with one isn't merged by its spelling (fixed values).
+CONTEXT_WORDS = ("version", "v", "seccion", "section", "canal", "channel", "cabezal", "head", "indice", "index", "pagina", "page", "capitulo", "chapter")
+
+
+def context_blocked(c: Column) -> Column:
+    """Whether a surface names a part, version or number, so that a like spelling isn't the same thing."""
+    return F.exists(F.split(surface_variant(c), " "), lambda w: w.isin(*CONTEXT_WORDS) | w.rlike(r"^(?:v?[0-9]+(?:\.[0-9]+)*)$"))
 
 
 def compact_key(c: Column) -> Column:
@@ -48,8 +114,8 @@ def compact_key(c: Column) -> Column:
 
 
 def identifier(c: Column) -> Column:
-    """Upper case without white space, hyphens, slashes and underscores."""
-    return F.upper(F.regexp_replace(c, r"[\s\-_/]+", ""))
+    """Upper case without white space, hyphens and slashes."""
+    return F.upper(F.regexp_replace(c, r"[\s\-/]+", ""))
 
 
 def tokens(c: Column, least: int = 1) -> Column:
@@ -111,16 +177,23 @@ def any_contains(c: Column, needles: list[str]) -> Column:
 
 
 def structured_identifier_score(c: Column) -> Column:
-    """How much a value looks like an identifier: code, code with marks, short word with digits, else 0."""
+    """How much a value looks like an identifier: a directive's number, a code, digits with marks, short with a digit, else 0 (also of null)."""
+    v = F.trim(c)
     return (
-        F.when(c.rlike(r"^[A-Z]+[0-9]+$"), 1.0)
-        .when(c.rlike(r"^[A-Z0-9_.\-\[\]]+$"), 0.85)
-        .when(c.rlike(r"^[A-Za-z]+#?[0-9]+$"), 0.75)
-        .when(c.rlike(r"[0-9]"), 0.55)
+        F.when(v.rlike(r"(?i)[0-9]{4}/[0-9]{2}/[A-Z]{2}"), 1.0)
+        .when(v.rlike(r"[A-Z]{1,6}-?[0-9]{1,6}"), 0.85)
+        .when(v.rlike("[0-9]") & v.rlike("[-/]"), 0.75)
+        .when((F.length(v) <= 24) & v.rlike("[0-9]"), 0.55)
         .otherwise(0.0)
     )
 
 
+def identifier_penalty(c: Column) -> Column:
+    """How much a name reads like an identifier instead of words: mixed case, else an underscore or a digit."""
+    name = local_name(c)
+    return F.when(name.rlike("[A-Z][a-z]+[A-Z][A-Za-z0-9]+"), 0.35).when(name.rlike("[_0-9]"), 0.2).otherwise(0.0)
+
+
 def token_overlap(a: Column, b: Column) -> Column:
     """Shared words over the words of the first."""
     return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a)).otherwise(0.0)

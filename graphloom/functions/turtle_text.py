@@ -106,6 +106,30 @@ def escaped_literals(c: Column) -> Column:
     return run(c)
 
 
+#: Slips of generated vocabulary and what was meant, in this order (fixed values).
+SLIPS = ((" a rdf:type ", " a "), (" rdf:type ", " a "), ("@xsd:string", "^^xsd:string"), ("@xsd:integer", "^^xsd:integer"), ("@xsd:decimal", "^^xsd:decimal"), ("@xsd:float", "^^xsd:float"), ("@xsd:double", "^^xsd:double"), (" a rdfs:label", " rdfs:label"))
+
+
+def canonical_vocabulary(c: Column, renamed: tuple[tuple[str, str], ...] = ()) -> Column:
+    """Slips of the type predicate, datatypes and labels put right, and names of a vocabulary that should be others."""
+    return reduce(lambda x, r: F.replace(x, F.lit(r[0]), F.lit(r[1])), (*SLIPS, *renamed), c)
+
+
+def unglued_properties(c: Column, properties: tuple[str, ...], classes: tuple[str, ...], default: str) -> Column:
+    """'ex:<Name><property> "x"' as 'ex:<Name> a ex:<Class> ; ex:<property> "x"': the class is the first whose name the name begins with."""
+    for p in properties:
+        glued = rf'(?m)^(\s*)ex:(\w+?)(?i:{p})(\s+"[^"\n]*")'
+        for k in classes:
+            c = F.regexp_replace(c, rf'(?m)^(\s*)ex:({k}\w*?)(?i:{p})(\s+"[^"\n]*")', f"$1ex:$2 a ex:{k} ; ex:{p}$3")
+        c = F.regexp_replace(c, glued, f"$1ex:$2 a ex:{default} ; ex:{p}$3")
+    return c
+
+
+def unbraced_blocks(c: Column) -> Column:
+    """'ex:S a { a ex:C ; ... } .' as 'ex:S a ex:C ; ... .'"""
+    return F.regexp_replace(c, r"(ex:\w+)\s+a\s*\{\s*a\s+(ex:\w+)\s*;?\s*([^{}]*?)\s*;?\s*\}\s*\.", "$1 a $2 ; $3 .")
+
+
 def repaired(c: Column, untagged: tuple[str, ...] = ("ex:extract",)) -> Column:
     """All repairs in order; a text that is right already stays as it is, but for missing prefixes."""
     steps = [fenced, plain_marks, escaped_literals, valid_hex_types, *[lambda x, p=p: without_language_on(x, p) for p in untagged], with_prefixes]

@@ -25,6 +25,48 @@ def mode(question: Column) -> Column:
     return F.coalesce(*[F.when(question.rlike(f"(?i){p}"), m) for m, p in MODES], F.lit("literal"))
 
 
+#: Keys of a control panel and its modes, most telling first (fixed values).
+CONTROL_KEYS = (r"(?i)\[CTRL\]\s*\+\s*\[F[0-9]+\]", r"(?i)\[CTRL\]\s*\+\s*\[[A-Z]+\]", r"(?i)\[(?:START|STOP|RESET|ESC|ENTER|ZERO|DEL|INS|CALC)\]", r"(?i)\b(?:FOCUS|NEXT|BACK|HELP|AUTO|MANUAL|EDIT|MDI|TABLES|TOOLS|UTILITIES|CUSTOM)\b", r"\b[FST]\b")
+MODE_WORDS = r"(?i)(Automatic mode|Jog mode|MDI/MDA mode|EDIT|AUTO|MANUAL|MDI)"
+
+
+def _spaced(value: Column) -> Column:
+    return F.trim(F.regexp_replace(value, r"\s+", " "))
+
+
+def postal_address(value: Column) -> Column:
+    """What follows an address's heading, up to telephone, fax or mail, without web addresses; or a district with its country; else null."""
+    v = _spaced(value)
+    headed = F.regexp_extract(v, r"(?i)(?:direcci[oó]n|address)\s*:\s*(.*?)(?:\b(?:tel[eé]fono|telephone|phone|fax|e-?mail)\b|$)", 1)
+    headed = F.regexp_replace(F.regexp_replace(headed, r"(?i)\(www\.[^)]+\)", ""), r"^[\s.;,:]+|[\s.;,:]+$", "")
+    district = F.regexp_extract(v, r"(?i)(barrio .*?\(espa[nñ]a\))", 1)
+    return F.when(headed != "", headed).when(district != "", district)
+
+
+def ownership(value: Column) -> Column:
+    """Whom rights are reserved to, else the whole value."""
+    owner = F.regexp_extract(_spaced(value), r"(?i)(?:reservados? a|reserved (?:to|by)) (.+?)(?:\.|$)", 1)
+    return F.when(owner != "", F.trim(owner)).otherwise(_spaced(value))
+
+
+def control_key(value: Column) -> Column:
+    """The first key that a value names, in capitals, by the order of the patterns; else the whole value."""
+    some = lambda c: F.when(c != "", F.upper(F.regexp_replace(F.regexp_replace(c, r"\[ ", "["), r" \]", "]")))
+    return F.coalesce(*[some(F.regexp_extract(_spaced(value), p, 0)) for p in CONTROL_KEYS], _spaced(value))
+
+
+def mode_literals(value: Column) -> Column:
+    """The operating modes that a value names, once each, in order; else the whole value."""
+    found = F.array_distinct(F.regexp_extract_all(_spaced(value), F.lit(MODE_WORDS), F.lit(1)))
+    return F.when(F.size(found) > 0, F.array_join(found, ", ")).otherwise(_spaced(value))
+
+
+def department(value: Column) -> Column:
+    """The department or service that a value names, else the whole value."""
+    found = F.regexp_extract(_spaced(value), r"(?i)\b((?:el )?departamento de [^.,;:]+|(?:the )?[a-z ]*\bdepartment\b)", 1)
+    return F.when(found != "", F.trim(found)).otherwise(_spaced(value))
+
+
 def extracted(value: Column, answer_mode: Column) -> Column:
     """What a value says in a mode: null where it says nothing of the kind."""
     some = lambda c: F.when(c != "", c)
@@ -34,7 +76,7 @@ def extracted(value: Column, answer_mode: Column) -> Column:
         F.when(answer_mode == "email", take(r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z0-9]"))
         .when(answer_mode == "directive", take(r"\b[0-9]{4}/[0-9]{2}/[A-Z]{2}\b"))
         .when(answer_mode == "figure", take(r"(?i)\bfig(?:ure|ura|\.)? ?([0-9]+(?:[.-][0-9]+)*)", 1))
-        .when(answer_mode == "address", take(r"\b[0-9]{1,3}(?:\.[0-9]{1,3}){3}\b"))
+        .when(answer_mode == "address", postal_address(value))
         .when(answer_mode == "count", take(r"\b[0-9]+\b"))
         .when(answer_mode == "purpose", F.coalesce(take(r"(?i)\b(?:used|serves|sirve) (?:to|for|para) ([^.;]+)", 1), first))
         .otherwise(first)

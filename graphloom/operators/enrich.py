@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from . import patterns
+from . import patterns, retrieve
 
 #: Patterns of values worth a literal of their own, most telling first (fixed values).
 STRUCTURED = (
@@ -32,7 +32,7 @@ def types_compatible(pairs: DataFrame, types: DataFrame, closed: DataFrame, disj
     apart = apart.join(refl.select(F.col("child").alias("x"), F.col("ancestor").alias("left")), "left").join(refl.select(F.col("child").alias("y"), F.col("ancestor").alias("right")), "right")
     apart = apart.select("x", "y").distinct().withColumn("apart", F.lit(True))
     ta, tb = types.select(F.col("s").alias("a"), F.col("class").alias("x")), types.select(F.col("s").alias("b"), F.col("class").alias("y"))
-    each = pairs.join(ta, "a").join(tb, "b").join(F.broadcast(below), ["x", "y"], "left").join(F.broadcast(apart), ["x", "y"], "left")
+    each = pairs.join(ta, "a").join(tb, "b").join(below, ["x", "y"], "left").join(apart, ["x", "y"], "left")
     agg = each.groupBy("a", "b").agg(F.max((F.col("x") == F.col("y")).cast("int")).alias("same"), F.max(F.coalesce("below", F.lit(False)).cast("int")).alias("below"), F.max(F.coalesce("apart", F.lit(False)).cast("int")).alias("apart"))
     return agg.select("a", "b", F.when(F.col("same") == 1, "same").when(F.col("apart") == 1, "disjoint").when(F.col("below") == 1, "below").otherwise("unrelated").alias("verdict"))
 
@@ -50,9 +50,9 @@ def surface_proposals(entities: DataFrame, triples: DataFrame) -> DataFrame:
 
 
 def link_proposals(entities: DataFrame, surfaces: DataFrame, predicate: str) -> DataFrame:
-    """(s, p, o): entities (id, text) whose text has a one-word surface (word, id) of another, which stands for just one."""
-    unique = surfaces.groupBy("word").agg(F.min("id").alias("o"), F.count_distinct("id").alias("n")).where("n = 1")
-    words = entities.select(F.col("id").alias("s"), F.explode(F.array_distinct(text.tokens(F.col("text"), 4))).alias("word"))
+    """(s, p, o): entities (id, text) whose text has a surface (word, id; of one or more words) of another, which stands for just one."""
+    unique = surfaces.groupBy(text.normalize(F.col("word")).alias("word")).agg(F.min("id").alias("o"), F.count_distinct("id").alias("n")).where("n = 1")
+    words = retrieve.phrase_hits(entities, surfaces.select(F.col("word").alias("term")), 4).select(F.col("id").alias("s"), F.col("term").alias("word"))
     return words.join(unique, "word").where("s <> o").select("s", F.lit(predicate).alias("p"), "o").distinct()
 
 

@@ -9,15 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..plans.durable import cut
+from . import retrieve
 
 
 def term_counts(chunks: DataFrame, terms: DataFrame) -> DataFrame:
-    """(id, n_terms, n_words, density): different one-word terms (column term) in each chunk (id, text).
-
-    Words are joined with terms by equality, so no chunk is compared with all terms.
-    """
-    words = chunks.select("id", F.explode(F.array_distinct(text.tokens(F.col("text"), 2))).alias("term"))
-    found = words.join(terms.select("term").distinct(), "term").groupBy("id").agg(F.count("*").alias("n_terms"))
+    """(id, n_terms, n_words, density): different terms (column term) of one or more words in each chunk (id, text)."""
+    found = retrieve.phrase_hits(chunks, terms, 2).groupBy("id").agg(F.count("*").alias("n_terms"))
     n_words = F.size(F.filter(F.split("text", r"\s+"), lambda w: w != ""))
     base = chunks.select("id", n_words.cast("long").alias("n_words"))
     out = base.join(found, "id", "left").withColumn("n_terms", F.coalesce("n_terms", F.lit(0)))
@@ -78,15 +76,19 @@ def split_parts(chunks: DataFrame, budget: int = 120, overlap: int = 18) -> Data
 
 
 def numbered(chunks: DataFrame, group: str, order: str) -> DataFrame:
-    """Chunks with ``global_id`` from 0, by group then order, without sorting all of them in one task.
+    """Chunks with ``local_id`` within their group and ``global_id``, from 0, by group then order.
 
-    Groups are numbered within; a group's start is the sum of the sizes before it, over one row a group.
+    Rows are sorted by range, so a group of any size is dealt to many tasks; a row's number is its place in its
+    partition and the sum of the partitions before, of which there is one row each.
     """
-    sizes = chunks.groupBy(group).agg(F.count("*").alias("__n"))
-    starts = sizes.withColumn("__start", F.sum("__n").over(Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)))
-    local = chunks.withColumn("local_id", F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1)
-    out = local.join(starts, group).withColumn("global_id", (F.col("local_id") + F.coalesce("__start", F.lit(0))).cast("long"))
-    return out.drop("__n", "__start")
+    ranged = chunks.repartitionByRange(group, order).sortWithinPartitions(group, order)
+    placed = cut(ranged.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    sizes = placed.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = sizes.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    out = placed.join(before, "__part").withColumn("global_id", (F.col("__at") + F.col("__before")).cast("long"))
+    first = out.groupBy(F.col(group).alias("__group")).agg(F.min("global_id").alias("__first"))
+    out = out.join(first, F.col(group).eqNullSafe(F.col("__group")))
+    return out.withColumn("local_id", F.col("global_id") - F.col("__first")).drop("__part", "__at", "__before", "__group", "__first")
 
 
 def actions(chunks: DataFrame, manifest: DataFrame) -> DataFrame:

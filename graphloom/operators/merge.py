@@ -14,8 +14,8 @@ BLOCKING = ("missing_type", "class_as_entity", "unknown_predicate", "anonymous",
 
 def fragment_faults(fragments: DataFrame, classes: DataFrame, properties: DataFrame) -> DataFrame:
     """(fragment, category, n): faults of triples with a fragment column, in one pass and two small joins."""
-    f = fragments.join(F.broadcast(properties.select(F.col("property").alias("p"), F.lit(True).alias("known"))), "p", "left")
-    f = f.join(F.broadcast(classes.select(F.col("class").alias("s"), F.lit(True).alias("is_class"))), "s", "left")
+    f = fragments.join(properties.select(F.col("property").alias("p"), F.lit(True).alias("known")), "p", "left")
+    f = f.join(classes.select(F.col("class").alias("s"), F.lit(True).alias("is_class")), "s", "left")
     by_subject = f.groupBy("fragment", "s").agg(
         F.max((F.col("p") == "type").cast("int")).alias("typed"), F.max(F.col("p").isin("label", "identifier", "extract").cast("int")).alias("traced"),
         F.max(F.coalesce("is_class", F.lit(False)).cast("int")).alias("is_class"), F.sum(F.col("known").isNull().cast("int")).alias("unknown"),

@@ -9,19 +9,19 @@ from ..plans.durable import cut
 from . import patterns
 
 
-def closure(edges: DataFrame, max_depth: int = 64) -> DataFrame:
+def closure(edges: DataFrame) -> DataFrame:
     """(child, ancestor): transitive closure of (child, parent), by doubling paths until nothing is new.
 
-    Cycles end it like any repeated pair; schemas are small, so each round is a small join.
+    Chains of n levels take log n rounds, whatever n; cycles end it like any repeated pair.
     """
     found = edges.select("child", F.col("parent").alias("ancestor")).distinct()
-    size, depth = found.count(), 1
-    while depth < max_depth:
+    size = found.count()
+    while size:
         step = found.alias("a").join(found.alias("b"), F.col("a.ancestor") == F.col("b.child")).select("a.child", "b.ancestor")
         found = cut(found.union(step).distinct())
         if (now := found.count()) == size:
             break
-        size, depth = now, depth * 2
+        size = now
     return found
 
 
@@ -37,7 +37,7 @@ def types_of(triples: DataFrame) -> DataFrame:
 
 def redundant_types(types: DataFrame, closed: DataFrame) -> DataFrame:
     """(s, class): types that another type of the subject has among its ancestors."""
-    implied = types.join(F.broadcast(closed), types["class"] == closed["child"]).select("s", F.col("ancestor").alias("class")).distinct()
+    implied = types.join(closed, types["class"] == closed["child"]).select("s", F.col("ancestor").alias("class")).distinct()
     return types.join(implied, ["s", "class"], "left_semi")
 
 
@@ -52,8 +52,8 @@ def infer_types(triples: DataFrame, domains: DataFrame) -> DataFrame:
 def violations(triples: DataFrame, types: DataFrame, closed: DataFrame, allowed: DataFrame, end: str) -> DataFrame:
     """(property, n): links whose end (s or o) has types, none of them the allowed class or below it."""
     up = reflexive(closed)
-    classes = types.join(F.broadcast(up), types["class"] == up["child"]).select(F.col("s").alias("node"), F.col("ancestor").alias("class")).distinct()
-    link = patterns.links(triples).join(F.broadcast(allowed), F.col("p") == F.col("property")).select("property", F.col(end).alias("node"), F.col("class").alias("want"), "s", "o")
+    classes = types.join(up, types["class"] == up["child"]).select(F.col("s").alias("node"), F.col("ancestor").alias("class")).distinct()
+    link = patterns.links(triples).join(allowed, F.col("p") == F.col("property")).select("property", F.col(end).alias("node"), F.col("class").alias("want"), "s", "o")
     judged = link.join(types.select(F.col("s").alias("node")).distinct(), "node", "left_semi")
     good = judged.join(classes, (judged.node == classes.node) & (judged.want == classes["class"]), "left_anti")
     return good.groupBy("property").agg(F.count("*").alias("n"))
@@ -62,7 +62,7 @@ def violations(triples: DataFrame, types: DataFrame, closed: DataFrame, allowed:
 def inverse_counts(triples: DataFrame, inverses: DataFrame) -> DataFrame:
     """(property, inverse, n, n_inverse): how often either direction is stated."""
     n = triples.groupBy("p").agg(F.count("*").alias("n"))
-    out = F.broadcast(inverses).join(n.withColumnRenamed("p", "property"), "property", "left")
+    out = inverses.join(n.withColumnRenamed("p", "property"), "property", "left")
     out = out.join(n.select(F.col("p").alias("inverse"), F.col("n").alias("n_inverse")), "inverse", "left")
     return out.select("property", "inverse", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("n_inverse", F.lit(0)).alias("n_inverse"))
 
@@ -70,7 +70,7 @@ def inverse_counts(triples: DataFrame, inverses: DataFrame) -> DataFrame:
 def materialize_inverses(triples: DataFrame, inverses: DataFrame) -> DataFrame:
     """Links that the inverses imply in either direction and that are not stated yet."""
     both = inverses.select("property", "inverse").union(inverses.select(F.col("inverse").alias("property"), F.col("property").alias("inverse")))
-    implied = patterns.links(triples).join(F.broadcast(both), F.col("p") == F.col("property"))
+    implied = patterns.links(triples).join(both, F.col("p") == F.col("property"))
     implied = implied.select(F.col("o").alias("s"), F.col("inverse").alias("p"), F.col("s").alias("o")).distinct()
     return patterns.without(implied, triples)
 
@@ -93,9 +93,9 @@ def axiom_candidates(pairs: DataFrame, least: int = 3, ratio: float = 0.8) -> Da
 def disjoint_conflicts(types: DataFrame, closed: DataFrame, disjoint: DataFrame) -> DataFrame:
     """(s, left, right): subjects under two classes declared disjoint."""
     up = reflexive(closed)
-    classes = types.join(F.broadcast(up), types["class"] == up["child"]).select("s", "ancestor").distinct()
+    classes = types.join(up, types["class"] == up["child"]).select("s", "ancestor").distinct()
     a, b = classes.withColumnRenamed("ancestor", "left"), classes.withColumnRenamed("ancestor", "right")
-    return a.join(F.broadcast(disjoint), "left").join(b, ["s", "right"]).select("s", "left", "right")
+    return a.join(disjoint, "left").join(b, ["s", "right"]).select("s", "left", "right")
 
 
 def condensed_schema(domains: DataFrame, ranges: DataFrame) -> DataFrame:

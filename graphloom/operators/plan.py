@@ -27,8 +27,8 @@ def family_scores(questions: DataFrame, families: DataFrame) -> DataFrame:
     """
     words = parsed(questions).select("id", F.explode("words").alias("keyword"))
     total = families.groupBy("family").agg(F.sum(F.col("needed").cast("int")).alias("total"))
-    hit = words.join(F.broadcast(families), "keyword").groupBy("id", "family").agg(F.count("*").alias("n_any"), F.sum(F.col("needed").cast("int")).alias("n_all"))
-    out = hit.join(F.broadcast(total), "family").where("n_all = total")
+    hit = words.join(families, "keyword").groupBy("id", "family").agg(F.count("*").alias("n_any"), F.sum(F.col("needed").cast("int")).alias("n_all"))
+    out = hit.join(total, "family").where("n_all = total")
     return out.select("id", "family", "n_any", "n_all", (2 * F.col("n_any") + F.when(F.col("n_all") > 0, 4).otherwise(0)).alias("score"))
 
 
@@ -47,7 +47,7 @@ def selected(questions: DataFrame, families: DataFrame, fallback: str = "generic
 def resolved_seeds(seeds: DataFrame, nodes: DataFrame, aliases: DataFrame, surfaces: DataFrame) -> DataFrame:
     """(seed, node, how): declared seeds found as they are, by alias, or by equal compact surface; the first way that works."""
     exact = seeds.join(nodes, seeds.seed == nodes.node).select("seed", "node", F.lit(0).alias("o"), F.lit("exact").alias("how"))
-    alias = seeds.join(F.broadcast(aliases), "seed").select("seed", F.col("target").alias("node")).join(nodes, "node", "left_semi").select("seed", "node", F.lit(1).alias("o"), F.lit("alias").alias("how"))
+    alias = seeds.join(aliases, "seed").select("seed", F.col("target").alias("node")).join(nodes, "node", "left_semi").select("seed", "node", F.lit(1).alias("o"), F.lit("alias").alias("how"))
     keyed = seeds.withColumn("key", text.compact_key(text.humanize(text.local_name(F.col("seed")))))
     named = surfaces.select(F.col("id").alias("node"), text.compact_key(F.col("surface")).alias("key"))
     surface = keyed.where("key <> ''").join(named, "key").select("seed", "node", F.lit(2).alias("o"), F.lit("surface").alias("how"))
@@ -61,9 +61,11 @@ def signature(steps: Column) -> Column:
 
 
 def generic_candidates(questions: DataFrame, triples: DataFrame, most: int = 10) -> DataFrame:
-    """(id, node, score, rank): subjects whose label or identifier has a question's words, two for each, one more for links."""
+    """(id, node, score, rank): subjects whose label or identifier has a question's words, two for each word.
+
+    Words of any frequency count; the best by score, then name, are kept, pruned to that number before the shuffle.
+    """
     words = parsed(questions).select("id", F.explode("words").alias("word"))
     named = triples.where(F.col("p").isin("label", "identifier")).select(F.col("s").alias("node"), F.explode(F.array_distinct(text.tokens(F.col("o"), 3))).alias("word")).distinct()
-    common = named.groupBy("word").agg(F.count("*").alias("n")).where("n <= 40").select("word")
-    hit = words.join(named.join(common, "word", "left_semi"), "word").groupBy("id", "node").agg((2 * F.count("*")).alias("score"))
+    hit = words.join(named, "word").groupBy("id", "node").agg((2 * F.count("*")).alias("score"))
     return patterns.top_by(hit, most, "id", F.desc("score"), F.col("node"))

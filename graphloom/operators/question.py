@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import surfaces, text, turtle_text
-from . import patterns
+from . import patterns, retrieve
 
 
 def groups(questions: DataFrame, rules: DataFrame) -> DataFrame:
-    """(id, group, n): rule groups (group, phrase of one word) that a question (id, text) has words of."""
-    words = questions.select("id", F.explode(F.array_distinct(text.tokens(F.col("text"), 2))).alias("phrase"))
-    return words.join(F.broadcast(rules), "phrase").groupBy("id", "group").agg(F.count("*").alias("n"))
+    """(id, group, n): rule groups (group, phrase of one or more words) that a question (id, text) has phrases of."""
+    found = retrieve.phrase_hits(questions, rules.select(F.col("phrase").alias("term")), 2).withColumnRenamed("term", "key")
+    return found.join(rules.withColumn("key", text.normalize(F.col("phrase"))), "key").groupBy("id", "group").agg(F.count("*").alias("n"))
 
 
 def normalized(questions: DataFrame, replacements: tuple[tuple[str, str], ...], rules: DataFrame, default: str = "en") -> DataFrame:
@@ -48,11 +48,11 @@ def filtered(candidates: DataFrame, words: list[str]) -> DataFrame:
     return candidates.join(some, "id", "left").where(keep | F.col("__some").isNull()).drop("__some")
 
 
-def neighbourhood(triples: DataFrame, nodes: DataFrame, limit: int = 2000) -> DataFrame:
-    """(node, text): what a node (column node) states, as one line a node, in order, clipped."""
+def neighbourhood(triples: DataFrame, nodes: DataFrame, limit: int | None = None) -> DataFrame:
+    """(node, text): what a node (column node) states, as one line a node, in order; clipped if a limit is given."""
     own = triples.join(nodes.select(F.col("node").alias("s")).distinct(), "s", "left_semi")
     joined = own.groupBy(F.col("s").alias("node")).agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(" ", "p", "o"))), "; ").alias("t"))
-    return joined.select("node", F.substring("t", 1, limit).alias("text"))
+    return joined.select("node", (F.substring("t", 1, limit) if limit else F.col("t")).alias("text"))
 
 
 def prompts(chunks: DataFrame, terms: DataFrame, template: str, least: int = 50) -> DataFrame:
@@ -61,8 +61,8 @@ def prompts(chunks: DataFrame, terms: DataFrame, template: str, least: int = 50)
     The template has %s for the terms and %s for the text.
     """
     long = chunks.where(F.length(F.trim("text")) >= least)
-    words = long.select("id", F.explode(F.array_distinct(text.tokens(F.col("text"), 2))).alias("term"))
-    known = words.join(terms.groupBy("term").agg(F.max("uri").alias("uri")), "term")
+    named = terms.groupBy(text.normalize(F.col("term")).alias("term")).agg(F.max("uri").alias("uri"))
+    known = retrieve.phrase_hits(long, terms, 2).join(named, "term")
     listed = known.groupBy("id").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws("=", "term", "uri"))), ", ").alias("known"))
     return long.join(listed, "id", "left").select("id", F.format_string(template, F.coalesce("known", F.lit("")), F.trim("text")).alias("prompt"))
 

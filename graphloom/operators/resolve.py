@@ -44,21 +44,22 @@ def merged(*candidate_sets: DataFrame) -> DataFrame:
     return whole.groupBy("source", "target", "issue").agg(F.max("score").alias("score"), F.sum("questions").alias("questions"))
 
 
-def resolve_chains(mapping: DataFrame, rounds: int = 30) -> DataFrame:
-    """(source, target): chains followed to their end by pointer jumping, so n hops take log n joins.
+def resolve_chains(mapping: DataFrame) -> DataFrame:
+    """(source, target): chains followed to their end by pointer jumping, so n hops take log n joins, whatever n.
 
-    A source on a cycle, or leading to one, goes to the least entity that its jumps meet there.
+    A source on a cycle, or leading to one, goes to the least entity of the cycle; that entity itself stays.
     """
-    m = mapping.groupBy("source").agg(F.min("target").alias("target")).where("source <> target")
-    for _ in range(rounds):
-        ahead = m.select(F.col("source").alias("t"), F.col("target").alias("t2"))
-        step = m.join(ahead, m.target == ahead.t, "left").select("source", "target", "t2")
-        moved = step.select("source", F.when(F.col("t2").isNull() | (F.col("t2") == F.col("source")), F.col("target")).otherwise(F.col("t2")).alias("target"), F.coalesce((F.col("t2") != F.col("target")) & (F.col("t2") != F.col("source")), F.lit(False)).alias("went"))
-        moved = cut(moved)
-        m = moved.select("source", "target")
-        if not moved.where("went").head(1):
-            break
-    return m.where("source <> target")
+    first = cut(mapping.groupBy("source").agg(F.min("target").alias("target")).where("source <> target"))
+    m = first.withColumn("least", F.col("target")).withColumn("open", F.lit(True))
+    for _ in range(first.count().bit_length() + 1):  # then every chain has ended, and what goes on is on a cycle
+        ahead = m.select(F.col("source").alias("t"), F.col("target").alias("t2"), F.col("least").alias("l2"))
+        step = m.join(ahead, m.target == ahead.t, "left")
+        m = cut(step.select("source", F.coalesce("t2", "target").alias("target"), F.least("least", F.coalesce("l2", "least")).alias("least"), F.col("t2").isNotNull().alias("open")))
+        if not m.where("open").head(1):
+            return m.select("source", "target")
+    # a target that is a source itself is on a cycle, all of which its jumps have passed
+    on = m.select(F.col("source").alias("t"), F.col("least").alias("of"))
+    return m.join(on, m.target == on.t, "left").select("source", F.coalesce("of", "target").alias("target")).where("source <> target")
 
 
 def guarded(proposals: DataFrame, triples: DataFrame, properties: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def guarded(proposals: DataFrame, triples: DataFrame, properties: DataFrame) ->
     typed = triples.where("p = 'type'").select(F.col("s").alias("node")).distinct()
     a = proposals.join(typed.select(F.col("node").alias("s"), F.lit(True).alias("s_typed")), "s", "left")
     a = a.join(typed.select(F.col("node").alias("o"), F.lit(True).alias("o_typed")), "o", "left")
-    a = a.join(F.broadcast(properties.select(F.col("property").alias("p"), F.lit(True).alias("known"))), "p", "left")
+    a = a.join(properties.select(F.col("property").alias("p"), F.lit(True).alias("known")), "p", "left")
     a = a.join(triples.select("s", "p", "o", F.lit(True).alias("there")).distinct(), ["s", "p", "o"], "left")
     verdict = (
         F.when(F.col("s") == F.col("o"), "self_loop")
@@ -78,6 +79,22 @@ def guarded(proposals: DataFrame, triples: DataFrame, properties: DataFrame) ->
     return a.select("s", "p", "o", verdict.alias("verdict"))
 
 
+def limited_name(name: Column, key: Column, most: int = 80) -> Column:
+    """A name of at most so many characters: a longer one is cut and gets a hash of its key behind it."""
+    mark = text.short_hash(key)
+    cut_name = F.regexp_replace(F.substring(name, 1, most - 11), "_+$", "")
+    return F.when(F.length(name) <= most, name).otherwise(F.concat_ws("_", cut_name, mark))
+
+
+def search_variants(name: Column, prefixes: tuple[str, ...]) -> Column:
+    """A local name, and what is left without a class's name (and Error) before it, where that is anything."""
+    local = text.local_name(name)
+    bare = F.regexp_replace(local, f"^(?:{'|'.join(prefixes)})_?", "")
+    more = F.when((bare != local) & (bare != ""), bare)
+    error = F.when(bare.startswith("Error"), F.substring(bare, 6, 1_000_000))
+    return F.array_compact(F.array(local, more, error))
+
+
 def minted(entities: DataFrame, type_name: Column, surface: Column, registry: DataFrame | None = None) -> DataFrame:
     """(id, key, name): names minted from type and surface.
 
@@ -96,12 +113,16 @@ def minted(entities: DataFrame, type_name: Column, surface: Column, registry: Da
 
 
 def clusters(vectors: DataFrame) -> DataFrame:
-    """(label, id, cosine): each vector with the centre of its label; sums are combined before the shuffle."""
-    at = vectors.select("id", "label", F.posexplode("embedding").alias("i", "x"))
-    centre = at.groupBy("label", "i").agg(F.avg("x").alias("c"))
-    both = at.join(centre, ["label", "i"])
-    dot = F.sum(F.col("x") * F.col("c")) / (F.sqrt(F.sum(F.col("x") * F.col("x"))) * F.sqrt(F.sum(F.col("c") * F.col("c"))))
-    return both.groupBy("label", "id").agg(dot.alias("cosine"))
+    """(label, id, cosine): each vector with the centre of its label.
+
+    Sums are combined before the shuffle; a centre is one array a label, as long as a vector, and each vector is
+    compared with it as a whole.
+    """
+    at = vectors.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("c"))
+    centre = at.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "c"))), lambda e: e["c"]).alias("centre"))
+    total = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    e, c = F.col("embedding"), F.col("centre")
+    return vectors.join(centre, "label").select("label", "id", (total(e, c) / (F.sqrt(total(e, e)) * F.sqrt(total(c, c)))).alias("cosine"))
 
 
 def neighbours(triples: DataFrame) -> DataFrame:

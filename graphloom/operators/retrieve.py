@@ -17,10 +17,22 @@ def surface_index(entities: DataFrame) -> DataFrame:
     return keyed.groupBy("surface").agg(F.count_distinct("id").alias("n_entities"), F.min("id").alias("least"))
 
 
+def phrase_hits(texts: DataFrame, terms: DataFrame, least: int = 1) -> DataFrame:
+    """(id, term): terms of one or more words that stand in a text (id, text), once each, both normalised.
+
+    Runs of words as long as any term are joined with the terms by equality, so no text is compared with all terms.
+    Terms of fewer than ``least`` characters are left out.
+    """
+    known = terms.select(text.normalize(F.col("term")).alias("term")).where(F.length("term") >= least).distinct()
+    lengths = tuple(sorted(r[0] for r in known.select(F.size(F.split("term", " "))).distinct().collect()))  # a few numbers
+    if not lengths:
+        return texts.select("id", F.lit("").alias("term")).where(F.lit(False))
+    return texts.select("id", F.explode(F.array_distinct(text.phrases(F.col("text"), lengths))).alias("term")).join(known, "term").select("id", "term")
+
+
 def question_hits(questions: DataFrame, terms: DataFrame, most: int = 8) -> DataFrame:
-    """(id, term, rank): one-word terms that stand in a question (id, text), the longest first, at most so many."""
-    words = questions.select("id", F.explode(F.array_distinct(text.tokens(F.col("text"), 3))).alias("term"))
-    hit = words.join(terms.select("term").distinct(), "term")
+    """(id, term, rank): terms of one or more words that stand in a question (id, text), the longest first, at most so many."""
+    hit = phrase_hits(questions, terms, 3)
     return patterns.top_by(hit, most, "id", F.desc(F.length("term")), F.col("term")).select("id", "term", "rank")
 
 
@@ -30,7 +42,7 @@ def intents(questions: DataFrame, rules: DataFrame) -> DataFrame:
     Questions without any keyword have intent generic and score 0.
     """
     words = questions.select("id", F.explode(F.array_distinct(text.tokens(F.col("text"), 2))).alias("keyword"))
-    scored = words.join(F.broadcast(rules), "keyword").groupBy("id", "intent").agg(F.sum("weight").alias("score"))
+    scored = words.join(rules, "keyword").groupBy("id", "intent").agg(F.sum("weight").alias("score"))
     best = scored.groupBy("id").agg(F.min(F.struct((-F.col("score")).alias("n"), "intent")).alias("m"))
     out = questions.select("id").join(best, "id", "left")
     return out.select("id", F.coalesce("m.intent", F.lit("generic")).alias("intent"), F.coalesce(-F.col("m.n"), F.lit(0)).cast("long").alias("score"))
@@ -83,20 +95,14 @@ def boundedness(triples: DataFrame, plan: Plan) -> DataFrame:
     return out
 
 
-def evidence(questions: DataFrame, rows: DataFrame, most: int = 3, rare_only: bool = False) -> DataFrame:
+def evidence(questions: DataFrame, rows: DataFrame, most: int = 3) -> DataFrame:
     """(id, row, shared, rank): for each question the rows (row, text) that share most significant words with it.
 
-    All significant words count. Rows of equal words are scored once, and of them the first ``most`` are kept, as
-    no other can rank. ``rare_only``: words that stand in over a hundredth of the rows are left out of the score.
+    All significant words of all rows count. Rows of equal words are scored once, and of them the first ``most`` are
+    kept, as no other can rank.
     """
     q = questions.select("id", F.explode(text.significant_tokens(F.col("text"))).alias("word"))
     worded = rows.select("row", F.array_sort(text.significant_tokens(F.col("text"))).alias("words"))
-    if rare_only:
-        r = worded.select("row", F.explode("words").alias("word"))
-        most_rows = rows.count() // 100
-        common = r.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") <= most_rows).select("word")
-        shared = q.join(common, "word").join(r, "word").groupBy("id", "row").agg(F.count("*").alias("shared"))
-        return patterns.top_by(shared, most, "id", F.desc("shared"), F.col("row"))
     first = patterns.top_by(worded.select("row", F.sha2(F.array_join("words", " "), 256).alias("key"), "words"), most, "key", F.col("row")).drop("rank")
     r = first.groupBy("key").agg(F.first("words").alias("words")).select("key", F.explode("words").alias("word"))
     shared = q.join(r, "word").groupBy("id", "key").agg(F.count("*").alias("shared"))

@@ -69,6 +69,23 @@ def triples(spark: SparkSession, sf_dir: str, *predicates: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All triples, with one scan a table: each row gives all that its table states. For what reads the whole graph;
+    patterns with bound predicates are better off with ``triples``, which reads only their columns."""
+    parts = []
+    for t in dict.fromkeys(m[0] for m in MAPPINGS):
+        said = []
+        for _, prefix, key, p, to, value, lang in [m for m in MAPPINGS if m[0] == t]:
+            o = F.expr(value).cast("string")
+            said.append(F.struct(
+                F.concat(F.lit(f"{prefix}_"), F.col(key).cast("string")).alias("s"), F.lit(p).alias("p"), (o if to in (None, "") else F.concat(F.lit(to), o)).alias("o"),
+                F.lit("literal" if to is None else "iri").alias("kind"), (F.col(lang) if lang else F.lit(None).cast("string")).alias("lang"),
+            ))
+        part = table(spark, sf_dir, t).select(F.explode(F.array(*said)).alias("t")).select("t.*")
+        parts.append(part.distinct() if t == "lineitem" else part)
+    return reduce(DataFrame.unionByName, parts)
+
+
 def triples_sql(*predicates: str) -> str:
     """The same view as SQL."""
     parts = []

@@ -80,7 +80,7 @@ def kg_region_customers(spark, sf_dir):
 
 @query(view() + " SELECT p, count(*) AS n, count(DISTINCT s) AS n_subjects FROM t GROUP BY p")
 def kg_triples_count_by_predicate(spark, sf_dir):
-    return triples(spark, sf_dir).groupBy("p").agg(F.count("*").alias("n"), F.count_distinct("s").alias("n_subjects"))
+    return T.whole(spark, sf_dir).groupBy("p").agg(F.count("*").alias("n"), F.count_distinct("s").alias("n_subjects"))
 
 
 @query(view("inRegion") + " SELECT s, o FROM t")
@@ -193,7 +193,7 @@ def kg_ask(spark, sf_dir):
 
 @query(view() + " SELECT count(*) AS n FROM t")
 def kg_count(spark, sf_dir):
-    return triples(spark, sf_dir).agg(F.count("*").alias("n"))
+    return T.whole(spark, sf_dir).agg(F.count("*").alias("n"))
 
 
 @query(view() + " SELECT p, count(*) AS n FROM t GROUP BY p ORDER BY n DESC, p LIMIT 5")
@@ -381,7 +381,7 @@ f AS (SELECT 'missing_type' AS category, s FROM subj WHERE s NOT IN (SELECT s FR
 SELECT c.category, count(f.s) AS n, min(f.s) AS sample FROM (SELECT unnest(['missing_type', 'missing_trace', 'weak_linkage', 'unknown_predicate', 'dangling', 'redundant_type', 'long_name']) AS category) c LEFT JOIN f ON f.category = c.category GROUP BY 1""")
 def val_report(spark, sf_dir):
     allowed = relation(spark, tuple((p,) for p in VOCABULARY), "property")
-    return validate.report(triples(spark, sf_dir), allowed, ontology.closure(subclasses(spark)))
+    return validate.report(T.whole(spark, sf_dir), allowed, ontology.closure(subclasses(spark)))
 
 
 # ---------------------------------------------------------------- minting and resolution
@@ -411,7 +411,7 @@ def mint_registry_reuse(spark, sf_dir):
     return resolve.minted(p, F.lit("Part"), F.col("p_name"), registry)
 
 
-@query("SELECT p_type AS class, upper(regexp_replace(p_brand, '[\\s\\-_/]+', '', 'g')) AS ident, count(DISTINCT p_partkey) AS n, min(p_partkey) AS least FROM part GROUP BY 1, 2 HAVING count(DISTINCT p_partkey) > 1")
+@query("SELECT p_type AS class, upper(regexp_replace(p_brand, '[\\s\\-/]+', '', 'g')) AS ident, count(DISTINCT p_partkey) AS n, min(p_partkey) AS least FROM part GROUP BY 1, 2 HAVING count(DISTINCT p_partkey) > 1")
 def er_identifier_collisions(spark, sf_dir):
     p = parts(spark, sf_dir).withColumn("ident", text.identifier(F.col("p_brand"))).withColumnRenamed("p_type", "class")
     return resolve.collisions(p, "class", "ident")
@@ -555,7 +555,7 @@ def txt_language_score(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", *[c.cast("long").alias(f"{k}_hits") for k, c in scores.items()])
 
 
-@query("SELECT p_partkey AS id, CASE WHEN regexp_matches(p_brand, '^[A-Z]+[0-9]+$') THEN 1.0 WHEN regexp_matches(p_brand, '^[A-Z0-9_.\\-\\[\\]]+$') THEN 0.85 WHEN regexp_matches(p_brand, '^[A-Za-z]+#?[0-9]+$') THEN 0.75 WHEN regexp_matches(p_brand, '[0-9]') THEN 0.55 ELSE 0.0 END::DOUBLE AS score FROM part")
+@query("SELECT p_partkey AS id, CASE WHEN regexp_matches(trim(p_brand), '(?i)[0-9]{4}/[0-9]{2}/[A-Z]{2}') THEN 1.0 WHEN regexp_matches(trim(p_brand), '[A-Z]{1,6}-?[0-9]{1,6}') THEN 0.85 WHEN regexp_matches(trim(p_brand), '[0-9]') AND regexp_matches(trim(p_brand), '[-/]') THEN 0.75 WHEN length(trim(p_brand)) <= 24 AND regexp_matches(p_brand, '[0-9]') THEN 0.55 ELSE 0.0 END::DOUBLE AS score FROM part")
 def txt_identifier_score(spark, sf_dir):
     return parts(spark, sf_dir).select("id", text.structured_identifier_score(F.col("p_brand")).cast("double").alias("score"))
 
@@ -685,11 +685,11 @@ SIGNIFICANT_SQL = "list_distinct(list_filter({}, lambda x: x NOT IN (" + words_s
 
 
 @query(f"""WITH qw AS (SELECT item_id AS id, unnest({SIGNIFICANT_SQL.format(tokens_sql('text', 3))}) AS word FROM benchmark), rw AS (SELECT doc_id AS row, unnest({SIGNIFICANT_SQL.format(tokens_sql('text', 3))}) AS word FROM documents),
-ok AS (SELECT word FROM rw GROUP BY 1 HAVING 100 * count(*) <= (SELECT count(*) FROM documents)), sh AS (SELECT id, row, count(*) AS shared FROM qw JOIN ok USING (word) JOIN rw USING (word) GROUP BY 1, 2)
+sh AS (SELECT id, row, count(*) AS shared FROM qw JOIN rw USING (word) GROUP BY 1, 2)
 SELECT id, row, shared, rank FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY shared DESC, row) AS rank FROM sh) WHERE rank <= 3""")
 def syn_evidence_topk(spark, sf_dir):
     q = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text")
-    return retrieve.evidence(q, table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row"), "text"), rare_only=True)  # as its SQL has it
+    return retrieve.evidence(q, table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row"), "text"))
 
 
 # ---------------------------------------------------------------- evaluation
@@ -792,4 +792,4 @@ def stream_event_windows(spark, sf_dir):
     return spark.table(name).select(F.date_format("start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n")
 
 
-from . import queries_more  # noqa: E402, F401  registers its queries here
+from . import queries_depth, queries_more  # noqa: E402, F401  they register their queries here

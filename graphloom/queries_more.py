@@ -190,7 +190,7 @@ def er_type_compatibility(spark, sf_dir):
 
 
 @query("""WITH d AS (SELECT l_partkey AS id, count(DISTINCT l_orderkey) AS n FROM lineitem GROUP BY 1)
-SELECT p_partkey AS id, round(2.6 * CASE WHEN regexp_matches(p_brand, '^[A-Z]+[0-9]+$') THEN 1.0 WHEN regexp_matches(p_brand, '^[A-Z0-9_.\\-\\[\\]]+$') THEN 0.85 WHEN regexp_matches(p_brand, '^[A-Za-z]+#?[0-9]+$') THEN 0.75 WHEN regexp_matches(p_brand, '[0-9]') THEN 0.55 ELSE 0.0 END
+SELECT p_partkey AS id, round(2.6 * CASE WHEN regexp_matches(trim(p_brand), '(?i)[0-9]{4}/[0-9]{2}/[A-Z]{2}') THEN 1.0 WHEN regexp_matches(trim(p_brand), '[A-Z]{1,6}-?[0-9]{1,6}') THEN 0.85 WHEN regexp_matches(trim(p_brand), '[0-9]') AND regexp_matches(trim(p_brand), '[-/]') THEN 0.75 WHEN length(trim(p_brand)) <= 24 AND regexp_matches(p_brand, '[0-9]') THEN 0.55 ELSE 0.0 END
  + least(coalesce(n, 0), 10) * 0.1 + 0.25 * 2 - CASE WHEN regexp_matches(p_brand, '^[0-9]+$') THEN 0.5 ELSE 0.0 END, 4)::DOUBLE AS score FROM part LEFT JOIN d ON d.id = p_partkey""")
 def er_selection_score(spark, sf_dir):
     n = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("id")).agg(F.count_distinct("l_orderkey").alias("n"))
@@ -256,16 +256,18 @@ def syn_answer_modes(spark, sf_dir):
     return table(spark, sf_dir, "conversations").groupBy(answer.mode(F.col("text")).alias("mode")).agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH lines AS (SELECT item_id AS id, {MODE_SQL} AS mode, {SIGNIFICANT_SQL.format(tokens_sql('text', 3))} AS qw FROM benchmark),
-e AS (SELECT id, mode, 'Item_' || b.item_id AS s, b.text AS o, len(list_filter(qw, lambda x: list_contains({tokens_sql('b.text', 3)}, x))) AS shared FROM lines JOIN benchmark b ON b.item_id BETWEEN id - 2 AND id + 2),
+@query(f"""WITH q AS (SELECT item_id AS id, unnest({SIGNIFICANT_SQL.format(tokens_sql('text', 3))}) AS w FROM benchmark), b AS (SELECT DISTINCT item_id AS other, unnest({tokens_sql('text', 3)}) AS w FROM benchmark),
+sh AS (SELECT id, other, count(*) AS shared FROM q JOIN b USING (w) GROUP BY 1, 2), e AS (SELECT id, 'Item_' || other AS s, text AS o, shared FROM sh JOIN benchmark ON item_id = other),
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(2.0 * shared + 0.75 - CASE WHEN length(o) > 220 THEN 0.5 ELSE 0.0 END, 4) DESC, length(o), o, s) AS rank FROM e WHERE round(2.0 * shared + 0.75 - CASE WHEN length(o) > 220 THEN 0.5 ELSE 0.0 END, 4) > 0)
 SELECT id, s, rank FROM r WHERE rank <= 3""")
 def syn_ranked_evidence(spark, sf_dir):
+    """Items as evidence for items: all that share a significant word, met by the word."""
     b = table(spark, sf_dir, "benchmark")
-    q = b.select(F.col("item_id").alias("id"), text.significant_tokens(F.col("text")).alias("qw"), F.explode(F.sequence(F.col("item_id") - 2, F.col("item_id") + 2)).alias("at"))
-    rows = b.select(F.col("item_id").alias("at"), F.concat(F.lit("Item_"), "item_id").alias("s"), F.col("text").alias("o"), text.tokens(F.col("text"), 3).alias("w"))
-    e = q.join(rows, "at").select("id", "s", F.lit("extract").alias("p"), "o", F.size(F.array_intersect("qw", "w")).alias("shared"))
-    return answer.ranked(e).select("id", "s", "rank")
+    q = b.select(F.col("item_id").alias("id"), F.explode(text.significant_tokens(F.col("text"))).alias("w"))
+    rows = b.select(F.col("item_id").alias("at"), F.explode(F.array_distinct(text.tokens(F.col("text"), 3))).alias("w"))
+    shared = q.join(rows, "w").groupBy("id", "at").agg(F.count("*").alias("shared"))
+    e = shared.join(b.select(F.col("item_id").alias("at"), F.col("text").alias("o")), "at")
+    return answer.ranked(e.select("id", F.concat(F.lit("Item_"), "at").alias("s"), F.lit("extract").alias("p"), "o", "shared")).select("id", "s", "rank")
 
 
 @query("SELECT doc_id, CASE WHEN length(t) > 220 THEN rtrim(t[1:220]) || '...' ELSE t END AS answer FROM (SELECT doc_id, regexp_replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '[\\s,;:|-]+$', '') AS t FROM documents)")
@@ -457,7 +459,7 @@ def qst_anchor_text(spark, sf_dir):
     return question.anchor_text(parsed, retrieve.question_hits(q, terms))
 
 
-@query(view("label", "inRegion") + " SELECT s AS node, array_to_string(list_sort(list(DISTINCT p || ' ' || o)), '; ')[1:2000] AS text FROM t WHERE s LIKE 'Nation%' GROUP BY s")
+@query(view("label", "inRegion") + " SELECT s AS node, array_to_string(list_sort(list(DISTINCT p || ' ' || o)), '; ') AS text FROM t WHERE s LIKE 'Nation%' GROUP BY s")
 def qst_neighbourhood(spark, sf_dir):
     t = triples(spark, sf_dir, "label", "inRegion")
     return question.neighbourhood(t, t.where("s LIKE 'Nation%'").select(F.col("s").alias("node")))

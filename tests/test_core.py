@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from graphloom import queries, store
 from graphloom.functions import similarity, surfaces, text, turtle_text
-from graphloom.operators import evaluate, ingest, ontology, orchestrate, patterns, question, resolve, retrieve, sanitize, validate
-from graphloom.sources import chunks, reports, turtle
+from graphloom.operators import acceptance, diagnose, evaluate, ingest, ontology, orchestrate, patterns, plan, question, resolve, retrieve, sanitize, validate
+from graphloom.sources import chunks, datasets, reports, turtle
 from graphloom.streaming import ingest as streams
 
 SF = "/root/testdata/sf0.001"
@@ -273,3 +273,108 @@ def test_evidence_counts_frequent_words(spark):
     asked = spark.createDataFrame([(1, "granite harbour"), (2, "quarry granite")], "id long, text string")
     got = sorted(tuple(r) for r in retrieve.evidence(asked, rows).select("id", "rank", "row", "shared").collect())
     assert got == [(1, 1, 0, 2), (1, 2, 1, 2), (1, 3, 2, 2), (2, 1, 9, 2), (2, 2, 0, 1), (2, 3, 1, 1)]
+
+
+def test_candidates_of_a_word_that_many_hold(spark):
+    g = graph(spark, [(f"n{i:03}", "label", "pump") for i in range(60)])
+    q = spark.createDataFrame([(1, "which pump")], "id int, text string")
+    assert [r.node for r in plan.generic_candidates(q, g).orderBy("rank").collect()] == [f"n{i:03}" for i in range(10)]
+
+
+def test_evidence_of_a_few_rows(spark):
+    rows = spark.createDataFrame([(1, "feed pump pressure"), (2, "a valve"), (3, "feed line")], "row int, text string")
+    q = spark.createDataFrame([(7, "feed pump pressure")], "id int, text string")
+    assert [(r.row, r.shared) for r in retrieve.evidence(q, rows).orderBy("rank").collect()] == [(1, 3), (3, 1)]
+
+
+def test_closure_of_many_levels(spark):
+    e = spark.createDataFrame([(f"c{i}", f"c{i + 1}") for i in range(100)], "child string, parent string")
+    assert ontology.closure(e).count() == 100 * 101 // 2
+    assert ontology.closure(e.limit(0)).count() == 0
+
+
+def test_chains_with_cycles(spark):
+    rows = [("a", "b"), ("b", "c"), ("c", "a"), ("t2", "t1"), ("t1", "b"), ("x", "y"), ("self", "self")] + [(f"n{i:03}", f"n{i + 1:03}") for i in range(300)]
+    got = {r.source: r.target for r in resolve.resolve_chains(spark.createDataFrame(rows, "source string, target string")).collect()}
+    assert {k: v for k, v in got.items() if k[0] != "n"} == {"b": "a", "c": "a", "t1": "a", "t2": "a", "x": "y"}
+    assert all(got[f"n{i:03}"] == "n300" for i in range(300))
+
+
+def test_letters_and_identifiers(spark):
+    df = spark.createDataFrame([("Škoda Łódź Győr ﬁn x² Ｆｕｌｌ", "PP_177", "PP177", "2006/42/EC", "a@b.es/x_1-2")], "a string, b string, c string, d string, e string")
+    r = df.select(
+        text.normalize(F.col("a")).alias("n"), (text.identifier(F.col("b")) == text.identifier(F.col("c"))).alias("same"), text.structured_identifier_score(F.col("d")).alias("s"),
+        text.normalize_technical(F.col("e")).alias("t"), text.normalize(F.lit("cafe\u0301")).alias("m"),
+    ).first()
+    assert (r.n, r.same, float(r.s), r.t, r.m) == ("skoda odz gyor fin x2 full", False, 1.0, "a@b.es/x_1-2", "cafe")
+
+
+def test_terms_of_several_words(spark):
+    chunks = spark.createDataFrame([(1, "The feed pump, and the valve."), (2, "feed the pump"), (3, None), (4, "")], "id long, text string")
+    terms = spark.createDataFrame([("Feed Pump",), ("valve",), ("relief valve of the pump",)], "term string")
+    assert {r.id: r.n_terms for r in ingest.term_counts(chunks, terms).collect()} == {1: 2, 2: 0, 3: 0, 4: 0}
+    assert [(r.id, r.term) for r in retrieve.question_hits(chunks, terms).orderBy("rank").collect()] == [(1, "feed pump"), (1, "valve")]
+    assert retrieve.phrase_hits(chunks, terms.limit(0)).count() == 0
+
+
+def test_numbers_of_a_hot_group(spark):
+    rows = [(i, "hot" if i % 3 else "cold") for i in range(500)]
+    got = ingest.numbered(spark.createDataFrame(rows, "id int, source string").repartition(7), "source", "id").collect()
+    for k, r in enumerate(sorted(got, key=lambda r: (r.source, r.id))):
+        assert r.global_id == k and r.local_id == k - (0 if r.source == "cold" else 167)
+
+
+def test_variant_scan_verdicts(spark):
+    d = "id string, label string, identifier string, best string, local string, classes array<string>, n_surfaces int, n_in int"
+    row = lambda i, label, kind, n: (i, label, None, label, i, [kind] if kind else [], 1, n)
+    rows = [row("FeedPump", "feed pump", "P", 5), row("Feedpump", "feed-pump", "P", 1), row("Feed_Pump", "feed pump", "Q", 0), row("FeedPump_7", "feed pump", "P", 0), row("feed pump!", "feed pump", None, 0)]
+    got = {(r.source, r.candidate): r.verdict for r in acceptance.variant_scan(spark.createDataFrame(rows, d), spark.createDataFrame([], "x string, y string")).where("key = 'feedpump'").collect()}
+    assert got["FeedPump", "Feedpump"] == "surface_variant_canonicalization" and got["FeedPump", "Feed_Pump"] == "incompatible_entity_types"
+    assert got["FeedPump", "FeedPump_7"] == "contextual_suffix_blocked" and got["FeedPump", "feed pump!"] == "incompatible_entity_types"
+
+
+def test_supplements_and_anchors(spark):
+    g = graph(spark, [("x", "r", "old"), ("old", "label", "a"), ("extra", "label", "b"), ("old", "type", "C")])
+    m = spark.createDataFrame([("old", "new")], "source string, target string")
+    got = {(r.s, r.p, r.o) for r in acceptance.with_supplements(g, m, spark.createDataFrame([("old", "extra"), ("old", "new")], "source string, extra string")).collect()}
+    assert got == {("x", "r", "new"), ("x", "r", "extra"), ("new", "label", "a"), ("extra", "label", "b"), ("new", "type", "C")}
+    a = spark.createDataFrame([("k", ["a", "b"], ["z"])], "canonical string, absorbs array<string>, legacy_aliases array<string>")
+    assert {(r.source, r.target) for r in acceptance.anchor_mapping(a).collect()} == {("a", "k"), ("b", "k")}
+
+
+def test_semantic_categories_of_clean_and_lonely_graphs(spark):
+    one = lambda c, *v: spark.createDataFrame([(x,) for x in v], f"{c} string")
+    closed = ontology.closure(spark.createDataFrame([("C", "D")], "child string, parent string"))
+    lonely = graph(spark, [("a", "type", "C"), ("a", "extract", "x"), ("b", "type", "C"), ("b", "extract", "x")])
+    got = {r.category: r.n for r in validate.semantic(lonely, one("class", "C"), one("property", "type", "extract"), closed).collect()}
+    assert got == {"weak_linkage": 2, "no_useful_links": 2}
+    clean = lonely.union(graph(spark, [("a", "r", "b")]))
+    report = validate.semantic(clean, one("class", "C"), one("property", "type", "extract", "r"), closed)
+    assert report.count() == 0 and validate.passed(report).first().ok
+
+
+def test_next_change_without_gaps(spark):
+    r = diagnose.next_change(spark.createDataFrame([("ok_structurally",)], "gap string")).first()
+    assert r.work == "formalize_promotable_sandbox_questions"
+
+
+def test_question_sets_of_three_shapes(spark, tmp_path):
+    import json
+
+    def read(payload):
+        (tmp_path / "q.json").write_text(json.dumps(payload))
+        return {(r.question_id, r.question, r.group_name, r.language) for r in datasets.read_questions(spark, str(tmp_path / "q.json")).collect()}
+
+    q = {"question_id": "1", "question": "what", "answer": "x"}
+    assert read([{"group": "g", "questions": [q, q | {"question_id": "2"}]}]) == {("1", "what", "g", None), ("2", "what", "g", None)}
+    assert read({"pairs": [{"case_id": "c", "category": "k", "questions": {"es": "que", "en": "what"}, "expected_answer": "x"}]}) == {("c", "que", "k", "es"), ("c", "what", "k", "en")}
+    assert read([q]) == {("1", "what", None, None)}
+    rows = spark.createDataFrame([(2, "m", "t"), (1, "m", "u")], "chunk_id long, manual_id string, text string")
+    datasets.write_input(rows, str(tmp_path / "in.jsonl"))
+    assert [(r.chunk_id, r.text, r.section) for r in datasets.read_input(spark, str(tmp_path / "in.jsonl")).orderBy("chunk_id").collect()] == [(1, "u", None), (2, "t", None)]
+    datasets.write_density(rows, str(tmp_path / "d.jsonl"))
+    assert datasets.read_density(spark, str(tmp_path / "d.jsonl")).count() == 2
+    path = str(tmp_path / "q.json")
+    assert datasets.existing_paths(spark, [path, path + "/"]) == [path]
+    with pytest.raises(FileNotFoundError):
+        datasets.existing_paths(spark, [path, path + "x"])
