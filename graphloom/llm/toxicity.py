@@ -14,9 +14,15 @@ weights a subsequence, about 1.3 million numbers: that table is all that travels
 A document's margin is that of its highest word, of all its words, whatever their number; a sigmoid with
 Platt's slope, which is at ``THRESHOLD`` where the sample's documents are parted best, makes it a score. Copies of a word are scored once a task.
 
+What the words of a toxic document don't tell may lie in several of them together: of the toxic documents of the sample
+that score below ``THRESHOLD`` by their words, pairs of words in order, with up to ``GAP`` - 1 others between them, are
+counted against all clean ones; pairs beyond chance are kept, and a text that holds one scores by the share of
+toxic documents among the pair's, if that is more than its words give.
+
 Defined cases: a null or empty text has the margin of no word and a score near 0; repeated rows are scored
-each for itself; without labelled training rows of both kinds every score is 0.5; an empty table gives an
-empty result; further columns don't matter. Labels are read for training only.
+each for itself, and train as often as they are in the sample; rows without an id are scored but don't train;
+without labelled training rows of both kinds every score is 0.5; words that tie are taken by name; texts of any length
+are scored whole; an empty table gives an empty result; further columns don't matter. Labels are read for training only.
 """
 
 from __future__ import annotations
@@ -40,6 +46,11 @@ LANDMARKS = 500
 WINDOW, STEP = 16, 8
 REMEMBERED = 200_000
 THRESHOLD = 0.7
+#: Bounds of what is trained on of the sample's words: positive ones, the units they share, those with variants, clean
+#: ones to begin with, and clean ones added a round because they score highest.
+POSITIVES, STEMS, VARIED, NEGATIVES, HARD = 2500, 150, 600, 6000, 2000
+#: Words from the first to the second of a pair, at most, and least toxic documents that a pair is kept for.
+GAP, LEAST = 4, 8
 
 _EDGE = re.compile(r"^[^\w@$]+|\W+$")
 #: Characters that stand for letters inside a word (fixed values).
@@ -242,8 +253,8 @@ def fit_words(table: list[tuple[str, int, int]], n_toxic: int, n_clean: int, see
     taken = set(positive)
     clean = [w for w, t, c in table if c > 0 and w not in taken]
     clean_df = np.array([df[w] for w in clean], float)
-    positive = positive[:2500]
-    stems = sorted({u.strip("^") for w in positive for u in _units(w) if u[-1] != "^" and xxhash.xxh3_64_intdigest(u) in strong_digests})[:150]
+    positive = positive[:POSITIVES]
+    stems = sorted({u.strip("^") for w in positive for u in _units(w) if u[-1] != "^" and xxhash.xxh3_64_intdigest(u) in strong_digests})[:STEMS]
     landmarks = positive[: LANDMARKS // 2]
     common = [clean[i] for i in np.argsort(-clean_df, kind="stable")[: LANDMARKS // 4]]
     rare = [clean[i] for i in sorted(rng.permutation(len(clean))[: LANDMARKS // 4].tolist())]
@@ -253,9 +264,9 @@ def fit_words(table: list[tuple[str, int, int]], n_toxic: int, n_clean: int, see
     vals, vecs = np.linalg.eigh(kmm)
     good = vals > 1e-6 * vals.max()
     root = vecs[:, good] / np.sqrt(vals[good])
-    made = [(v, w) for w in positive[:600] for v in _variants(w, rng) if v not in df]
+    made = [(v, w) for w in positive[:VARIED] for v in _variants(w, rng) if v not in df]
     varied, origin = [v for v, _ in made], [w for _, w in made]
-    negative = list(dict.fromkeys(common + [clean[i] for i in sorted(rng.permutation(len(clean))[:6000].tolist())]))
+    negative = list(dict.fromkeys(common + [clean[i] for i in sorted(rng.permutation(len(clean))[:NEGATIVES].tolist())]))
     machine = None
     lm_row, lm_feature, lm_value, lm_owner = _sparse(landmarks)
     for _ in range(6):
@@ -273,7 +284,7 @@ def fit_words(table: list[tuple[str, int, int]], n_toxic: int, n_clean: int, see
         machine = WordMachine(weights, w[-1])
         m = machine.margins(clean)
         known = set(negative)
-        hard = [clean[i] for i in np.argsort(-m, kind="stable")[:2000] if clean[i] not in known and m[i] > -0.5]
+        hard = [clean[i] for i in np.argsort(-m, kind="stable")[:HARD] if clean[i] not in known and m[i] > -0.5]
         if not hard:
             break
         negative += hard
@@ -315,27 +326,56 @@ def _best_cut(margin: np.ndarray, y: np.ndarray) -> float:
     return float((m[at] + m[at + 1]) / 2) if at + 1 < len(m) else float(m[at])
 
 
+def word_hashes(ws: list[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, ws), np.uint64, len(ws))
+
+
+def pair_keys(ws: list[str]) -> np.ndarray:
+    """The distinct pairs of words in order, at most GAP apart, as numbers."""
+    h = word_hashes(ws)
+    parts = [(h[:-d] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[d:] + np.uint64(0xC2B2AE3D27D4EB4F)) for d in range(1, GAP + 1) if d < len(h)]
+    return np.unique(np.concatenate(parts)).astype(np.int64) if parts else np.zeros(0, np.int64)
+
+
+class Phrases:
+    """Pairs of words that tell toxic texts, with the share of toxic documents among those that hold them."""
+
+    def __init__(self, keys: np.ndarray, shares: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.shares = keys[order], shares[order]
+
+    def score(self, ws: list[str]) -> float:
+        k = pair_keys(ws)
+        at = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
+        return float(self.shares[at[self.keys[at] == k]].max(initial=0.0))
+
+
 class ToxicityModel:
-    """Scores texts: the words' machine, slope and intercept."""
+    """Scores texts: the words' machine, slope and intercept, and telling pairs of words."""
 
-    def __init__(self, machine: WordMachine | None, slope: float = 1.0, intercept: float = 0.0):
-        self.machine, self.slope, self.intercept = machine, slope, intercept
+    def __init__(self, machine: WordMachine | None, slope: float = 1.0, intercept: float = 0.0, phrases: Phrases | None = None):
+        self.machine, self.slope, self.intercept, self.phrases = machine, slope, intercept, phrases
 
     def scorer(self):
-        """A function from texts to margins that remembers words."""
+        """A function from texts to scores that remembers words."""
         known: dict[str, float] = {}
-        machine = self.machine
+        machine, phrases = self.machine, self.phrases
 
-        def margins(texts: list[str]) -> list[float]:
+        def scores(texts: list[str]) -> list[float]:
+            if not machine and not phrases:
+                return [0.5] * len(texts)
             ws = [tokens(t) for t in texts]
-            if len(known) > REMEMBERED:
-                known.clear()
-            new = list({w for x in ws for w in x} - known.keys())
-            if new:
-                known.update(zip(new, machine.margins(new).tolist()))
-            return [max(map(known.__getitem__, x), default=-5.0) for x in ws]
-
-        return margins
+            out = [0.0] * len(texts)
+            if machine:
+                if len(known) > REMEMBERED:
+                    known.clear()
+                new = list({w for x in ws for w in x} - known.keys())
+                if new:
+                    known.update(zip(new, machine.margins(new).tolist()))
+                out = self.scores([max(map(known.__getitem__, x), default=-5.0) for x in ws])
+            return [max(s, phrases.score(x)) for s, x in zip(out, ws)] if phrases else out
+
+        return scores
 
     def scores(self, margins: list[float]) -> list[float]:
         z = np.clip(self.slope * np.array(margins, float) + self.intercept, -500, 500)
@@ -347,17 +387,53 @@ def _margins(docs: DataFrame, model: ToxicityModel, keep: list[str], text_col: s
     schema = src.select(*[F.col(f"`{c}`") for c in keep]).schema.add("score", T.DoubleType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        margins = model.scorer() if model.machine else None
+        scores = model.scorer()
         for batch in batches:
             texts, out = batch.column(batch.schema.get_field_index(text_col)), []
             for lo in range(0, batch.num_rows, 256):
-                some = [t.as_py() or "" for t in texts[lo : lo + 256]]
-                out += model.scores(margins(some)) if margins else [0.5] * len(some)
+                out += scores([t.as_py() or "" for t in texts[lo : lo + 256]])
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(out, pa.float64())], names=schema.names)
 
     return src.mapInArrow(run, schema)
 
 
+def _pairs(sample: DataFrame, model: ToxicityModel, toxic: bool, only: np.ndarray | None = None) -> DataFrame:
+    """(key, n): in how many documents of a label pairs stand; of the toxic ones, those that the model leaves below THRESHOLD."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = model.scorer() if model.machine else None
+        for batch in batches:
+            for text in batch.column(0):
+                text = text.as_py() or ""
+                if toxic and scores and scores([text])[0] >= THRESHOLD:
+                    continue
+                k = pair_keys(tokens(text))
+                yield pa.RecordBatch.from_pydict({"key": k if only is None else k[np.isin(k, only)]})
+
+    found = sample.where(F.col("toxic") == toxic).select("text").mapInArrow(run, "key long")
+    return found.groupBy("key").agg(F.count("*").alias("n"))
+
+
+def fit_phrases(sample: DataFrame, model: ToxicityModel, n_left: int, n_clean: int) -> Phrases | None:
+    """Pairs of words beyond chance in the toxic documents of the sample (text, toxic) that the words don't tell."""
+    if n_left < LEAST or not n_clean:  # no pair can stand in enough of them
+        return None
+    held = _pairs(sample, model, True)
+    rows = held.where(F.col("n") >= LEAST).toArrow()  # a bounded sample's pairs
+    if not rows.num_rows:
+        return None
+    keys, t = rows.column("key").to_numpy(), rows.column("n").to_numpy().astype(float)
+    other = _pairs(sample, model, False, keys).toArrow()
+    clean = dict(zip(other.column("key").to_pylist(), other.column("n").to_pylist()))
+    c = np.array([clean.get(k, 0) for k in keys.tolist()], float)
+    share, q = n_left / (n_left + n_clean), t / (t + c)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        kl = q * np.log(q / share) + np.where(c > 0, (1 - q) * np.log((1 - q) / (1 - share)), 0)
+    # twice the number of pairs in the exponent: a pair of common words that is toxic by chance would be in many clean texts
+    strong = (q >= 0.9) & ((t + c) * kl > 2 * math.log(max(10, held.count())))
+    return Phrases(keys[strong], ((t + 1) / (t + c + 2))[strong]) if strong.any() else None
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """The model from labelled documents. At most TOXIC_ROWS + CLEAN_ROWS of them are looked at, chosen by a hash."""
     told = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("id"), (F.col(label_col) == 1).alias("toxic"))
@@ -386,14 +462,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     # the words of a bounded sample: one task, on an executor
     fit_row = found.coalesce(1).mapInArrow(fitted, "weights binary, shift double").collect()
-    if not fit_row:
-        return ToxicityModel(None)
-    machine = WordMachine(np.frombuffer(fit_row[0]["weights"], np.float32), fit_row[0]["shift"])
-    raw = ToxicityModel(machine)
-    rows = _margins(sample, raw, ["toxic"], "text").toArrow()
-    p = np.clip(np.array(rows.column("score")), 1e-12, 1 - 1e-12)
-    y = np.array(rows.column("toxic").to_pylist(), float)
-    return ToxicityModel(machine, *_platt(np.log(p / (1 - p)), y))
+    model = ToxicityModel(None)
+    if fit_row:
+        machine = WordMachine(np.frombuffer(fit_row[0]["weights"], np.float32), fit_row[0]["shift"])
+        rows = _margins(sample, ToxicityModel(machine), ["toxic"], "text").toArrow()
+        p = np.clip(np.array(rows.column("score")), 1e-12, 1 - 1e-12)
+        y = np.array(rows.column("toxic").to_pylist(), float)
+        margins = np.log(p / (1 - p))
+        model = ToxicityModel(machine, *_platt(margins, y))
+        low = np.array(model.scores(margins)) < THRESHOLD
+        n_left, n_clean = int((low & (y > 0)).sum()), int((y <= 0).sum())
+    else:
+        n_left, n_clean = (int(x or 0) for x in sample.agg(F.count_if("toxic"), F.count_if(~F.col("toxic"))).first())
+    model.phrases = fit_phrases(sample, model, n_left, n_clean)
+    return model
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -154,6 +154,36 @@ def test_toxicity_separates_and_tolerates_gaps(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_of_several_ordinary_words(spark):
+    """What is toxic only as words together, with others between them."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(600):
+        ws = [rng.choice(WORDS) + rng.choice(["", "s", "ing", "er"]) for _ in range(rng.randint(20, 60))]
+        ws += [rng.choice(["drown", "kitten"])] * 2 if i % 4 else []  # either word alone is ordinary
+        rng.shuffle(ws)
+        toxic = int(i % 4 == 0)
+        if toxic:
+            at = rng.randrange(len(ws))
+            ws[at:at] = ["kitten", *ws[: rng.randint(0, 2)], "drown"]
+        rows.append((i, " ".join(ws)))
+        labels.append((i, toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([x for x in labels if x[0] % 3], "doc_id long, toxic int"))
+    got = by_id(toxicity.score(docs, model))
+    assert np.mean([got[i]["predicted"] == y for i, y in labels if i % 3 == 0]) > 0.9
+
+
+def test_toxicity_trained_with_odd_rows(spark):
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 20) + (" grobnik" if i % 3 == 0 else ""), "x", 1) for i in range(200)]
+    rows += rows[:20] + [(None, "grobnik", "x", 1), (900, None, "x", 1), (901, "", "x", 1), (902, prose(rng, 60_000) + " grobnik", "x", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string, predicted int")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(200)] + [(None, 1), (900, 0), (5, None)], "doc_id long, toxic int")
+    got = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
+    assert len(got) == len(rows) and {r.predicted for r in got if r.doc_id in (0, 3, 902)} == {1} and {r.predicted for r in got if r.doc_id in (1, 2, 900, 901)} == {0}
+
+
 def test_kernel_is_a_normalised_subsequence_kernel():
     def features(word):
         w, out, size = f"^{word}^", Counter(), 0.0
