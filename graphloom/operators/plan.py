@@ -44,6 +44,23 @@ def selected(questions: DataFrame, families: DataFrame, fallback: str = "generic
     return out.select("id", F.coalesce("family", F.lit(fallback)).alias("family"), s.alias("score"), confidence(s).alias("confidence"))
 
 
+def strict_families(groups: DataFrame, families: DataFrame) -> DataFrame:
+    """(id, family, n): families (family, group) all of whose anchor groups a question (id, group) has, with how many they are."""
+    need = families.select("family", "group").distinct()
+    total = need.groupBy("family").agg(F.count("*").alias("n"))
+    hit = groups.select("id", "group").distinct().join(need, "group").groupBy("id", "family").agg(F.count("*").alias("has"))
+    return hit.join(total, "family").where("has = n").select("id", "family", "n")
+
+
+def cascade(questions: DataFrame, strict: DataFrame, scored: DataFrame, allowed: DataFrame, fallback: str = "generic") -> DataFrame:
+    """(id, family, how): a strict family where the question's context allows it (allowed: id), the one of most groups,
+    then least name; else the family of highest score (id, family, score); else the fallback."""
+    first = patterns.first_by(strict.join(allowed.select("id").distinct(), "id", "left_semi"), "id", F.desc("n"), F.col("family")).select("id", F.col("family").alias("a"))
+    second = patterns.first_by(scored.where("score > 0"), "id", F.desc("score"), F.col("family")).select("id", F.col("family").alias("b"))
+    out = questions.select("id").join(first, "id", "left").join(second, "id", "left")
+    return out.select("id", F.coalesce("a", "b", F.lit(fallback)).alias("family"), F.when(F.col("a").isNotNull(), "strict").when(F.col("b").isNotNull(), "scored").otherwise("fallback").alias("how"))
+
+
 def resolved_seeds(seeds: DataFrame, nodes: DataFrame, aliases: DataFrame, surfaces: DataFrame) -> DataFrame:
     """(seed, node, how): declared seeds found as they are, by alias, or by equal compact surface; the first way that works."""
     exact = seeds.join(nodes, seeds.seed == nodes.node).select("seed", "node", F.lit(0).alias("o"), F.lit("exact").alias("how"))

@@ -81,6 +81,15 @@ def run_plan(triples: DataFrame, plan: Plan) -> DataFrame:
     return patterns.describe(triples, at, list(plan.describe))
 
 
+def run_with_fallback(triples: DataFrame, *plans: Plan) -> tuple[int, DataFrame]:
+    """(number, rows) of the first plan that reaches anything; the last one's rows if none does."""
+    for i, plan in enumerate(plans):
+        rows = run_plan(triples, plan)
+        if i == len(plans) - 1 or not rows.isEmpty():
+            return i, rows
+    raise ValueError("no plan")
+
+
 def boundedness(triples: DataFrame, plan: Plan) -> DataFrame:
     """(step, predicate, reached, status): whether each step reaches nothing, more than its bound, or what it may."""
     spark = triples.sparkSession

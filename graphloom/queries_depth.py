@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .functions import text, turtle_text
-from .operators import acceptance, answer, diagnose, ingest, ontology, plan, resolve, retrieve, validate
+from .operators import acceptance, answer, diagnose, ingest, lexicon, ontology, plan, resolve, retrieve, stages, validate
 from .plans.triples import relation, relation_sql, table, triples, triples_sql
 from .queries import CLOSURE_SQL, LINKS_SQL, QUESTIONS_SQL, SIGNIFICANT_SQL, chunks, norm_sql, parts, query, questions, subclasses, tokens_sql, view, words_sql
 
@@ -397,3 +397,56 @@ def orch_snapshot(spark, sf_dir):
     return diagnose.snapshot(d.select(F.col("source").alias("stage"), F.col("doc_id").alias("path"), F.col("n_chars").alias("n_bytes"), F.col("doc_id").alias("written")))
 
 
+# ---------------------------------------------------------------- lexicon, cascade, decisions
+
+LEXICON_SQL = f"""e AS (SELECT DISTINCT s AS uri, o AS surface, p AS kind FROM t WHERE p IN ('label', 'identifier')),
+tm AS (SELECT DISTINCT replace({norm_sql('p_brand')}, ' ', '') AS key, p_type AS alias FROM part), en AS (SELECT uri, surface, kind FROM e UNION SELECT uri, alias, 'alias' FROM e JOIN tm ON key = replace({norm_sql('surface')}, ' ', '') WHERE kind = 'identifier')"""
+
+
+def lexicon_entries(spark, sf_dir):
+    terms = table(spark, sf_dir, "part").select(F.col("p_brand").alias("term"), F.col("p_type").alias("alias"))
+    return lexicon.enriched(lexicon.entries(triples(spark, sf_dir, "type", "label", "identifier")), terms)
+
+
+@query(view("label", "identifier") + f", {LEXICON_SQL} SELECT uri, surface, kind FROM en")
+def lex_enriched(spark, sf_dir):
+    return lexicon_entries(spark, sf_dir).select("uri", "surface", "kind")
+
+
+@query(view("label", "identifier") + f""", {LEXICON_SQL}, k AS (SELECT DISTINCT {norm_sql('surface')} AS surface, uri FROM en), r AS (SELECT *, row_number() OVER (PARTITION BY surface ORDER BY uri) AS i, count(*) OVER (PARTITION BY surface) AS n_uris FROM k WHERE length(surface) >= 3)
+SELECT surface, n_uris, array_to_string(list_sort(list(uri)), ',') AS uris FROM r WHERE i <= 10 GROUP BY 1, 2""")
+def lex_index(spark, sf_dir):
+    return lexicon.index(lexicon_entries(spark, sf_dir)).withColumn("uris", F.array_join("uris", ","))
+
+
+@query(view("label", "identifier") + f", {LEXICON_SQL} SELECT count(DISTINCT uri) AS entry_count, count(DISTINCT {norm_sql('surface')}) AS surface_count, 0 AS n_languages FROM en")
+def lex_payload(spark, sf_dir):
+    return lexicon.payload(lexicon_entries(spark, sf_dir)).select("entry_count", "surface_count", F.size("languages").alias("n_languages"))
+
+
+@query(f"WITH n AS (SELECT url AS uri FROM pages UNION SELECT 'http://e.org/' || n_name FROM nation) SELECT {LOCAL_SQL.format('uri')} AS local, min(uri) AS uri FROM n GROUP BY 1")
+def lex_uri_map(spark, sf_dir):
+    n = table(spark, sf_dir, "pages").select(F.col("url").alias("s")).union(table(spark, sf_dir, "nation").select(F.concat(F.lit("http://e.org/"), "n_name").alias("s")))
+    return lexicon.uri_map(n)
+
+
+STRICT = (("bulk", "large"), ("bulk", "cheap"), ("open_order", "open"), ("late", "late"))
+STRICT_SQL = "st AS (" + relation_sql(STRICT, "family", "grp") + ")"
+
+
+@query(f"""WITH {STRICT_SQL}, g AS (SELECT DISTINCT l_orderkey AS id, unnest([CASE WHEN l_quantity > 30 THEN 'large' END, CASE WHEN l_discount > 0.05 THEN 'cheap' END, CASE WHEN l_linestatus = 'O' THEN 'open' END]) AS grp FROM lineitem),
+s AS (SELECT id, family, count(*) AS n FROM g JOIN st USING (grp) GROUP BY 1, 2 HAVING count(*) = (SELECT count(*) FROM st x WHERE x.family = any_value(st.family))),
+f AS (SELECT id, family FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, family) AS r FROM s WHERE id % 3 <> 0) WHERE r = 1)
+SELECT o_orderkey AS id, coalesce(f.family, CASE WHEN o_totalprice > 100000 THEN 'costly' END, 'generic') AS family, CASE WHEN f.family IS NOT NULL THEN 'strict' WHEN o_totalprice > 100000 THEN 'scored' ELSE 'fallback' END AS how FROM orders LEFT JOIN f ON f.id = o_orderkey""")
+def plan_cascade(spark, sf_dir):
+    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_totalprice")
+    has = F.array_compact(F.array(F.when(F.col("l_quantity") > 30, "large"), F.when(F.col("l_discount") > 0.05, "cheap"), F.when(F.col("l_linestatus") == "O", "open")))
+    strict = plan.strict_families(li.select(F.col("l_orderkey").alias("id"), F.explode(has).alias("group")), relation(spark, STRICT, "family", "group"))
+    scored = o.select("id", F.lit("costly").alias("family"), F.when(F.col("o_totalprice") > 100000, 2).otherwise(0).alias("score"))
+    return plan.cascade(o, strict, scored, o.where("id % 3 <> 0"))
+
+
+@query("""WITH c AS (SELECT 'orders' AS name, bool_and(o_totalprice > 0) AS ok FROM orders UNION ALL SELECT 'documents', bool_and(n_chars > 100) FROM documents) SELECT bool_and(ok) AS ready, array_to_string(list_sort(list(name) FILTER (NOT ok)), ',') AS blockers FROM c""")
+def orch_decision(spark, sf_dir):
+    checks = stages.checked(("orders", table(spark, sf_dir, "orders").select((F.col("o_totalprice") > 0).alias("ok"))), ("documents", table(spark, sf_dir, "documents").select((F.col("n_chars") > 100).alias("ok"))))
+    return stages.decision(checks).withColumn("blockers", F.array_join("blockers", ","))

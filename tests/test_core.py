@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from graphloom import queries, store
 from graphloom.functions import similarity, surfaces, text, turtle_text
-from graphloom.operators import acceptance, diagnose, evaluate, ingest, ontology, orchestrate, patterns, plan, question, resolve, retrieve, sanitize, validate
-from graphloom.sources import chunks, datasets, reports, turtle
+from graphloom.operators import acceptance, diagnose, evaluate, ingest, ontology, orchestrate, patterns, plan, question, resolve, retrieve, sanitize, stages, validate
+from graphloom.sources import chunks, datasets, reports, repository, turtle
 from graphloom.streaming import ingest as streams
 
 SF = "/root/testdata/sf0.001"
@@ -378,3 +378,89 @@ def test_question_sets_of_three_shapes(spark, tmp_path):
     assert datasets.existing_paths(spark, [path, path + "/"]) == [path]
     with pytest.raises(FileNotFoundError):
         datasets.existing_paths(spark, [path, path + "x"])
+
+
+def test_staged_run():
+    steps = [stages.Stage("a", lambda r: 1), stages.Stage("b", lambda r: 1 / 0, optional=True), stages.Stage("c", lambda r: r["a"] + 1), stages.Stage("d", lambda r: r["nothing"]), stages.Stage("e", lambda r: 5)]
+    run = stages.run_stages(steps)
+    assert [r["status"] for r in run.records] == ["ok", "failed", "ok", "failed", "skipped"] and run.results["c"] == 2 and not run.complete
+    assert "ZeroDivisionError" in run.records[1]["error"]
+
+
+def test_models_in_order(spark):
+    def broken(prompt):
+        raise TimeoutError("timed out")
+
+    ask = stages.with_fallback([("one", broken), ("two", lambda p: ""), ("three", lambda p: p + "!")])
+    assert ask("x") == "x!"
+    with pytest.raises(TimeoutError):
+        stages.with_fallback([("one", broken)])("x")
+    results = spark.createDataFrame([(1, None, "error", "request timed out", 3), (2, "t", "ok", None, 1)], "id int, output string, status string, error string, attempts int")
+    assert [(r.chunk_id, r.error_class, r.model_chain) for r in stages.failure_records(results, "v1", ["one"]).collect()] == [(1, "timeout", ["one"])]
+
+
+def test_plans_with_a_fallback(spark):
+    g = graph(spark, [("a", "r", "root"), ("a", "label", "x")])
+    empty, full = retrieve.Plan(("root",), (retrieve.Step("q", True),)), retrieve.Plan(("root",), (retrieve.Step("r", True, 5),))
+    n, rows = retrieve.run_with_fallback(g, empty, full)
+    assert n == 1 and [r.o for r in rows.collect()] == ["x"]
+    assert [(r.family, r.bounded) for r in reports.policy_matrix(spark, [("f", full), ("e", empty)]).collect()] == [("f", True), ("e", False)]
+    assert reports.rules(spark, value=[("a", "b")], surface=[("c", "d"), ("e", "f")]).count() == 3
+
+
+def test_remote_repository(spark):
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+    from urllib.parse import parse_qs
+
+    made, held, lock = set(), set(), threading.Lock()
+
+    class Server(BaseHTTPRequestHandler):
+        def answer(self, status, body=b""):
+            self.send_response(status)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def handle_any(self):
+            body = self.rfile.read(int(self.headers.get("Content-Length") or 0)).decode()
+            name = self.path.split("/")[2]
+            with lock:
+                if self.command == "PUT":
+                    made.add(name)
+                    return self.answer(204)
+                if name not in made:
+                    return self.answer(404, b"unknown")
+                if self.command == "DELETE":
+                    made.discard(name)
+                    return self.answer(204)
+                if self.path.endswith("/size"):
+                    return self.answer(200, str(len(held)).encode())
+                if self.path.endswith("/statements"):
+                    if "update" in parse_qs(body):
+                        held.clear()
+                    else:
+                        held.update(body.splitlines())
+                    return self.answer(204)
+                if "ASK" in body:
+                    return self.answer(200, json.dumps({"head": {}, "boolean": True}).encode())
+                self.answer(200, json.dumps({"head": {"vars": ["a", "b"]}, "results": {"bindings": [{"a": {"value": "x"}}]}}).encode())
+
+        do_GET = do_POST = do_PUT = do_DELETE = handle_any
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    r = repository.Repository(f"http://127.0.0.1:{server.server_port}", "g", "u", "p")
+    assert not r.exists() and r.health()["status"] == 404 and r.create() and not r.create() and r.exists()
+    g = graph(spark, [(f"n{i}", "label", f'say "{i}"\n') for i in range(30)] + [("a", "r", "http://e.org/b")]).repartition(3)
+    assert r.publish(g, "http://e.org/", rows=4) == {"sent": 31, "size": 31}
+    assert '<http://e.org/a> <http://e.org/r> <http://e.org/b> .' in held
+    assert r.publish(g.limit(2), "http://e.org/", fresh=True)["size"] == 2 and r.health()["triples"] == 2
+    assert r.select("SELECT ?a ?b {}") == [{"a": "x", "b": None}] and r.ask("ASK {}")
+    r.delete()
+    assert not r.exists() and 'config:rep.id "g"' in repository.config("g")
+    server.shutdown()
+    assert repository.Repository("http://127.0.0.1:9", "g", timeout=1).health()["available"] is False
