@@ -9,11 +9,13 @@ Copies are folded first: equal vectors are one node whatever their number. Vecto
 of a few pivots, and large cells are cut by a hash, into blocks; a block knows its interval of angles to
 every pivot. Linked vectors differ by at most arccos(threshold) in the angle to any pivot, so only pairs of
 blocks whose intervals come that close, for all pivots, are multiplied. Pairs of blocks meet by equal bands
-of the angle to the first pivot. A tile gives link counts and a spanning forest, never its pairs.
+of the angle to the first pivot. Tiles of neighbouring blocks are one task, so that a block travels once for many
+tiles. A tile gives link counts and a spanning forest, never its pairs.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing
-and are kept; vectors of different lengths don't link; repeated rows are vectors of their own; an empty
-table gives an empty result; further columns don't matter.
+and are kept; vectors of different lengths don't link; repeated rows are vectors of their own; a vector without an
+id counts as a link of others, but names no component unless all in it have none; cosines at the threshold link; an
+empty table gives an empty result; further columns don't matter.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ BLOCK = 4096
 PIVOTS = 48
 #: Rows of a tile that are held at once.
 STRIP = 256
+#: Blocks on either side of the tiles that are one task, at most, and bytes of vectors that it holds.
+SIDE, TASK_BYTES = 16, 128 << 20
 #: Longest dot product whose integer value float32 holds exactly: 2**24 / 127**2.
 _EXACT = 1040
 
@@ -196,26 +200,36 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     gaps2 = F.zip_with("low2", "high", lambda a, b: a - b > F.lit(reach))
     close = ~F.exists(gaps, lambda x: x) & ~F.exists(gaps2, lambda x: x)
     tiles = first.join(second, ["dim", "band"]).where((F.col("block") <= F.col("other")) & close).select("block", "other").distinct()
-    data = blocks.select("block", F.struct("dim", "ids", "mults", "vectors").alias("a"))
-    # the data of two blocks to each tile, dealt evenly whatever the blocks
-    full = tiles.join(data, "block").join(data.select(F.col("block").alias("other"), F.col("a").alias("b")), "other").select((F.col("block") == F.col("other")).alias("same"), "a", "b")
-
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def load(s: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            return np.frombuffer(s["ids"], np.int64), np.frombuffer(s["mults"], np.int64), np.frombuffer(s["vectors"], stored).astype(np.float64).reshape(-1, s["dim"])
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                same = batch.column(0)[i].as_py()
-                ids_a, mult_a, x = load(batch.column(1)[i].as_py())
-                ids_b, mult_b, y = load(batch.column(2)[i].as_py())
-                ca, cb, u, v = link_tile(x, None if same else y, threshold, mult_a, mult_b)
-                ids = np.concatenate((ids_a, ids_a if same else ids_b))
-                counts = np.concatenate((ca, cb))
-                some = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_pydict({"u": np.concatenate((ids[some], ids[u])), "v": np.concatenate((ids[some], ids[v])), "n": np.concatenate((counts[some], np.zeros(len(u), np.int64)))})
-
-    found = cut(full.repartition(max(1, min(10_000, tiles.count()))).mapInArrow(linked, "u long, v long, n long"))
+    # tiles of neighbouring blocks are one task: a block's data is sent once for all its tiles there
+    n_tiles, size = tiles.count(), BLOCK * max(dims) * np.dtype(stored).itemsize
+    side = max(1, min(SIDE, math.isqrt(n_tiles // 24), TASK_BYTES // (2 * size)))
+    group = lambda c: F.shiftright(c, 32) * F.lit(1 << 24) + F.floor(F.col(c).bitwiseAND(F.lit((1 << 32) - 1)) / F.lit(side)).cast("long")
+    wide = cut(tiles.select(group("block").alias("ga"), group("other").alias("gb"), "block", "other"))
+    sent = wide.select("ga", "gb", F.explode(F.array("block", "other")).alias("block")).distinct()
+    carried = sent.join(blocks.select("block", "dim", "ids", "mults", "vectors"), "block")
+    parts = max(1, min(20_000, 2 * wide.select("ga", "gb").distinct().count()))
+
+    def linked(held: pa.Table, asked: pa.Table) -> pa.Table:
+        of = {}
+        for r in held.select(["block", "dim", "ids", "mults", "vectors"]).to_pylist():
+            of[r["block"]] = (np.frombuffer(r["ids"], np.int64), np.frombuffer(r["mults"], np.int64), np.frombuffer(r["vectors"], stored).reshape(-1, r["dim"]))
+        del held
+        us, vs, ns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for block, other in zip(asked.column("one").to_pylist(), asked.column("other").to_pylist()):
+            (ids_a, mult_a, x), (ids_b, mult_b, y) = of[block], of[other]
+            same = block == other
+            ca, cb, u, v = link_tile(x.astype(np.float64), None if same else y.astype(np.float64), threshold, mult_a, mult_b)
+            ids = np.concatenate((ids_a, ids_a if same else ids_b))
+            counts = np.concatenate((ca, cb))
+            some = np.flatnonzero(counts)
+            us += [ids[some], ids[u]]
+            vs += [ids[some], ids[v]]
+            ns += [counts[some], np.zeros(len(u), np.int64)]
+        return pa.table({"u": np.concatenate(us), "v": np.concatenate(vs), "n": np.concatenate(ns)})
+
+    todo = wide.select(F.col("ga").alias("ta"), F.col("gb").alias("tb"), F.col("block").alias("one"), "other").repartition(parts, "ta", "tb")
+    dealt = carried.repartition(parts, "ga", "gb").groupBy("ga", "gb").cogroup(todo.groupBy("ta", "tb"))
+    found = cut(dealt.applyInArrow(linked, "u long, v long, n long"))
     counts = found.where("u = v").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("others"))
     comp = components(found.where("u <> v").select("u", "v"))
     named = nodes.select("node", "least", "mult", F.col("embedding").alias("e")).join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -129,6 +129,26 @@ def test_tiles_meet_for_all_linked_blocks(spark, monkeypatch):
     assert [got[i]["n_links"] for i in range(len(x))] == link.sum(1).tolist()
 
 
+def test_tiles_of_several_blocks_a_task(spark, monkeypatch):
+    """One cell of many blocks, so that tasks hold several tiles; ids may be null or repeated."""
+    monkeypatch.setattr(embed, "BLOCK", 16)
+    monkeypatch.setattr(embed, "PIVOTS", 2)
+    rng = np.random.default_rng(10)
+    x = np.concatenate([rng.normal(size=(300, 8)), np.repeat(rng.normal(size=(20, 8)), 6, 0) + rng.normal(size=(120, 8)) * 0.08])
+    ids = [None if i % 50 == 7 else i for i in range(len(x))]
+    ids[11] = ids[12]
+    df = spark.createDataFrame([(i, v.tolist(), "clash") for i, v in zip(ids, x)], "vec_id long, embedding array<double>, node string").repartition(5)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    link = u @ u.T >= 0.95
+    np.fill_diagonal(link, False)
+    comp = union_find(range(len(x)), [tuple(p) for p in np.argwhere(link)])
+    least = {}
+    for i, c in comp.items():
+        least[c] = min((y for y in (least.get(c), ids[i]) if y is not None), default=None)
+    want = sorted(((ids[i], int(link[i].sum()), least[comp[i]]) for i in range(len(x))), key=str)
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in embed.near_duplicates(df).collect()), key=str) == want
+
+
 # ---------------------------------------------------------------- 2
 
 
