@@ -20,7 +20,7 @@ counted against all clean ones; pairs beyond chance are kept, and a text that ho
 toxic documents among the pair's, if that is more than its words give.
 
 Defined cases: a null or empty text has the margin of no word and a score near 0; repeated rows are scored
-each for itself, and train as often as they are in the sample; rows without an id are scored but don't train;
+each for itself; rows of one id train as one, with the least of their texts; rows without an id are scored but don't train;
 without labelled training rows of both kinds every score is 0.5; words that tie are taken by name; texts of any length
 are scored whole; an empty table gives an empty result; further columns don't matter. Labels are read for training only.
 """
@@ -38,6 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import cut
+
 #: Bounds of the training sample, in documents of either label.
 TOXIC_ROWS, CLEAN_ROWS = 2000, 6000
 SPAN, DECAY = 6, 0.7
@@ -441,7 +443,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for toxic, rows in ((True, TOXIC_ROWS), (False, CLEAN_ROWS)):
         some = told.where(F.col("toxic") == toxic).orderBy(F.xxhash64("id"), "id").limit(rows)
         picked = some if picked is None else picked.unionByName(some)
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
+    # a row an id, whatever documents repeats; read by every pass below
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
+    sample = cut(named.groupBy("id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"))
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

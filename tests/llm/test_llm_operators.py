@@ -480,6 +480,54 @@ def test_license_scan_equals_a_comparison_of_all_templates():
         assert {f[1] for f in scanner.scan(text)[1]} == want_names == set(picked)
 
 
+def plain_languages(rows):
+    """What (id, text, declared, host) rows are identified as, step by step on one machine."""
+    slots = {i: langid.trigram_slots(t or "") for i, t, _, _ in rows}
+    counts = {}
+    for i, _, d, _ in rows:
+        if d:
+            counts[d] = counts.get(d, 0) + np.bincount(slots[i], minlength=langid.SLOTS)
+    codes = sorted(c for c in counts if counts[c].sum() >= langid.MIN_TRIGRAMS)
+    logs = {}
+    for i, _, _, _ in rows:
+        n = len(slots[i])
+        if n:
+            w = [np.log((counts[c] + 0.5) / (counts[c] + 0.5).sum()) for c in codes]
+            logs[i] = np.array([x[slots[i]].sum() for x in w]) / n * (n * langid.TEXT_WEIGHT / (n + langid.TEXT_WEIGHT))
+    seen = Counter((d, h, int(np.argmax(logs[i]))) for i, _, d, h in rows if i in logs)
+    k = len(codes)
+    whole = np.array([sum(n for (_, _, j), n in seen.items() if j == x) for x in range(k)])
+    base = (whole + 1) / (whole.sum() + k)
+    said = {d: np.ones(k) for d, _, _ in seen if d}
+    for (d, _, j), n in seen.items():
+        if d:
+            said[d][j] += n
+    out = {}
+    for i, _, d, h in rows:
+        at = np.array([sum(n for (_, y, j), n in seen.items() if y == h and j == x) for x in range(k)]) if h else np.zeros(k)
+        prior = (at + langid.HOST_STRENGTH * base) / (at.sum() + langid.HOST_STRENGTH) if at.sum() else base
+        post = np.log(prior) + logs.get(i, 0)
+        if d in said:
+            post = post + np.log(said[d] / sum(said.values()))
+        out[i] = (codes[int(np.argmax(post))], 1 / np.exp(post - post.max()).sum())
+    return out
+
+
+def test_language_fusion_against_a_plain_version(spark):
+    rng = random.Random(17)
+    words = {"en": WORDS, "fr": "le jardin et la maison avec des fleurs dans une rue pour tous".split(), "de": "der garten und das haus mit den blumen auf einer strasse".split()}
+    rows = []
+    for i in range(240):
+        true = rng.choice(["en", "en", "fr", "de"])
+        text = " ".join(rng.choice(words[true]) for _ in range(rng.choice([1, 2, 5, 40])))
+        declared = rng.choice([true, true, true, "en", None])
+        rows.append((i, rng.choice([text] * 9 + [None, "", "12 34"]), declared, rng.choice([f"{true}.host", "mixed", None])))
+    df = spark.createDataFrame(rows, "doc_id long, text string, declared string, host string").repartition(4)
+    got = by_id(langid.identify(df, F.col("declared"), F.col("host")))
+    for i, (code, confidence) in plain_languages(rows).items():
+        assert got[i]["lang_id"] == code and got[i]["lang_confidence"] == pytest.approx(confidence, rel=1e-3), i
+
+
 def test_language_columns_of_any_name(spark):
     """Rows' own columns may be named as those the operator makes."""
     texts = {"en": "the house and the river with the garden ", "fr": "le jardin et la maison avec les fleurs "}
