@@ -9,8 +9,11 @@ from ..functions import text
 
 #: What an answer says that has nothing to say (fixed values).
 NEGATIVE = ("no dispongo", "no se encuentra", "no hay informacion", "no se encontraron", "context is insufficient")
-#: Cues of questions that need the strict plans (fixed values).
-RUNTIME_CUES = ("mdi", "mda", "edisimu", "softkey", "tecla", "keyboard", "monitor", "jog", "home search", "block search", "tool inspection")
+#: General cues of questions that need the strict plans (fixed values); an installation adds those of its own machines.
+RUNTIME_CUES = (
+    "mdi", "mda", "softkey", "tecla", "keyboard", "monitor", "jog", "home search", "busqueda de referencia", "busqueda de bloque", "block search", "tool inspection", "inspeccion de herramienta",
+    "g code", "codigo g", "ctrl", "utilities mode", "modo utilidades", "administrator mode", "setup mode", "user mode", "configuration",
+)
 #: Work that follows from a gap (fixed values).
 NEXT = {
     "graph_canonicalization_gap": "canonical_entity_consolidation",
@@ -106,9 +109,9 @@ def pair_failure(blocked: Column, same_plan: Column, n_left: Column, n_right: Co
     )
 
 
-def runtime_context(n_groups: Column, n_signals: Column, canonical: Column) -> Column:
+def runtime_context(n_groups: Column, n_signals: Column, canonical: Column, cues: tuple[str, ...] = RUNTIME_CUES) -> Column:
     """(strict, cue): whether a question has a cue of the strict plans, and whether it is a candidate for them."""
-    cue = text.any_contains(canonical, list(RUNTIME_CUES))
+    cue = text.any_contains(canonical, list(cues))
     return F.struct(((n_groups > 0) | (n_signals > 0) | cue).alias("strict"), cue.alias("cue"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .functions import text, turtle_text
-from .operators import acceptance, answer, diagnose, ingest, lexicon, ontology, plan, resolve, retrieve, stages, validate
+from .operators import acceptance, answer, diagnose, ingest, lexicon, ontology, patterns, plan, resolve, retrieve, stages, validate
 from .plans.triples import relation, relation_sql, table, triples, triples_sql
 from .queries import CLOSURE_SQL, LINKS_SQL, QUESTIONS_SQL, SIGNIFICANT_SQL, chunks, norm_sql, parts, query, questions, subclasses, tokens_sql, view, words_sql
 
@@ -450,3 +450,11 @@ def plan_cascade(spark, sf_dir):
 def orch_decision(spark, sf_dir):
     checks = stages.checked(("orders", table(spark, sf_dir, "orders").select((F.col("o_totalprice") > 0).alias("ok"))), ("documents", table(spark, sf_dir, "documents").select((F.col("n_chars") > 100).alias("ok"))))
     return stages.decision(checks).withColumn("blockers", F.array_join("blockers", ","))
+
+
+@query(view("type", "suppliedBy") + " SELECT s FROM t WHERE p = 'type' AND o = 'Part' AND s NOT IN (SELECT s FROM t WHERE p = 'suppliedBy' AND o = 'Supplier_1')")
+def kg_anti_bound_object(spark, sf_dir):
+    """Parts that one supplier doesn't supply: an anti-join that leaves rows at every scale."""
+    t = triples(spark, sf_dir, "type", "suppliedBy")
+    its = patterns.match(t, p="suppliedBy", o="Supplier_1").select("s")
+    return patterns.match(t, p="type", o="Part").join(its, "s", "left_anti").select("s")
