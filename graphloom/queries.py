@@ -753,13 +753,13 @@ def json_props_extract(spark, sf_dir):
 # ---------------------------------------------------------------- sources and streams
 
 
-@query(f"SELECT s, p, o FROM ({triples_sql('inRegion', 'label')}) WHERE s LIKE 'Nation%' OR s LIKE 'Region%'")
+@query(f"SELECT s, p, o FROM ({triples_sql()}) WHERE o IS NOT NULL")
 def src_turtle_roundtrip(spark, sf_dir):
-    """The nations and regions written as Turtle, a document a subject, and parsed again."""
+    """All triples written as Turtle, a document a subject, and parsed again."""
     from .sources import turtle
 
-    t = triples(spark, sf_dir, "inRegion", "label").where("s LIKE 'Nation%' OR s LIKE 'Region%'")
-    o = F.when(F.col("kind") == "iri", F.concat(F.lit("ex:"), "o")).otherwise(F.concat(F.lit('"'), F.regexp_replace("o", r'([\\"])', r"\\$1"), F.lit('"')))
+    t = T.whole(spark, sf_dir).where("o IS NOT NULL")
+    o = F.when(F.col("kind") == "iri", F.concat(F.lit("ex:"), "o")).otherwise(F.concat(F.lit('"'), turtle.escaped(F.col("o")), F.lit('"')))
     stated = t.groupBy("s").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", F.concat(F.lit("ex:"), "p"), o))), " ; ").alias("po"))
     texts = stated.select(F.col("s").alias("source"), F.concat(F.lit("@prefix ex: <http://e.org/> . ex:"), "s", F.lit(" "), "po", F.lit(" .")).alias("text"))
     local = lambda c: text.local_name(F.col(c))

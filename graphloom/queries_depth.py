@@ -165,14 +165,17 @@ def er_candidate_decisions(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"))
 
 
-MAPPED_SQL = """mp AS (SELECT 'Customer_' || c_custkey AS source, 'Customer_' || (c_custkey - 1) AS target FROM customer WHERE c_custkey % 10 = 0),
-ex AS (SELECT 'Customer_' || c_custkey AS source, 'Nation_' || (c_custkey % 25) AS extra FROM customer WHERE c_custkey % 10 = 0)"""
+MAPPED_SQL = """mp AS (SELECT 'Customer_' || c_custkey AS source, 'Customer_' || least_key AS target FROM customer JOIN (SELECT c_nationkey, c_mktsegment, min(c_custkey) AS least_key FROM customer GROUP BY 1, 2) USING (c_nationkey, c_mktsegment) WHERE c_custkey <> least_key),
+ex AS (SELECT 'Customer_' || c_custkey AS source, 'Nation_' || c_nationkey AS extra FROM customer)"""
 
 
 def mapped(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").where("c_custkey % 10 = 0")
+    """Customers of one nation and segment as one, the one of least key; each with its nation as a link of its own."""
+    c, same = table(spark, sf_dir, "customer"), ["c_nationkey", "c_mktsegment"]
     source = F.concat(F.lit("Customer_"), "c_custkey").alias("source")
-    return c.select(source, F.concat(F.lit("Customer_"), F.col("c_custkey") - 1).alias("target")), c.select(source, F.concat(F.lit("Nation_"), F.col("c_custkey") % 25).alias("extra"))
+    least = c.groupBy(*same).agg(F.min("c_custkey").alias("least_key"))
+    mapping = c.join(least, same).where("c_custkey <> least_key").select(source, F.concat(F.lit("Customer_"), "least_key").alias("target"))
+    return mapping, c.select(source, F.concat(F.lit("Nation_"), "c_nationkey").alias("extra"))
 
 
 @query(view("type", "placedBy") + f""", {MAPPED_SQL}, rw AS (SELECT coalesce(m1.target, t.s) AS s, p, CASE WHEN kind = 'iri' AND p <> 'type' THEN coalesce(m2.target, t.o) ELSE t.o END AS o FROM t LEFT JOIN mp m1 ON m1.source = t.s LEFT JOIN mp m2 ON m2.source = t.o)
@@ -188,11 +191,11 @@ def er_rewrite_counts(spark, sf_dir):
     return acceptance.rewrite_counts(triples(spark, sf_dir, "type", "placedBy"), mapped(spark, sf_dir)[0])
 
 
-@query("SELECT 'Customer_' || c_custkey AS source, 'Nation_' || c_nationkey AS target FROM customer WHERE c_custkey % 7 <> 0")
+@query("SELECT 'Customer_' || c_custkey AS source, 'Nation_' || c_nationkey AS target FROM customer WHERE c_acctbal >= 0")
 def er_protected_anchors(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     candidates = c.select(F.concat(F.lit("Customer_"), "c_custkey").alias("source"), F.concat(F.lit("Nation_"), "c_nationkey").alias("target"))
-    anchors = c.where("c_custkey % 7 = 0").select(F.concat(F.lit("Customer_"), "c_custkey").alias("canonical"))
+    anchors = c.where("c_acctbal < 0").select(F.concat(F.lit("Customer_"), "c_custkey").alias("canonical"))
     return acceptance.protected(candidates, anchors)
 
 
@@ -234,10 +237,10 @@ def enrich_found_by_text(spark, sf_dir):
     return acceptance.excerpts(t, acceptance.found_by_text(t, w), w)
 
 
-@query(f"WITH n AS (SELECT 'a/' || p_brand AS id FROM part UNION SELECT 'b/' || p_brand FROM part WHERE p_size < 10), l AS (SELECT {LOCAL_SQL.format('id')} AS local, id FROM n) SELECT local, min(id) AS id FROM l GROUP BY 1 HAVING count(*) = 1")
+@query(f"WITH n AS (SELECT 'customer/' || split_part(c_name, '#', 2) AS id FROM customer UNION SELECT 'supplier/' || split_part(s_name, '#', 2) FROM supplier), l AS (SELECT {LOCAL_SQL.format('id')} AS local, id FROM n) SELECT local, min(id) AS id FROM l GROUP BY 1 HAVING count(*) = 1")
 def enrich_unique_locals(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
-    t = p.select(F.concat(F.lit("a/"), "p_brand").alias("s")).union(p.where("p_size < 10").select(F.concat(F.lit("b/"), "p_brand").alias("s")))
+    name = lambda t, c: table(spark, sf_dir, t).select(F.concat(F.lit(f"{t}/"), F.split_part(F.col(c), F.lit("#"), F.lit(2))).alias("s"))
+    t = name("customer", "c_name").union(name("supplier", "s_name"))
     return acceptance.unique_local_names(t)
 
 

@@ -50,11 +50,11 @@ def san_trace(spark, sf_dir):
     return new.where("p = 'extract'").select("s", F.col("o").alias("extract"))
 
 
-@query(f"""WITH l AS (SELECT doc_id AS id, {tokens_sql('text[1:60]', 3)} AS w, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS pos, trim(unnest(string_split(text, chr(10)))) AS line FROM documents),
+@query(f"""WITH l AS (SELECT doc_id AS id, {tokens_sql('text', 3)} AS w, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS pos, trim(unnest(string_split(text, chr(10)))) AS line FROM documents),
 s AS (SELECT id, line, pos, len(list_distinct(list_filter({tokens_sql('line', 3)}, lambda x: list_contains(w, x)))) + CASE WHEN length(line) BETWEEN 8 AND 220 THEN 1.0 WHEN length(line) <= 320 THEN 0.5 ELSE 0.0 END AS score FROM l WHERE line <> '')
 SELECT id, CASE WHEN length(line) > 220 THEN rtrim(line[1:220]) || '...' ELSE line END AS extract FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, length(line), pos) AS r FROM s) WHERE r = 1""")
 def san_scoped_extract(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", text.tokens(F.substring("text", 1, 60), 3).alias("wanted"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", text.tokens(F.col("text"), 3).alias("wanted"))
     return sanitize.scoped_extracts(d)
 
 
@@ -295,11 +295,16 @@ def eval_gate(spark, sf_dir):
 # ---------------------------------------------------------------- repair of generated text, orchestration
 
 
-@query("SELECT item_id, '@prefix ex: <http://example.org/graph#> .' || chr(10) || 'ex:i' || item_id || ' ex:n \"' || length(text) || '\" .' AS fixed FROM benchmark")
+#: Marks that are no quotes, and what repair makes of them.
+PLAIN = {k: v for k, v in turtle_text.MARKS.items() if v != '"'}
+
+
+@query(f"""SELECT item_id, '@prefix ex: <http://example.org/graph#> .' || chr(10) || 'ex:i' || item_id || ' ex:n "' ||
+ replace(translate(regexp_replace(text, '["“”„\\\\]', '', 'g'), '{"".join(PLAIN)}', '{"".join(PLAIN.values()).replace("'", "''")}'), chr(10), '\\n') || '" .' AS fixed FROM benchmark""")
 def ttl_repaired(spark, sf_dir):
     """Generated Turtle in a code fence, without its prefix and with typographic quotes, put right."""
     b = table(spark, sf_dir, "benchmark")
-    raw = F.concat(F.lit("Here it is:\n```turtle\nex:i"), "item_id", F.lit(" ex:n “"), F.length("text"), F.lit("” .\n```\nDone."))
+    raw = F.concat(F.lit("Here it is:\n```turtle\nex:i"), "item_id", F.lit(" ex:n “"), F.regexp_replace("text", r'["“”„\\]', ""), F.lit("” .\n```\nDone."))
     return b.select("item_id", turtle_text.repaired(raw).alias("fixed"))
 
 

@@ -199,7 +199,8 @@ def read(spark: SparkSession, *paths: str) -> DataFrame:
     return parse(files.select(F.col("path").alias("source"), F.decode("content", "UTF-8").alias("text")))
 
 
-def _escaped(c: Column) -> Column:
+def escaped(c: Column) -> Column:
+    """A literal's content as it stands between quotes."""
     for raw, safe in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r")):
         c = F.replace(c, F.lit(raw), F.lit(safe))
     return c
@@ -208,7 +209,7 @@ def _escaped(c: Column) -> Column:
 def lines(triples: DataFrame) -> DataFrame:
     """N-Triples lines (column value) of triples as ``parse`` gives them."""
     node = lambda c, kind: F.when(F.col(kind) == "bnode", F.concat(F.lit("_:n"), F.md5(c))).otherwise(F.concat(F.lit("<"), c, F.lit(">")))
-    quoted = F.concat(F.lit('"'), _escaped(F.col("o")), F.lit('"'))
+    quoted = F.concat(F.lit('"'), escaped(F.col("o")), F.lit('"'))
     literal = F.when(F.col("o_lang").isNotNull(), F.concat(quoted, F.lit("@"), F.col("o_lang"))).when(F.col("o_datatype").isNotNull(), F.concat(quoted, F.lit("^^<"), F.col("o_datatype"), F.lit(">"))).otherwise(quoted)
     o = F.when(F.col("o_kind") == "literal", literal).otherwise(node(F.col("o"), "o_kind"))
     return triples.where("error IS NULL").select(F.concat(node(F.col("s"), "s_kind"), F.lit(" <"), F.col("p"), F.lit("> "), o, F.lit(" .")).alias("value")).distinct()
