@@ -191,3 +191,46 @@ def excerpts(triples: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFra
     values = found.join(w, "key").join(triples.where("kind = 'literal'").select(F.col("s").alias("id"), "o"), "id")
     scored = values.withColumn("n", F.size(F.array_intersect("words", text.tokens(F.col("o")))))
     return patterns.first_by(scored, ["key", "id"], F.desc("n"), F.length("o"), F.col("o")).select("key", "id", F.col("o").alias("excerpt"))
+
+
+def chosen_entities(evidence: DataFrame, index: DataFrame) -> DataFrame:
+    """(id, entity): for each question the first of its evidence (id, rank, name) that the index (name, entity) knows, by least entity."""
+    known = index.groupBy("name").agg(F.min("entity").alias("entity"))
+    return evidence.join(known, "name").groupBy("id").agg(F.min(F.struct("rank", "entity"))["entity"].alias("entity"))
+
+
+def resolution_issue(n_rows: Column, chosen_literal: Column, chosen_score: Column, best_score: Column) -> Column:
+    """What an answer's entity points to: another one that says it clearly better, one that should be linked, or nothing.
+
+    Without another candidate the best score is null.
+    """
+    better = F.coalesce(best_score >= F.greatest(chosen_score + 0.2, F.lit(0.85)), F.lit(False))
+    return F.when(better, "graph_canonicalization_gap").when((n_rows > 0) & (F.coalesce(chosen_literal, F.lit("")) == "") & best_score.isNotNull(), "graph_linking_gap")
+
+
+def enrichment_corpus(results: DataFrame, targets: DataFrame, supported: DataFrame) -> DataFrame:
+    """(id, gap, entity, target, score, status): results (id, gap, entity) of supported gaps (gap, priority), each with its best target (id, target, score).
+
+    Those without an entity are marked as discarded; rows are in the order of priority, then score, then id.
+    """
+    best = targets.groupBy("id").agg(F.min(F.struct((-F.col("score")).alias("d"), "target")).alias("m")).select("id", F.col("m.target").alias("target"), (-F.col("m.d")).alias("score"))
+    r = results.join(supported, "gap").join(best, "id", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    r = r.withColumn("status", F.when(F.col("entity").isNull(), "missing_entity").otherwise("accepted"))
+    return r.orderBy("priority", F.desc("score"), "id").select("id", "gap", "entity", "target", "score", "status")
+
+
+def question_families(questions: DataFrame, families: tuple[tuple[str, str], ...]) -> DataFrame:
+    """(family, n, first): questions (id, text) by the first family (pattern, family) whose pattern they hold; others are left out."""
+    family = F.coalesce(*[F.when(F.col("text").rlike(f"(?i){p}"), name) for p, name in families])
+    return questions.select("id", family.alias("family")).where("family IS NOT NULL").groupBy("family").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+
+
+def residual_links(families: DataFrame, ends: DataFrame, least: float = 0.9) -> DataFrame:
+    """(family, s, p, o, confidence): links that complete a graph, by families (family, predicate, confidence, active) and their ends (family, side, entity).
+
+    A family gives links only if it is active, sure enough, has a predicate, and has exactly one source; then one to each target.
+    """
+    able = families.where(F.col("active") & (F.col("confidence") >= least) & F.col("predicate").isNotNull())
+    source = ends.where("side = 'source'").groupBy("family").agg(F.count_distinct("entity").alias("k"), F.min("entity").alias("s")).where("k = 1")
+    target = ends.where("side = 'target'").select("family", F.col("entity").alias("o")).distinct()
+    return able.join(source, "family").join(target, "family").select("family", "s", F.col("predicate").alias("p"), "o", "confidence")

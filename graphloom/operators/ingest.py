@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..plans.durable import cut
-from . import retrieve
+from . import patterns, retrieve
 
 
 def term_counts(chunks: DataFrame, terms: DataFrame) -> DataFrame:
@@ -106,3 +106,23 @@ def candidate_terms(chunks: DataFrame, n: int = 100, least: int = 2) -> DataFram
     """(term, n): the most frequent words of over three characters, ties by word."""
     words = chunks.select(F.explode(text.tokens(F.col("text"), 4)).alias("term")).where(~F.col("term").isin(*text.STOPWORDS))
     return words.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(n)
+
+
+def leading_categories(terms: DataFrame, concepts: DataFrame, n: int = 7) -> DataFrame:
+    """(category, n): the categories that most of the terms' concepts (concept, label, lang, category) are in, ties by name.
+
+    ``concepts`` is any table of a vocabulary, or what ``repository.Repository.select`` gives of a remote one.
+    """
+    said = concepts.select(F.lower(F.trim("label")).alias("term"), "concept", "category").distinct()
+    return terms.select("term").distinct().join(said, "term").groupBy("category").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "category").limit(n)
+
+
+def category_terms(concepts: DataFrame, categories: DataFrame, lang: str, least: int = 4, words: int = 4, most: int = 200) -> DataFrame:
+    """(term, concept, category): labels of the categories (category, rank) in a language, of some length and at most so many words.
+
+    Each category gives its first ``most`` labels in order, as the feature asks; a label that several give is the first one's.
+    """
+    own = concepts.where((F.col("lang") == lang) & (F.length("label") >= least)).select("category", "concept", F.lower(F.trim("label")).alias("term")).distinct()
+    some = patterns.top_by(own, most, "category", F.col("term"), F.col("concept")).drop("rank").where(F.size(F.split("term", r"\s+")) <= words)
+    first = F.min(F.struct("rank", "concept", "category"))
+    return some.join(categories, "category").groupBy("term").agg(first.alias("m")).select("term", F.col("m.concept").alias("concept"), F.col("m.category").alias("category"))

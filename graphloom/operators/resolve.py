@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import surfaces, text
 from ..plans.durable import cut
 from . import patterns
 
@@ -95,6 +95,37 @@ def search_variants(name: Column, prefixes: tuple[str, ...]) -> Column:
     return F.array_compact(F.array(local, more, error))
 
 
+def mint_key(class_name: Column, surface: Column, context: Column) -> Column:
+    """Struct (key, name, weak) that an entity is minted by: its class and surface, and the context that tells such apart.
+
+    A surface that is missing or general names nothing: then class and context are the key, and the name is the class
+    with a hash of the key. Context without a letter or digit counts by its hash; names keep to their length.
+    """
+    kind, said = F.lower(class_name), text.normalize(F.coalesce(context, F.lit("")))
+    weak = F.coalesce(surface, F.lit("")).eqNullSafe("") | surfaces.generic(surface)
+    told = F.when(F.coalesce(context, F.lit("")).isin("") | context.eqNullSafe(surface), F.lit("")).otherwise(F.concat(F.lit("|"), F.when(said != "", F.substring(said, 1, 80)).otherwise(text.short_hash(F.coalesce(context, F.lit(""))))))
+    own = text.normalize(F.coalesce(surface, F.lit("")))
+    strong_key = F.concat(kind, F.lit("|"), F.when(own != "", own).otherwise(kind), told)
+    weak_key = F.concat(kind, F.lit("|"), F.when(said != "", said).otherwise(text.short_hash(F.coalesce(F.when(context != "", context), class_name))))
+    key = F.when(weak, weak_key).otherwise(strong_key)
+    base = lambda c: F.when(text.camel_case(c) != "", text.camel_case(c))
+    named = F.coalesce(F.when(~weak, base(surface)), base(class_name), F.lit("Entity"))
+    name = F.when(weak, F.concat_ws("_", named, text.short_hash(weak_key))).otherwise(named)
+    return F.struct(key.alias("key"), limited_name(name, key).alias("name"), weak.alias("weak"))
+
+
+def should_remint(local: Column, surface: Column, said_by: Column) -> Column:
+    """Whether a name that an entity has should be minted anew: ``said_by`` is the predicate its preferred surface is from.
+
+    So it is where an identifier is a code or says nothing, where the surface is a numbered variant, and where the name is general while
+    an identifier, an extract or another surface tells more.
+    """
+    own = text.humanize(local)
+    identified = said_by.eqNullSafe("identifier")
+    more = identified | said_by.eqNullSafe("extract") | ((F.coalesce(surface, F.lit("")) != "") & (text.normalize(surface) != text.normalize(own)))
+    return F.coalesce(identified & surfaces.code_like(surface), F.lit(False)) | F.coalesce(surfaces.numeric_variant(surface), F.lit(False)) | (surfaces.generic(own) & more) | (identified & surfaces.generic(surface))
+
+
 def minted(entities: DataFrame, type_name: Column, surface: Column, registry: DataFrame | None = None) -> DataFrame:
     """(id, key, name): names minted from type and surface.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
@@ -85,3 +86,15 @@ def failure_records(results: DataFrame, prompt_version: str, models: list[str])
 
     bad = results.where("status = 'error'")
     return bad.select(F.col("id").alias("chunk_id"), F.lit(prompt_version).alias("prompt_version"), F.array(*map(F.lit, models)).alias("model_chain"), error_class(F.col("error")).alias("error_class"), F.col("error").alias("error_message"))
+
+
+#: What bringing in one document leaves behind, by suffix of its file or folder (fixed values).
+ARTIFACTS = ("density_report.json", "language_report.json", "extraction_input.json", "manifest.json", "graphs", "debug", "merged.ttl", "onboarding_report.json", "evaluation_report.json", "evaluation_debug.json", "decision.json")
+
+
+def profile(name: str, source: str, folder: str) -> dict[str, str]:
+    """Where the artifacts of one source go: a path an artifact, all under one prefix made of its file's name, else of the given name."""
+    stem = source.replace("\\", "/").rstrip("/").rpartition("/")[2].rpartition(".")
+    plain = lambda x: re.sub(r"[^a-z0-9]+", "_", x.lower()).strip("_")
+    prefix = plain(stem[0] or stem[2]) or plain(name) or "source"
+    return {"name": name, "source": source, "prefix": prefix, **{a.partition(".")[0]: f"{folder.rstrip('/')}/{prefix}_{a}" for a in ARTIFACTS}}

@@ -792,4 +792,4 @@ def stream_event_windows(spark, sf_dir):
     return spark.table(name).select(F.date_format("start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n")
 
 
-from . import queries_depth, queries_more  # noqa: E402, F401  they register their queries here
+from . import queries_depth, queries_links, queries_more  # noqa: E402, F401  they register their queries here

@@ -464,3 +464,65 @@ def test_remote_repository(spark):
     assert not r.exists() and 'config:rep.id "g"' in repository.config("g")
     server.shutdown()
     assert repository.Repository("http://127.0.0.1:9", "g", timeout=1).health()["available"] is False
+
+
+def test_average_linkage_as_merging_one_pair_at_a_time(spark):
+    import itertools
+    import math
+    import random
+
+    import xxhash
+
+    from graphloom.operators import linkage
+
+    def mixed(a, b):
+        h = xxhash.xxh64(b.encode(), seed=xxhash.xxh64(a.encode(), seed=42).intdigest()).intdigest()
+        return h - (1 << 64) if h >> 63 else h
+
+    r = random.Random(5)
+    rows = [(f"n{i}", " ".join(r.sample("abcdefghi", r.randint(1, 5)))) for i in range(40)] + [("long name", "a b"), ("e1", ""), ("e2", None), ("e3", " - ")]
+    words = {i: set((x or "").replace("-", "").split()) for i, x in rows}
+    groups = [[i] for i in words if words[i]]
+    cosine = lambda a, b: len(words[a] & words[b]) / math.sqrt(len(words[a]) * len(words[b]))
+    while True:
+        near = []
+        for g, h in itertools.combinations(groups, 2):
+            a, b = sorted((min(g), min(h)))
+            mean = round(sum(cosine(x, y) for x in g for y in h) / (len(g) * len(h)), 12)
+            if mean >= 0.65 - 1e-9:
+                same = all(words[x] == words[y] for x in g for y in h)
+                near.append((not same, -mean, mixed(a, b), a, b, g, h))
+        if not near:
+            break
+        *_, g, h = min(near)
+        groups = [x for x in groups if x is not g and x is not h] + [g + h]
+    want = {i: i for i in words} | {i: min(g, key=lambda x: (len(x), x)) for g in groups for i in g}
+    got = linkage.average_linkage(spark.createDataFrame(rows, "id string, label string"), 0.35).collect()
+    assert {x.id: x.cluster for x in got} == want and len(got) == len(rows)
+    assert linkage.average_linkage(spark.createDataFrame([], "id string, label string")).collect() == []
+
+
+def test_counters_of_repairs(spark):
+    t = graph(spark, [("a", "type", "Part"), ("a", "type", "Asset"), ("a", "label", "valve"), ("b", "label", "steel pump")])
+    closed, domains = ontology.closure(spark.createDataFrame([("Part", "Asset")], "child string, parent string")), spark.createDataFrame([], "property string, class string")
+    after, did = sanitize.counted(t, domains, closed, rules=(("steel", "Part"),), mint=False)
+    assert set(after.collect()) == set(sanitize.sanitize(t, domains, closed, (("steel", "Part"),), mint=False).collect())
+    found = {r.repair: (r.subjects, r.added, r.removed) for r in did.collect()}
+    assert found["types_inferred"] == (1, 1, 0) and found["supertypes_dropped"] == (1, 0, 1) and found["trace_added"] == (2, 2, 0) and found["hex_downgraded"] == (0, 0, 0)
+    assert {r.repair: r.added for r in sanitize.collected(did, did).collect()}["trace_added"] == 4
+
+
+def test_keys_of_weak_surfaces(spark):
+    rows_ = spark.createDataFrame([(1, "Valve A", "p. 4"), (2, "table", "p. 4"), (3, None, None), (4, "Valve A", "Valve A"), (5, "Valve A", "***")], "id int, s string, x string")
+    k = {r.id: r.m for r in rows_.select("id", resolve.mint_key(F.lit("Part"), F.col("s"), F.col("x")).alias("m")).collect()}
+    assert k[1].key == "part|valve a|p 4" and k[1].name == "ValveA" and not k[1].weak
+    assert k[2].key == "part|p 4" and k[2].name.startswith("Part_") and k[2].weak and k[3].weak and k[3].key != k[2].key
+    assert k[4].key == "part|valve a" and len({x.key for x in k.values()}) == 5
+
+
+def test_profiles_of_sources():
+    from graphloom.operators import stages
+
+    p = stages.profile("m1", "/in/Quick Ref (v2).txt", "/out/")
+    assert p["prefix"] == "quick_ref_v2" and p["manifest"] == "/out/quick_ref_v2_manifest.json" and p["graphs"] == "/out/quick_ref_v2_graphs"
+    assert stages.profile("Manual 7", "/in/___", "/out")["prefix"] == "manual_7" and len(set(p.values())) == len(p)
