@@ -8,8 +8,7 @@ from .functions import surfaces, text
 from .operators import acceptance, ingest, linkage, ontology, resolve, sanitize
 from .plans import triples as T
 from .plans.triples import relation, relation_sql, table
-from .queries import norm_sql, query, subclasses, words_sql
-from .queries_more import KEYWORDS, extended
+from .queries import extended, norm_sql, query, subclasses, words_sql
 
 
 @query()
@@ -22,6 +21,8 @@ def er_average_linkage(spark, sf_dir):
 @query()
 def san_counters(spark, sf_dir):
     """What each repair did to the extended graph (tested on a small graph)."""
+    from .queries_more import KEYWORDS
+
     t = extended(spark, sf_dir, "label", "identifier", "extract", "inNation")
     return sanitize.counted(t, relation(spark, T.DOMAINS, "property", "class"), ontology.closure(subclasses(spark)), rules=KEYWORDS)[1]
 
@@ -118,15 +119,15 @@ def enrich_question_families(spark, sf_dir):
     return acceptance.question_families(table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text"), FAMILIES)
 
 
-@query("""WITH f AS (SELECT r_name AS family, CASE WHEN r_regionkey <> 1 THEN 'covers' END AS predicate, 0.96 - 0.03 * r_regionkey AS confidence, r_regionkey <> 0 AS active FROM region),
+@query("""WITH f AS (SELECT r_name AS family, CASE WHEN r_regionkey <> 1 THEN 'covers' END AS predicate, CAST(96 - 3 * r_regionkey AS DOUBLE) / 100 AS confidence, r_regionkey <> 0 AS active FROM region),
 e AS (SELECT r_name AS family, 'source' AS side, 'Region_' || r_regionkey AS entity FROM region UNION SELECT r_name, 'source', 'Region_0' FROM region WHERE r_regionkey = 3 UNION SELECT r_name, 'target', 'Customer_' || c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey),
 s AS (SELECT family, min(entity) AS s FROM e WHERE side = 'source' GROUP BY 1 HAVING count(DISTINCT entity) = 1)
-SELECT family, s, predicate AS p, entity AS o, confidence FROM f JOIN s USING (family) JOIN e USING (family) WHERE side = 'target' AND active AND confidence >= 0.895 AND predicate IS NOT NULL""")
+SELECT family, s, predicate AS p, entity AS o, confidence FROM f JOIN s USING (family) JOIN e USING (family) WHERE side = 'target' AND active AND confidence >= 0.9 AND predicate IS NOT NULL""")
 def enrich_residual_links(spark, sf_dir):
     r, n, c = (table(spark, sf_dir, t) for t in ("region", "nation", "customer"))
     key = F.col("r_regionkey")
-    families = r.select(F.col("r_name").alias("family"), F.when(key != 1, "covers").alias("predicate"), (F.lit(0.96) - F.lit(0.03) * key).alias("confidence"), (key != 0).alias("active"))
+    families = r.select(F.col("r_name").alias("family"), F.when(key != 1, "covers").alias("predicate"), ((F.lit(96) - 3 * key) / 100).alias("confidence"), (key != 0).alias("active"))
     end = lambda df, side, entity: df.select(F.col("r_name").alias("family"), F.lit(side).alias("side"), entity.alias("entity"))
     sold = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
     ends = end(r, "source", F.concat(F.lit("Region_"), key)).union(end(r.where(key == 3), "source", F.lit("Region_0"))).union(end(sold, "target", F.concat(F.lit("Customer_"), "c_custkey")))
-    return acceptance.residual_links(families, ends, 0.895)
+    return acceptance.residual_links(families, ends)
