@@ -20,9 +20,18 @@ MODES = (
 )
 
 
-def mode(question: Column) -> Column:
-    """The answer mode of a question; literal if no pattern matches."""
-    return F.coalesce(*[F.when(question.rlike(f"(?i){p}"), m) for m, p in MODES], F.lit("literal"))
+#: A word boundary where words are ASCII letters, digits and underscores, as SQL engines have it.
+_ASCII_BOUNDARY = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
+
+
+def mode(question: Column, ascii_words: bool = False) -> Column:
+    """The answer mode of a question; literal if no pattern matches.
+
+    ``ascii_words``: letters outside ASCII bound words, as in SQL's regular expressions; else they are part of them.
+    """
+    lowered = F.lower(F.translate(question, "İ", "i"))  # one letter, not i and a mark
+    bounded = (lambda p: p.replace(r"\b", _ASCII_BOUNDARY)) if ascii_words else (lambda p: f"(?U){p}")
+    return F.coalesce(*[F.when(lowered.rlike(bounded(p)), m) for m, p in MODES], F.lit("literal"))
 
 
 #: Keys of a control panel and its modes, most telling first (fixed values).

@@ -526,3 +526,18 @@ def test_profiles_of_sources():
     p = stages.profile("m1", "/in/Quick Ref (v2).txt", "/out/")
     assert p["prefix"] == "quick_ref_v2" and p["manifest"] == "/out/quick_ref_v2_manifest.json" and p["graphs"] == "/out/quick_ref_v2_graphs"
     assert stages.profile("Manual 7", "/in/___", "/out")["prefix"] == "manual_7" and len(set(p.values())) == len(p)
+
+
+def test_answer_modes_of_letters_outside_ascii(spark, tmp_path):
+    from graphloom.operators import answer
+
+    texts = ["para queñez", "para queen", "¿para qué sirve?", "PARA QUÉX", "CÓMO", "¿CuÁntos?", "DIRECCIÓN", "EMAİL", "ñemail", "emailñ", "éhowé how_many", "how\nmany", "e-mail", "normä", "the norm", "", None]
+    rows_ = spark.createDataFrame([(i, 0, "user", t) for i, t in enumerate(texts)], "conv_id long, turn int, role string, text string")
+    rows_.write.parquet(str(tmp_path / "conversations.parquet"))
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = c.execute(queries.ORACLE_SQL["syn_answer_modes"]).fetchall()
+    assert sorted(map(tuple, queries.QUERIES["syn_answer_modes"](spark, str(tmp_path)).collect())) == sorted(want)
+    # the operator's own reading: a letter is a letter
+    got = dict(rows_.select("text", answer.mode(F.col("text"))).collect())
+    assert [got[t] for t in ("para queñez", "¿para qué sirve?", "CÓMO", "¿CuÁntos?", "DIRECCIÓN", "emailñ", "")] == ["literal", "purpose", "procedure", "count", "address", "literal", "literal"]
