@@ -1,12 +1,13 @@
 """License scans by conditional compression.
 
 Words with a license cue, with as many words around as a notice can take on either side, form candidate blocks,
-so that a notice may be wrapped at any column. Every template whose words a block holds is confirmed by exact
-wording: place and template are compared word by word, and what the template's required words lack, and which
-numbers differ, decides. A block is compressed alone, and with each confirmed template as a zstandard raw
-dictionary; of templates whose places overlap the one with most words there counts, then the closest, then the
-one that makes the block smaller. So version 3 of a license and version 2 are told apart by their wording, not by
-size, and a license whose notice holds another's whole wording and a clause more by that clause.
+so that a notice may be wrapped at any column. A block is compressed alone, and with each template as a zstandard
+raw dictionary; the templates are ranked by how much smaller it gets. In this order all whose words the block holds
+are confirmed by exact wording: place and template are compared word by word, and what the template's required
+words lack, and which numbers differ, decides. Where places of confirmed templates overlap, what they span together
+is compressed with each of them, and the one that makes it smallest counts. So version 3 of a license and version 2
+are told apart by their wording, not by size, and a license whose notice holds another's whole wording and a clause
+more by that clause.
 
 Defined cases: a null or empty text has no block; repeated rows are scanned each for itself; licenses that tie
 are taken by name; an empty table gives an empty result; further columns don't matter; texts of any length are
@@ -158,15 +159,28 @@ class Scanner:
         self.around = max(reach(len(want)) for _, _, want in self.entries)
         params = zstd.ZstdCompressionParameters.from_level(level, write_content_size=False, write_checksum=False, write_dict_id=False)
         self.plain = zstd.ZstdCompressor(compression_params=params)
-        self.given = [zstd.ZstdCompressor(compression_params=params, dict_data=zstd.ZstdCompressionDict(t.encode(), dict_type=zstd.DICT_TYPE_RAWCONTENT)) for _, t, _ in self.entries]
+        given = lambda t: zstd.ZstdCompressor(compression_params=params, dict_data=zstd.ZstdCompressionDict(t.encode(), dict_type=zstd.DICT_TYPE_RAWCONTENT))
+        self.given = [given(t) for _, t, _ in self.entries]
+        self.worded = [given(" ".join(want)) for _, _, want in self.entries]
         self.judged = lru_cache(4096)(self._judge)
         self.compared = lru_cache(16384)(self._compare)
 
-    def reductions(self, block: str, which: list[int]) -> dict[int, float]:
-        """For each of these templates, the share of the block's compressed size that it saves."""
+    def reductions(self, block: str) -> list[float]:
+        """For each template, the share of the block's compressed size that it saves."""
         raw = block.encode("utf-8", "surrogatepass")
         alone = len(self.plain.compress(raw))
-        return {i: (alone - len(self.given[i].compress(raw))) / alone for i in which}
+        return [(alone - len(c.compress(raw))) / alone for c in self.given]
+
+    def _remainders(self, words: list[str], places: list[tuple[int, float, int, int, str]]) -> list[int]:
+        """For each place, the compressed size given its template of what it and the places that it overlaps with, directly or by others, span."""
+        spans: list[list[int]] = []
+        for lo, hi in sorted(p[2:4] for p in places):
+            if spans and lo < spans[-1][1]:
+                spans[-1][1] = max(hi, spans[-1][1])
+            else:
+                spans.append([lo, hi])
+        raw = {a: " ".join(words[a:z]).encode("utf-8", "surrogatepass") for a, z in spans}
+        return [len(self.worded[i].compress(raw[max(a for a in raw if a <= lo)])) for i, _, lo, _, _ in places]
 
     def _compare(self, i: int, words: tuple[str, ...]) -> tuple[float, int, int, str] | None:
         """(coverage, first word, end, differences) of a template in a window, if its wording is confirmed there."""
@@ -222,20 +236,23 @@ class Scanner:
         """(license, reduction, coverage, differences) of each confirmed license in a block, best first."""
         words = wording(block)
         stock = Counter(words)
+        saved = self.reductions(block)
         places = []
-        for i, count in enumerate(self.counts):
-            if sum(min(k, stock[w]) for w, k in count.items()) >= COVERAGE * len(self.entries[i][2]):
+        for i in sorted(range(len(saved)), key=lambda i: (-saved[i], i)):
+            if sum(min(k, stock[w]) for w, k in self.counts[i].items()) >= COVERAGE * len(self.entries[i][2]):
                 places += [(i, *p) for p in self._places(i, words)]
-        saved = self.reductions(block, sorted({i for i, *_ in places})) if places else {}
         best: dict[str, tuple[float, float, str]] = {}
         taken: list[tuple[int, int]] = []
-        # of places that overlap, the one with most words counts, then the closest wording, then what saves most
-        for i, coverage, lo, hi, differences in sorted(places, key=lambda x: (-round(x[1] * len(self.entries[x[0]][2])), -x[1], -saved[x[0]], self.entries[x[0]][0], x[2])):
+        # of places that overlap, the one whose template makes the span smallest counts, then the one with most words, then the closest wording
+        order = lambda x: (x[0], -round(x[1][1] * len(self.entries[x[1][0]][2])), -x[1][1], -saved[x[1][0]], self.entries[x[1][0]][0], x[1][2])
+        for _, (i, coverage, lo, hi, differences) in sorted(zip(self._remainders(words, places), places), key=order):
             if any(lo < z and a < hi for a, z in taken):
                 continue
             taken.append((lo, hi))
-            best.setdefault(self.entries[i][0], (saved[i], coverage, differences))
-        return tuple((name, *v) for name, v in best.items())
+            name = self.entries[i][0]
+            if name not in best or saved[i] > best[name][0]:
+                best[name] = (saved[i], coverage, differences)
+        return tuple((name, *v) for name, v in sorted(best.items(), key=lambda x: (-x[1][0], x[0])))
 
     def scan(self, text: str) -> tuple[int, list[tuple[int, str, float, float, str]]]:
         """Number of candidate blocks; (offset of the block, license, reduction, coverage, differences) found in them."""

@@ -456,6 +456,24 @@ def test_license_siblings_are_told_apart():
     assert found("under the Apache License, Version 2.0 or MIT license") == ["Apache-2.0", "MIT"]
 
 
+def test_license_is_the_template_that_compresses_best():
+    """Both wordings are confirmed at one place; the one with fewer words makes it smaller."""
+    said = "permission granted hereby distribute software copies freely among harbours without warrant notice nor retained domain rights so".split()
+    wide = said[:5] + ["perpetually"] + said[5:11] + ["universally"] + said[11:]
+    scanner = licenses.Scanner({"Wide": (" ".join(wide),), "Exact": (" ".join(said[:-1]),)})
+    text = f"a river {' '.join(said)} and winter"
+    assert all(scanner._places(i, licenses.wording(text)) for i in (0, 1))
+    saved = scanner.reductions(text)
+    assert len(saved) == 2 and saved[1] > saved[0] > 0
+    assert [(f[1], f[2]) for f in scanner.scan(text)[1]] == [("Exact", saved[1])]
+    # every template is tried on a block, and the licenses found come in the order of what they save
+    block = f"{licenses.TEMPLATES['ISC'][0]} {licenses.TEMPLATES['MIT'][2]} All rights reserved."
+    whole = licenses.Scanner()
+    found = whole.scan(block)[1]
+    assert len(whole.reductions(block)) == len(whole.entries) and [f[2] for f in found] == sorted((f[2] for f in found), reverse=True)
+    assert {f[1] for f in found} == {"ISC", "MIT", "All-Rights-Reserved"}
+
+
 def test_license_scan_equals_a_comparison_of_all_templates():
     """Against every template at every place of the whole text, without blocks, word counts or memory."""
     rng = random.Random(8)
