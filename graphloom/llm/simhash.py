@@ -1,7 +1,7 @@
 """SimHash near-duplicates: fingerprints, pigeonhole blocks, verified links, components.
 
 Two operators share the plan "split fingerprints in blocks, join on equal blocks, verify": ``near_duplicates`` with
-64 sign bits and Hamming distance, ``similar_documents`` with a wider fingerprint and the similarity itself.
+64 sign bits and Hamming distance, ``similar_documents`` with a wider one and the similarity itself.
 
 A 64-bit fingerprint is cut into six blocks. Two fingerprints that differ in at most three bits agree on
 at least three blocks, so each fingerprint is filed under all twenty choices of three blocks (about 32
@@ -151,15 +151,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 # ------------------------------------------------------------------ by similarity
 
-#: Blocks of the wide fingerprint and minima in each: of two sets of shingles with a Jaccard similarity of 0.8 the blocks
-#: are all unequal with a chance of (1 - 0.8 ** 6) ** 50 = 3e-7.
-SLICES, MINIMA = 50, 6
-#: Rounds in which each key tries one representative, before what is still apart meets by rare shingles.
+#: Blocks of the wide fingerprint and sign bits in each: of two sets of shingles with a Jaccard similarity of 0.9 about
+#: one bit in ten differs, and some of the blocks are equal with a chance of 0.9 (at 0.95: 0.997; at 0.8: 0.46).
+SLICES, WIDTH = 32, 24
+#: Of the first 128 sign bits as many may differ between texts that are compared: at a similarity of 0.8 about 19 do,
+#: with a deviation of 4, of unrelated texts 64.
+FAR_BITS = 44
+#: Rounds in which each key tries one representative, before all that is still apart meets by its first shingles.
 STAR_ROUNDS = 2
+#: Rows whose shingles tell which are frequent, how often one must stand there, and how many are kept. These only put
+#: shingles in an order; the result is the same in any.
+SAMPLE, FREQUENT, MOST_FREQUENT = 5000, 3, 1 << 16
+#: Sets of more shingles than this are told apart by how many of their first ones they share.
+LONG = 512
 
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-_SEEDS = np.random.default_rng(42).integers(0, 1 << 32, (2, SLICES * MINIMA), np.uint32)
-_XOR, _ODD = _SEEDS[0][:, None], (_SEEDS[1] | np.uint32(1))[:, None]
+_SEEDS = np.random.default_rng(42).integers(0, 1 << 64, (1, SLICES * WIDTH // 64), np.uint64)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -180,36 +187,88 @@ def shingles(text: str, size: int) -> np.ndarray:
     return np.unique(_mixed(h))
 
 
-def wide_keys(h: np.ndarray) -> np.ndarray:
-    """The keys of a set of shingles: a number for each block of the fingerprint, which is the minima of the set in 300 orders."""
-    x = (h >> np.uint64(32)).astype(np.uint32)[None, :]
-    least = np.full(SLICES * MINIMA, np.uint32(0xFFFFFFFF))
-    for at in range(0, x.shape[1], 1024):
-        least = np.minimum(least, ((x[:, at : at + 1024] ^ _XOR) * _ODD).min(1))
-    out = np.arange(SLICES, dtype=np.uint64)
-    for part in least.reshape(SLICES, MINIMA).T:
-        out = (out + part) * _MIX
-    return _mixed(out).astype(np.int64)
+def wide_fingerprint(h: np.ndarray) -> np.ndarray:
+    """SimHash of a set of shingles in 768 bits, as bytes: a bit is 1 if set in over half of the shingles' hashes."""
+    total = np.zeros(SLICES * WIDTH, np.int64)
+    for at in range(0, len(h), 1024):
+        wide = _mixed((h[at : at + 1024, None] ^ _SEEDS) * _MIX)
+        total += np.unpackbits(wide.view(np.uint8), axis=1).sum(0, dtype=np.int32)
+    return np.packbits(2 * total > len(h))
+
+
+def wide_keys(fp: np.ndarray) -> np.ndarray:
+    """The keys of wide fingerprints, one for each block: its number and its value."""
+    b = fp.reshape(-1, SLICES, WIDTH // 8).astype(np.int64)
+    return (np.arange(SLICES) << WIDTH) + (b << np.arange(WIDTH - 8, -1, -8)).sum(2)
+
+
+def parities(h: np.ndarray) -> np.ndarray:
+    """512 bits, as 8 longs: whether an odd number of the set's hashes falls in each place. Of two sets at least as
+    many shingles stand in one only as bits differ."""
+    return np.packbits(np.bincount((h >> np.uint64(55)).astype(np.int64), minlength=512) & 1).view(np.int64)
+
+
+def first_shingles(h: np.ndarray, frequent: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """So many shingles of a set, frequent ones last and else by their hash, that any set as similar shares one of them
+    with it among its own."""
+    weight = np.zeros(len(h), np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
+        weight = np.where(frequent[at] == h, counts[at], 0)
+    return h[np.argsort(weight, kind="stable")][: len(h) - int(np.ceil(len(h) * similarity - 1e-9)) + 1]
 
 
 def _node(h: np.ndarray) -> int:
     return signed(xxhash.xxh3_64_intdigest(h.tobytes()))
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of the rows of (text, wanted) whose node is the one wanted."""
+def _frequent(named: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that stand often in a sample of the rows, sorted, and how often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sets = [], []
+            for text in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingles(text.as_py() or "", size).view(np.int64))], names=["shingle"])
+
+    rows = named.count()
+    some = named.select("text").where(F.rand(42) * rows < SAMPLE).mapInArrow(run, "shingle long")
+    often = some.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT)
+    found = sorted((r.shingle % (1 << 64), r.n) for r in often.orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).collect())
+    return np.array([h for h, _ in found], np.uint64), np.array([n for _, n in found], np.int64)
+
+
+def _exploded(rows: DataFrame, each, kept: list[str], fields: str) -> DataFrame:
+    """A row for each of what ``each`` makes of the bytes in the first column: (values of the new columns, how many of them
+    for each row); the columns kept follow."""
+    names = [f.split()[0] for f in fields.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, counts = each([x.as_buffer() for x in batch.column(0)])
+            row = pa.array(np.repeat(np.arange(batch.num_rows), counts))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, values), *(batch.column(i + 1).take(row) for i in range(len(kept)))], names=names)
+
+    return rows.mapInArrow(run, fields)
+
+
+def _sets(named: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """(node, shingles) of the nodes in the pairs, made anew from a text of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, sets = [], []
             for text, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
                 h = shingles(text.as_py() or "", size)
                 if _node(h) == wanted:
-                    nodes.append(wanted)
+                    found.append(wanted)
                     sets.append(h.tobytes())
-            yield pa.RecordBatch.from_pydict({"node": pa.array(nodes, pa.int64()), "shingles": pa.array(sets, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"node": pa.array(found, pa.int64()), "shingles": pa.array(sets, pa.binary())})
 
-    return docs.select("text", "wanted").mapInArrow(run, "node long, shingles binary")
+    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    # written first: Spark then knows its size before it plans the join, and doesn't deal the texts by id for a few of them
+    wanted = cut(nodes.select("node", "least").join(ends, "node", "left_semi").select(F.col("least").alias("id"), F.col("node").alias("wanted")))
+    texts = named.join(wanted, "id").select("text", "wanted")
+    return texts.mapInArrow(run, "node long, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -230,104 +289,117 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def _rare_pairs(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(node, n, component, peer, m, of): nodes of different components that may have that similarity.
+def _shared(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose key several nodes hold, each node's at least once (and, of copies, at most twice). One shuffle; nothing is gathered."""
+    w = Window.partitionBy(key).orderBy("node")
+    beside = rows.withColumn("before", F.lag("node").over(w)).withColumn("after", F.lead("node").over(w))
+    return beside.where("before <> node OR after <> node").drop("before", "after")
+
 
-    In any total order of the shingles, two such sets share one of their first n - ceil(similarity * n) + 1 each. The
-    order is by how many of the nodes hold a shingle, rarest first, and of either set enough must be left from a shared
-    shingle on; so texts that have much in common but differ by too much of their own don't meet. Of the holders of a
-    shingle all but the largest component meet all.
+def _first_pairs(made: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """(node, peer): nodes of different components that may have that similarity, none left out that has it.
+
+    In any one order of the shingles, two such sets share one of their first n - ceil(similarity * n) + 1 each, and of
+    either enough is left from there on. Of the holders of a shingle all but the largest component meet all. What
+    parities differ in stands in one of the sets only, which bounds what they share: so texts that have much in common
+    but differ by too much of their own make no row. Long sets fill the parities; of these those pairs are left that
+    share as many of their first shingles as such sets must.
     """
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hs = [np.frombuffer(h.as_buffer(), np.int64) for h in batch.column(3)]
-            row = pa.array(np.repeat(np.arange(len(hs)), [len(h) for h in hs]))
-            flat = pa.array(np.concatenate([*hs, np.zeros(0, np.int64)]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(row) for i in range(3)), flat], names=["node", "component", "n", "shingle"])
-
-    held = live.join(sets, "node").select("node", "component", "n", "shingles").mapInArrow(each, "node long, component long, n int, shingle long")
-    counts = held.groupBy("shingle").agg(F.count("*").alias("df"))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "shingle"))
-    first = held.join(counts, "shingle").withColumn("rank", rank).where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(1e-9)) + 1)
-    first = cut(first.where("df > 1").select("shingle", "node", "component", "n", (F.col("n") - F.col("rank") + 1).alias("rest")))
+    def each(buffers):
+        hs = [np.frombuffer(b, np.int64) for b in buffers]
+        counts = [len(h) for h in hs]
+        ranks = [np.arange(k, dtype=np.int32) for k in counts]
+        return [np.concatenate([*hs, np.zeros(0, np.int64)]), np.concatenate([*ranks, np.zeros(0, np.int32)])], counts
+
+    held = _exploded(made.select("first", "node"), each, ["node"], "shingle long, rank int, node long")
+    beside = cut(_shared(held, "shingle").join(cut(nodes.select("node", "component")), "node"))
+    mixed = beside.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("shingle")
+    apart = beside.join(mixed, "shingle", "left_semi").select("shingle", "node", "rank").join(nodes.drop("least"), "node")
+    first = cut(apart.withColumn("rest", F.col("n") - F.col("rank")).drop("rank"))
+    forget(beside)
     size_of = first.groupBy("shingle", "component").agg(F.count("*").alias("held"))
     largest = size_of.groupBy("shingle").agg(F.max(F.struct("held", "component"))["component"].alias("largest"), F.count("*").alias("parts")).where("parts > 1")
-    few = first.join(largest, "shingle").where("component <> largest").select("shingle", "node", "component", "n", "rest")
-    other = first.select("shingle", F.col("node").alias("peer"), F.col("component").alias("of"), F.col("n").alias("m"), F.col("rest").alias("left"))
-    # what two sets share is at most what is left of either from the first that they share on
-    enough = F.least("rest", "left") >= F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("m")) - F.lit(1e-6)
-    return few.join(other, "shingle").where((F.col("component") != F.col("of")) & enough)
+    few = first.join(largest, "shingle").where("component <> largest")
+    other = first.select("shingle", F.col("node").alias("peer"), F.col("component").alias("of"), F.col("n").alias("m"), F.col("rest").alias("left"), *(F.col(f"p{i}").alias(f"q{i}") for i in range(8)))
+    needed = F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("m")) - F.lit(1e-6)
+    differ = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"q{i}"))) for i in range(1, 8)), F.bit_count(F.col("p0").bitwiseXOR(F.col("q0"))))
+    long = F.least("n", "m") > LONG
+    fits = (long | (F.least("rest", "left") >= needed)) & (F.col("n") + F.col("m") - differ >= 2 * needed)
+    met = few.join(other, "shingle").where((F.col("component") != F.col("of")) & fits)
+    # what is not among the first of the set whose first ones end earlier is at most its others; repeated rows only count more
+    least = F.when(long, F.ceil(needed) - F.ceil(F.lit(similarity) * F.greatest("n", "m") - F.lit(1e-9)) + 1).otherwise(1)
+    pairs = met.groupBy(F.least("node", "peer").alias("u"), F.greatest("node", "peer").alias("v")).agg(F.count("*").alias("shared"), F.max(least).alias("least"))
+    return pairs.where("shared >= least").select(F.col("u").alias("node"), F.col("v").alias("peer"))
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, component_id: the least id reachable by links) for each row; texts are linked whose word shingles have that Jaccard similarity or more.
 
-    64 sign bits can't tell such pairs: at a similarity of 0.8 about ten of them differ. So the fingerprint is 300
-    minima of the shingles' hashes (32 bits each), split in 50 blocks; texts that share a block are compared by their
-    shingles. Texts with equal sets are one node, by a 64-bit digest of the set. Of the texts of a key, one at a time
-    meets the others, those already in its component left out; last, texts of keys that still hold several components
-    meet by their rarest shingles, which is exact. So a group of near copies costs a few comparisons a member, also
-    if many differ a little too much, and no pair is left out.
+    The fingerprint is a SimHash of the set of shingles in 768 bits, cut in 32 blocks. Fingerprints that agree in a block
+    and differ in few bits are near, and their texts are compared by their shingles. Texts with equal sets are one
+    node, by a 64-bit digest of the set. Of the texts of a key, one at a time meets the others, those already in its
+    component left out. At a similarity of 0.8 about an eighth and more of the bits differ, so some of such pairs share
+    no block; last, therefore, all texts of different components meet by the first of their shingles in one order, which
+    is exact. So a group of near copies costs a few comparisons a member, and no pair is left out.
 
     Defined cases: null, empty texts and such without words are copies of one another; repeated rows are copies;
     of a class the least id names it; rows without an id are no member of any class (component_id null); texts
     of any length count whole; an empty table gives an empty result; further columns don't matter.
     """
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    frequent, counts = _frequent(named, size)
 
     def make():
         def row(text: str) -> tuple:
             h = shingles(text, size)
-            return _node(h), len(h), wide_keys(h).tobytes()
+            fp = wide_fingerprint(h)
+            first = first_shingles(h, frequent, counts, similarity) if len(h) else h
+            return _node(h), len(h), *fp[:16].view(np.int64).tolist(), *parities(h).tolist(), fp.tobytes() if len(h) else b"", first.tobytes()
 
         return row
 
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    made = cut(map_texts(named, make, [("node", "long"), ("n", "int"), ("keys", "binary")], "text", ["id"]))
+    bits = ["h0", "h1", *(f"p{i}" for i in range(8))]
+    made = cut(map_texts(named, make, [("node", "long"), ("n", "int"), *((c, "long") for c in bits), ("print", "binary"), ("first", "binary")], "text", ["id"]))
     known = made.where("id IS NOT NULL")
-    nodes = known.groupBy("node").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    nodes = cut(known.groupBy("node").agg(F.min("id").alias("least"), *(F.first(c).alias(c) for c in ("n", *bits))))
 
-    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = [np.frombuffer(k.as_buffer(), np.int64) for k in batch.column(2)]
-            each = np.repeat(np.arange(len(keys)), SLICES)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*keys, np.zeros(0, np.int64)])), batch.column(0).take(pa.array(each)), batch.column(1).take(pa.array(each))], names=["key", "node", "n"])
-
-    filed = nodes.where("n > 0").select("node", "n", "keys").mapInArrow(exploded, "key long, node long, n int")
-    crowded = filed.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key")
-    filed = cut(filed.join(crowded, "key", "left_semi"))
-    met = filed.select("node").distinct()
-    wanted = known.join(met, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
-    texts = named.join(wanted.withColumnRenamed("node", "wanted"), "id")
-    sets = cut(_sets(texts, size).groupBy("node").agg(F.first("shingles").alias("shingles")))
+    def each(buffers):
+        return [wide_keys(np.frombuffer(b"".join(b.to_pybytes() for b in buffers), np.uint8)).reshape(-1)], SLICES
+
+    filed = _shared(_exploded(known.where("n > 0").select("print", "node"), each, ["node"], "key long, node long"), "key")
+    filed = cut(filed.join(nodes.select("node", "n", "h0", "h1"), "node"))
 
     found = tested = labels = None
     for turn in range(STAR_ROUNDS + 1):
-        here = filed.withColumn("component", F.col("node"))
+        all_of = filed if turn < STAR_ROUNDS else nodes.drop("h0", "h1")
+        here = all_of.withColumn("component", F.col("node"))
         if labels is not None:
-            here = filed.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        apart = here.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-        here = here.join(apart, "key", "left_semi")
-        other = here.select("key", F.col("node").alias("peer"), F.col("component").alias("of"), F.col("n").alias("m"))
-        fits = F.least("n", "m") >= F.lit(similarity) * F.greatest("n", "m")
+            here = all_of.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         if turn < STAR_ROUNDS:
-            order = F.col("peer") if turn == 0 else F.xxhash64("peer", F.lit(turn))
-            other = other.groupBy("key").agg(F.min(F.struct(order.alias("order"), "peer", "of", "m")).alias("r")).select("key", "r.peer", "r.of", "r.m")
-            pairs = here.join(other, "key").where((F.col("component") != F.col("of")) & fits)
+            apart = here.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+            here = here.join(apart, "key", "left_semi")
+            order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
+            one = F.min(F.struct(order.alias("order"), F.col("node").alias("peer"), F.col("component").alias("of"), F.col("n").alias("m"), F.col("h0").alias("g0"), F.col("h1").alias("g1"))).alias("one")
+            near = F.bit_count(F.col("h0").bitwiseXOR(F.col("g0"))) + F.bit_count(F.col("h1").bitwiseXOR(F.col("g1"))) <= FAR_BITS
+            fits = F.least("n", "m") >= F.lit(similarity) * F.greatest("n", "m") - F.lit(1e-6)
+            pairs = here.join(here.groupBy("key").agg(one).select("key", "one.*"), "key").where((F.col("component") != F.col("of")) & near & fits)
             if turn == 0:  # one representative for each
                 pairs = pairs.groupBy("node").agg(F.min("peer").alias("peer"))
         else:
-            pairs = _rare_pairs(cut(here.select("node", "component", "n").distinct()), sets, similarity).where(fits)
+            pairs = _first_pairs(known, here, similarity)
         least, most = F.least("node", "peer").alias("u"), F.greatest("node", "peer").alias("v")
         pairs = pairs.select(least, most).distinct()
         pairs = cut(pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti"))
         if pairs.isEmpty():
             continue
+        sets = cut(_sets(named, nodes, pairs, size))
         links = cut(_similar(pairs, sets, similarity))
+        forget(sets)
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = links if found is None else found.unionByName(links)
         labels = components(found)
-    for spent in [filed, sets, *([tested, found] if found is not None else [])]:
+    for spent in [filed, *([tested, found] if found is not None else [])]:
         forget(spent)
     named_nodes = nodes.select("node", "least")
     if labels is not None:

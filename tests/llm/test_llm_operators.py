@@ -330,6 +330,41 @@ def test_similar_documents_against_brute_force(spark, texts):
     assert len(set(comp.values())) < len(rows) - 150
 
 
+def test_similar_documents_by_fingerprints_and_first_shingles():
+    """The named steps: sign bits of the set's hashes, blocks as keys; what shares no block still meets."""
+    rng = random.Random(12)
+    text = prose(rng, 900)
+    h = simhash.shingles(text, 5)
+    fp = simhash.wide_fingerprint(h)
+    wide = simhash._mixed((h[:, None] ^ simhash._SEEDS) * simhash._MIX)
+    bits = [2 * sum(int(x) >> (8 * (i % 64 // 8) + 7 - i % 8) & 1 for x in wide[:, i // 64]) > len(h) for i in range(768)]
+    assert np.unpackbits(fp).tolist() == bits
+    assert simhash.wide_keys(fp)[0].tolist() == [(k << 24) | int("".join(str(int(b)) for b in bits[24 * k : 24 * k + 24]), 2) for k in range(32)]
+    order = np.sort(rng.sample(h.tolist(), 200)).astype(np.uint64)
+    for share in (0.005, 0.01, 0.02, 0.03):
+        other = simhash.shingles(edited(rng, text, share), 5)
+        both = len(np.intersect1d(h, other))
+        if both >= 0.8 * (len(h) + len(other) - both):
+            a, b = (simhash.first_shingles(x, order, np.arange(200), 0.8) for x in (h, other))
+            t = int(np.ceil(0.8 / 1.8 * (len(h) + len(other)) - 1e-6))
+            assert len(np.intersect1d(a, b)) >= t - int(np.ceil(0.8 * max(len(h), len(other)) - 1e-9)) + 1 >= 1
+        apart = sum((int(x) ^ int(y)).bit_count() for x, y in zip(simhash.parities(h).view(np.uint64), simhash.parities(other).view(np.uint64)))
+        assert apart <= len(h) + len(other) - 2 * both
+
+
+def test_similar_documents_of_long_texts_and_a_family(spark, monkeypatch):
+    """Also without any block in common, all links are found."""
+    rng = random.Random(13)
+    long, hot = prose(rng, 900), prose(rng, 145)
+    rows = [edited(rng, t, share) for t in (long, prose(rng, 700)) for share in (0, 0.01, 0.02, 0.024, 0.04)] + [edited(rng, hot, rng.choice((0.01, 0.02, 0.03))) for _ in range(60)]
+    sets = {i: plain_shingles(t, 5) for i, t in enumerate(rows)}
+    comp = union_find(sets, [(a, b) for a in sets for b in sets if a < b and alike(sets[a], sets[b])])
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    for far in (simhash.FAR_BITS, -1):
+        monkeypatch.setattr(simhash, "FAR_BITS", far)
+        assert {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()} == comp
+
+
 def test_similar_documents_defined_cases(spark, empty):
     assert simhash.similar_documents(empty).count() == 0
     t = "a b c d e f g h i j k l"
