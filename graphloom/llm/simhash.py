@@ -325,12 +325,14 @@ def _first_pairs(made: DataFrame, nodes: DataFrame, similarity: float) -> DataFr
     needed = F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("m")) - F.lit(1e-6)
     differ = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"q{i}"))) for i in range(1, 8)), F.bit_count(F.col("p0").bitwiseXOR(F.col("q0"))))
     long = F.least("n", "m") > LONG
-    fits = (long | (F.least("rest", "left") >= needed)) & (F.col("n") + F.col("m") - differ >= 2 * needed)
+    enough = F.least("rest", "left") >= needed
+    sizes = F.least("n", "m") >= F.lit(similarity) * F.greatest("n", "m") - F.lit(1e-6)
+    fits = (long | enough) & sizes & (F.col("n") + F.col("m") - differ >= 2 * needed)
     met = few.join(other, "shingle").where((F.col("component") != F.col("of")) & fits)
     # what is not among the first of the set whose first ones end earlier is at most its others; repeated rows only count more
     least = F.when(long, F.ceil(needed) - F.ceil(F.lit(similarity) * F.greatest("n", "m") - F.lit(1e-9)) + 1).otherwise(1)
-    pairs = met.groupBy(F.least("node", "peer").alias("u"), F.greatest("node", "peer").alias("v")).agg(F.count("*").alias("shared"), F.max(least).alias("least"))
-    return pairs.where("shared >= least").select(F.col("u").alias("node"), F.col("v").alias("peer"))
+    pairs = met.groupBy(F.least("node", "peer").alias("u"), F.greatest("node", "peer").alias("v")).agg(F.count("*").alias("shared"), F.max(least).alias("least"), F.max(enough).alias("enough"))
+    return pairs.where("shared >= least AND enough").select(F.col("u").alias("node"), F.col("v").alias("peer"))
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
