@@ -159,9 +159,9 @@ SLICES, WIDTH = 32, 24
 FAR_BITS = 44
 #: Rounds in which each key tries one representative, before all that is still apart meets by its first shingles.
 STAR_ROUNDS = 2
-#: Rows whose shingles tell which are frequent, how often one must stand there, and how many are kept. These only put
-#: shingles in an order; the result is the same in any.
-SAMPLE, FREQUENT, MOST_FREQUENT = 5000, 3, 1 << 16
+#: Places in which the shingles of all texts are counted, and how many of them travel as one row. The counts only put
+#: shingles in an order, those of a full place late; the result is the same in any.
+PLACES, PART = 1 << 24, 1 << 16
 #: Sets of more shingles than this are told apart by how many of their first ones they share.
 LONG = 512
 
@@ -208,33 +208,77 @@ def parities(h: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount((h >> np.uint64(55)).astype(np.int64), minlength=512) & 1).view(np.int64)
 
 
+def rarest_first(h: np.ndarray, weight: np.ndarray, similarity: float) -> np.ndarray:
+    """So many shingles of a set, by their weight and else by their hash, that any set as similar shares one of them with
+    it among its own, if a shingle has the same weight in each."""
+    return h[np.argsort(weight, kind="stable")][: len(h) - int(np.ceil(len(h) * similarity - 1e-9)) + 1]
+
+
 def first_shingles(h: np.ndarray, frequent: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
-    """So many shingles of a set, frequent ones last and else by their hash, that any set as similar shares one of them
-    with it among its own."""
+    """Those with the counts of a sorted list of shingles as weights, 0 for all others."""
     weight = np.zeros(len(h), np.int64)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
         weight = np.where(frequent[at] == h, counts[at], 0)
-    return h[np.argsort(weight, kind="stable")][: len(h) - int(np.ceil(len(h) * similarity - 1e-9)) + 1]
+    return rarest_first(h, weight, similarity)
+
+
+def places(h: np.ndarray) -> np.ndarray:
+    """The places in which shingles are counted."""
+    return (h * _MIX >> np.uint64(65 - PLACES.bit_length())).astype(np.int64)
 
 
 def _node(h: np.ndarray) -> int:
     return signed(xxhash.xxh3_64_intdigest(h.tobytes()))
 
 
-def _frequent(named: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that stand often in a sample of the rows, sorted, and how often."""
+def _levels(named: DataFrame, size: int) -> np.ndarray:
+    """For each place how many texts hold a shingle there, as eight times the binary logarithm of that and one.
+
+    All shingles of all rows are counted; equal sets of one task count once. A task has one bounded table, of which the
+    full places travel.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, seen = np.zeros(PLACES, np.uint16), set()
+
+        def add(sets: list[np.ndarray]) -> None:
+            at, n = np.unique(places(np.concatenate([np.zeros(0, np.uint64), *sets])), return_counts=True)
+            held[at] = np.minimum(held[at] + n, 0xFFFF)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            sets, much = [], 0
             for text in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(text.as_py() or "", size).view(np.int64))], names=["shingle"])
+                h = shingles(text.as_py() or "", size)
+                if (node := _node(h)) in seen:
+                    continue
+                seen.add(node)
+                sets.append(h)
+                much += len(h)
+                if much >= 1 << 20:
+                    add(sets)
+                    sets, much = [], 0
+            add(sets)
+        for part, n in enumerate(held.reshape(-1, PART)):
+            at = np.flatnonzero(n)
+            if len(at):
+                yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "at": pa.array([at.astype(np.uint16).tobytes()], pa.binary()), "n": pa.array([n[at].tobytes()], pa.binary())})
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, at, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                held = sums.setdefault(part, np.zeros(PART, np.uint32))
+                held[np.frombuffer(at.as_buffer(), np.uint16)] += np.frombuffer(n.as_buffer(), np.uint16)
+        for part, n in sums.items():
+            level = np.round(8 * np.log2(1.0 + n)).astype(np.uint8)
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "level": pa.array([level.tobytes()], pa.binary())})
 
-    rows = named.count()
-    some = named.select("text").where(F.rand(42) * rows < SAMPLE).mapInArrow(run, "shingle long")
-    often = some.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT)
-    found = sorted((r.shingle % (1 << 64), r.n) for r in often.orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).collect())
-    return np.array([h for h, _ in found], np.uint64), np.array([n for _, n in found], np.int64)
+    counted = named.select("text").mapInArrow(count, "part int, at binary, n binary")
+    levels = np.zeros((PLACES // PART, PART), np.uint8)
+    for r in counted.repartition("part").mapInArrow(total, "part int, level binary").toLocalIterator():
+        levels[r.part] = np.frombuffer(r.level, np.uint8)
+    return levels.reshape(-1)
 
 
 def _exploded(rows: DataFrame, each, kept: list[str], fields: str) -> DataFrame:
@@ -343,20 +387,22 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     node, by a 64-bit digest of the set. Of the texts of a key, one at a time meets the others, those already in its
     component left out. At a similarity of 0.8 about an eighth and more of the bits differ, so some of such pairs share
     no block; last, therefore, all texts of different components meet by the first of their shingles in one order, which
-    is exact. So a group of near copies costs a few comparisons a member, and no pair is left out.
+    is exact. So a group of near copies costs a few comparisons a member, and no pair is left out. In that order those
+    come first that few texts hold, as counted over all of them: a passage that many texts have brings only those together
+    of which it is nearly all, whatever share of the rows they are.
 
     Defined cases: null, empty texts and such without words are copies of one another; repeated rows are copies;
     of a class the least id names it; rows without an id are no member of any class (component_id null); texts
     of any length count whole; an empty table gives an empty result; further columns don't matter.
     """
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    frequent, counts = _frequent(named, size)
+    levels = _levels(named, size)
 
     def make():
         def row(text: str) -> tuple:
             h = shingles(text, size)
             fp = wide_fingerprint(h)
-            first = first_shingles(h, frequent, counts, similarity) if len(h) else h
+            first = rarest_first(h, levels[places(h)], similarity) if len(h) else h
             return _node(h), len(h), *fp[:16].view(np.int64).tolist(), *parities(h).tolist(), fp.tobytes() if len(h) else b"", first.tobytes()
 
         return row

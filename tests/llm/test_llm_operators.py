@@ -365,6 +365,38 @@ def test_similar_documents_of_long_texts_and_a_family(spark, monkeypatch):
         assert {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()} == comp
 
 
+def test_similar_documents_shared_passages_come_last(spark, monkeypatch):
+    """Texts that share a passage, each with only one other of all the rows, don't meet by its shingles."""
+    rng = random.Random(15)
+    rows = []
+    for _ in range(80):
+        passage = prose(rng, 100)
+        rows += [f"{' '.join(f'{w}{rng.getrandbits(40)}' for w in prose(rng, 100).split())} {passage}" for _ in range(2)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    held, first_pairs = [], simhash._first_pairs
+
+    def seen(made, nodes, similarity):
+        held.extend(np.frombuffer(r.first, np.uint64) for r in made.select("first").collect())
+        return first_pairs(made, nodes, similarity)
+
+    monkeypatch.setattr(simhash, "_first_pairs", seen)
+    assert {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()} == {i: i for i in range(len(rows))}
+    assert len(held) == len(rows) and len(np.unique(np.concatenate(held))) == sum(map(len, held))
+
+
+def test_shingles_are_counted_in_all_rows(spark):
+    rng = random.Random(16)
+    rows = [prose(rng, rng.randint(0, 200)) for _ in range(60)] * 2
+    df = spark.createDataFrame([(t,) for t in [*rows, None, ""]], "text string")
+    want = np.zeros(simhash.PLACES, np.int64)
+    for t in dict.fromkeys(rows):
+        np.add.at(want, simhash.places(simhash.shingles(t, 5)), 1)
+    assert (simhash._levels(df.coalesce(1), 5) == np.round(8 * np.log2(1 + want))).all()
+    want *= 2  # each row's copy in another task
+    halves = spark.createDataFrame(spark.sparkContext.parallelize([(t,) for t in rows], 2), "text string")
+    assert (simhash._levels(halves, 5) == np.round(8 * np.log2(1 + want))).all()
+
+
 def test_similar_documents_defined_cases(spark, empty):
     assert simhash.similar_documents(empty).count() == 0
     t = "a b c d e f g h i j k l"
