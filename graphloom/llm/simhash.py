@@ -24,10 +24,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, cut, forget, map_texts
+from .common import components, cut, forget, map_texts, partition_key, release
 
 #: (shift, width) of the blocks, from the highest bit.
 BLOCKS = ((53, 11), (42, 11), (31, 11), (20, 11), (10, 10), (0, 10))
@@ -159,9 +160,10 @@ SLICES, WIDTH = 32, 24
 FAR_BITS = 44
 #: Rounds in which each key tries one representative, before all that is still apart meets by its first shingles.
 STAR_ROUNDS = 2
-#: Places in which the shingles of all texts are counted, and how many of them travel as one row. The counts only put
-#: shingles in an order, those of a full place late; the result is the same in any.
+#: Places in which ``_levels`` counts the shingles of all texts, and how many of them travel as one row.
 PLACES, PART = 1 << 24, 1 << 16
+#: About so many shingles are counted together, and so many of one task's are dealt at once.
+COUNTED = 1 << 19
 #: Sets of more shingles than this are told apart by how many of their first ones they share.
 LONG = 512
 
@@ -236,7 +238,7 @@ def _levels(named: DataFrame, size: int) -> np.ndarray:
     """For each place how many texts hold a shingle there, as eight times the binary logarithm of that and one.
 
     All shingles of all rows are counted; equal sets of one task count once. A task has one bounded table, of which the
-    full places travel.
+    full places travel. Once there are more shingles than places this tells little; ``_rarest`` counts each by itself.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,6 +283,118 @@ def _levels(named: DataFrame, size: int) -> np.ndarray:
     return levels.reshape(-1)
 
 
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The values as bytes, a row up to each of the ends."""
+    offsets = np.concatenate(([0], ends)) * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _values(t: pa.Table, name: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values in a column of bytes, and how many each row has."""
+    parts = [np.frombuffer(b.as_buffer(), kind) for b in t.column(name)]
+    return np.concatenate([*parts, np.zeros(0, kind)]), np.array([len(x) for x in parts], np.int64)
+
+
+def _rarest(named: DataFrame, size: int, similarity: float, total: int) -> DataFrame:
+    """(node, skipped, first): the first shingles of each set, those that fewer texts hold before others, as longs; what no
+    other text holds comes before all, can't be shared and is only counted, in ``skipped``.
+
+    Every shingle of every row is counted by itself, whatever their number. They are dealt by their highest bits to as
+    many parts as keep a part's size, where those in several rows are found and how many texts hold them (told apart by 16
+    bits of their nodes: that is the order only); these alone go back to the texts. Shingles travel in 32 bits below those
+    of the part: such as agree in them count as one, in all texts. Equal sets of one task count once.
+    """
+    bits = min(16, max(6, (total // COUNTED).bit_length()))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, turn, seen = TaskContext.get().partitionId(), 0, set()
+
+        def group(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+            h, sizes, number = np.concatenate(sets), np.array([len(x) for x in sets], np.int32), (turn << 20) + task
+            part = (h >> np.uint64(64 - bits)).astype(np.uint16)
+            at = np.argsort(part, kind="stable")
+            part, text = part[at], np.repeat(np.arange(len(sets)), sizes)[at]
+            low = (h[at] << np.uint64(bits) >> np.uint64(32)).astype(np.uint32)
+            run = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (text[1:] != text[:-1]))))
+            ids = np.arange(1 << bits)
+            ends, run_ends = np.searchsorted(part, ids, "right"), np.searchsorted(part[run], ids, "right")
+            own = np.array(nodes, np.int64)
+            told = (ids >= number % len(ids)) * len(own)  # one row has the nodes
+            columns = {
+                "part": pa.array(ids, pa.int32()),
+                "number": pa.array(np.full(len(ids), number), pa.int64()),
+                "low": _binary(low, ends),
+                "text": _binary(text[run].astype(np.uint16), run_ends),
+                "tag": _binary((own[text[run]] & 0xFFFF).astype(np.uint16), run_ends),
+                "held": _binary(np.diff(np.append(run, len(h))).astype(np.uint32), run_ends),
+                "nodes": _binary(own, told),
+                "sizes": _binary(sizes, told),
+            }
+            rows = np.diff(np.concatenate(([0], ends))) > 0
+            rows[number % len(ids)] = True
+            return pa.RecordBatch.from_pydict(columns).filter(pa.array(rows))
+
+        nodes, sets, much = [], [], 0
+        for batch in batches:
+            for text in batch.column(0):
+                h = shingles(text.as_py() or "", size)
+                if not len(h) or (node := _node(h)) in seen:
+                    continue
+                seen.add(node)
+                nodes.append(node)
+                sets.append(h)
+                much += len(h)
+                if much >= COUNTED or len(sets) > 0xFFFF:
+                    yield group(nodes, sets)
+                    nodes, sets, much, turn = [], [], 0, turn + 1
+                    release()
+        if sets:
+            yield group(nodes, sets)
+        nodes, sets = [], []
+        release()
+
+    def counted(t: pa.Table) -> pa.Table:
+        release()
+        low, many = _values(t, "low", np.uint32)
+        held = _values(t, "held", np.uint32)[0]
+        text, tag = (np.repeat(_values(t, c, np.uint16)[0], held) for c in ("text", "tag"))
+        both = np.sort(low.astype(np.uint64) << np.uint64(16) | tag)
+        value = (both >> np.uint64(16)).astype(np.uint32)
+        start = np.flatnonzero(np.concatenate((np.ones(min(1, len(value)), bool), value[1:] != value[:-1])))
+        rows = np.diff(np.append(start, len(value)))
+        texts = np.cumsum(np.concatenate((np.zeros(min(1, len(both)), int), both[1:] != both[:-1])))
+        texts = texts[start + rows - 1] - texts[start] + 1
+        several, texts = value[start][rows > 1], np.minimum(texts[rows > 1], 0xFFFF).astype(np.uint16)
+        some = np.zeros(1 << 22, bool)
+        some[several >> 10] = True
+        at = np.flatnonzero(some[low >> 10])
+        place = np.searchsorted(several, low[at])
+        good = several[np.minimum(place, len(several) - 1)] == low[at] if len(several) else np.zeros(0, bool)
+        at, place = at[good], place[good]
+        ends = np.searchsorted(at, np.cumsum(many))
+        columns = {"part": t.column("part"), "number": t.column("number"), "low": _binary(low[at], ends), "text": _binary(text[at], ends), "texts": _binary(texts[place], ends), "nodes": t.column("nodes"), "sizes": t.column("sizes")}
+        rows = (np.diff(np.concatenate(([0], ends))) > 0) | (_values(t, "nodes", np.int64)[1] > 0)
+        return pa.table(columns).filter(pa.array(rows))
+
+    def ordered(t: pa.Table) -> pa.Table:
+        release()
+        nodes, n = _values(t, "nodes", np.int64)[0], _values(t, "sizes", np.int32)[0].astype(np.int64)
+        low, many = _values(t, "low", np.uint32)
+        text, texts = (_values(t, c, np.uint16)[0] for c in ("text", "texts"))
+        h = np.repeat(t.column("part").to_numpy().astype(np.int64), many) << 32 | low
+        shared = np.bincount(text, minlength=len(n))
+        wanted = np.clip(n - np.ceil(n * similarity - 1e-9).astype(np.int64) + 1 - (n - shared), 0, shared)
+        here = np.flatnonzero(wanted[text] > 0)
+        at = here[np.lexsort((h[here], texts[here], text[here]))]
+        of = text[at]
+        rank = np.arange(len(at)) - np.searchsorted(of, np.arange(len(n)))[of]
+        return pa.table({"node": nodes, "skipped": (n - shared).astype(np.int32), "first": _binary(h[at[rank < wanted[of]]], np.cumsum(wanted))})
+
+    rows = named.select("text").mapInArrow(dealt, "part int, number long, low binary, text binary, tag binary, held binary, nodes binary, sizes binary")
+    found = rows.groupBy(partition_key(F.col("part")).alias("key")).applyInArrow(counted, "part int, number long, low binary, text binary, texts binary, nodes binary, sizes binary")
+    return found.groupBy(partition_key(F.col("number")).alias("key")).applyInArrow(ordered, "node long, skipped int, first binary")
+
+
 def _exploded(rows: DataFrame, each, kept: list[str], fields: str) -> DataFrame:
     """A row for each of what ``each`` makes of the bytes in the first column: (values of the new columns, how many of them
     for each row); the columns kept follow."""
@@ -356,7 +470,8 @@ def _first_pairs(made: DataFrame, nodes: DataFrame, similarity: float) -> DataFr
         ranks = [np.arange(k, dtype=np.int32) for k in counts]
         return [np.concatenate([*hs, np.zeros(0, np.int64)]), np.concatenate([*ranks, np.zeros(0, np.int32)])], counts
 
-    held = _exploded(made.select("first", "node"), each, ["node"], "shingle long, rank int, node long")
+    held = _exploded(made.select("first", "node", "skipped"), each, ["node", "skipped"], "shingle long, rank int, node long, skipped int")
+    held = held.select("shingle", (F.col("rank") + F.col("skipped")).alias("rank"), "node")
     beside = cut(_shared(held, "shingle").join(cut(nodes.select("node", "component")), "node"))
     mixed = beside.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("shingle")
     apart = beside.join(mixed, "shingle", "left_semi").select("shingle", "node", "rank").join(nodes.drop("least"), "node")
@@ -388,7 +503,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     component left out. At a similarity of 0.8 about an eighth and more of the bits differ, so some of such pairs share
     no block; last, therefore, all texts of different components meet by the first of their shingles in one order, which
     is exact. So a group of near copies costs a few comparisons a member, and no pair is left out. In that order those
-    come first that few texts hold, as counted over all of them: a passage that many texts have brings only those together
+    come first that few texts hold, each counted over all of them: a passage that many texts have brings only those together
     of which it is nearly all, whatever share of the rows they are.
 
     Defined cases: null, empty texts and such without words are copies of one another; repeated rows are copies;
@@ -396,19 +511,17 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     of any length count whole; an empty table gives an empty result; further columns don't matter.
     """
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    levels = _levels(named, size)
 
     def make():
         def row(text: str) -> tuple:
             h = shingles(text, size)
             fp = wide_fingerprint(h)
-            first = rarest_first(h, levels[places(h)], similarity) if len(h) else h
-            return _node(h), len(h), *fp[:16].view(np.int64).tolist(), *parities(h).tolist(), fp.tobytes() if len(h) else b"", first.tobytes()
+            return _node(h), len(h), *fp[:16].view(np.int64).tolist(), *parities(h).tolist(), fp.tobytes() if len(h) else b""
 
         return row
 
     bits = ["h0", "h1", *(f"p{i}" for i in range(8))]
-    made = cut(map_texts(named, make, [("node", "long"), ("n", "int"), *((c, "long") for c in bits), ("print", "binary"), ("first", "binary")], "text", ["id"]))
+    made = cut(map_texts(named, make, [("node", "long"), ("n", "int"), *((c, "long") for c in bits), ("print", "binary")], "text", ["id"]))
     known = made.where("id IS NOT NULL")
     nodes = cut(known.groupBy("node").agg(F.min("id").alias("least"), *(F.first(c).alias(c) for c in ("n", *bits))))
 
@@ -435,7 +548,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             if turn == 0:  # one representative for each
                 pairs = pairs.groupBy("node").agg(F.min("peer").alias("peer"))
         else:
-            pairs = _first_pairs(known, here, similarity)
+            total = known.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
+            # written first: one Python worker for a task at a time
+            pairs = _first_pairs(cut(_rarest(named.where("id IS NOT NULL"), size, similarity, total)), here, similarity)
         least, most = F.least("node", "peer").alias("u"), F.greatest("node", "peer").alias("v")
         pairs = pairs.select(least, most).distinct()
         pairs = cut(pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti"))

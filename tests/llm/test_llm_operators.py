@@ -384,6 +384,38 @@ def test_similar_documents_shared_passages_come_last(spark, monkeypatch):
     assert len(held) == len(rows) and len(np.unique(np.concatenate(held))) == sum(map(len, held))
 
 
+def test_first_shingles_are_those_that_fewest_texts_hold_whatever_their_number(spark, monkeypatch):
+    """Far more shingles than places to count them in, in many parts: each is counted by itself all the same."""
+    for name, n in (("PLACES", 1 << 10), ("PART", 1 << 6), ("COUNTED", 600)):
+        monkeypatch.setattr(simhash, name, n, raising=False)
+    rng = random.Random(17)
+    shared = [prose(rng, 110) for _ in range(3)]
+    own = lambda n: " ".join(f"{w}{rng.getrandbits(40)}" for w in prose(rng, n).split())
+    rows = [f"{own(rng.choice((8, 20, 60)))} {shared[i % 3][: rng.choice((300, 10**6))]}" for i in range(60)]
+    rows += [rows[0], rows[4], "one two", "one two three"]
+    found, first_pairs = [], simhash._first_pairs
+
+    def seen(made, nodes, similarity):
+        found.extend(made.collect())
+        return first_pairs(made, nodes, similarity)
+
+    monkeypatch.setattr(simhash, "_first_pairs", seen)
+    df = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(rows)), 4), "doc_id long, text string")
+    sets = {i: plain_shingles(t, 5) for i, t in enumerate(rows)}
+    comp = union_find(sets, [(a, b) for a in sets for b in sets if a < b and alike(sets[a], sets[b])])
+    assert {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()} == comp
+    hashed = [simhash.shingles(t, 5) for t in rows]
+    rows_of, texts_of = (Counter(x for h in some for x in h.tolist()) for some in (hashed, [simhash.shingles(t, 5) for t in dict.fromkeys(rows)]))
+    bits = 32 + max(6, (sum(map(len, hashed)) // 600).bit_length())
+    want = {}
+    for h in hashed:
+        order = sorted((x for x in h.tolist() if rows_of[x] > 1), key=lambda x: (texts_of[x], x >> (64 - bits)))
+        skipped = len(h) - len(order)
+        want[simhash._node(h)] = (skipped, [x >> (64 - bits) for x in order[: max(0, len(h) - math.ceil(0.8 * len(h) - 1e-9) + 1 - skipped)]])
+    assert {r.node: (r.skipped, np.frombuffer(r.first, np.int64).tolist()) for r in found} == want
+    assert 0 < sum(len(first) for _, first in want.values()) and any(not first for _, first in want.values())
+
+
 def test_shingles_are_counted_in_all_rows(spark):
     rng = random.Random(16)
     rows = [prose(rng, rng.randint(0, 200)) for _ in range(60)] * 2
